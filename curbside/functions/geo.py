@@ -53,18 +53,15 @@ def box_around(
     return box & ranges
 
 
-def radius_level(metres: float) -> int:
-    """Level whose cells are at least as wide as the radius."""
-    if metres <= BASE_CELL_M:
-        return 0
-    return math.ceil(min(float(TOP_LEVEL), math.log2(metres / BASE_CELL_M)))
-
-
 def radius_level_column(metres: Column) -> Column:
-    """``radius_level`` for a column of radii."""
+    """Level whose cells are between half the radius and the radius wide.
+
+    A circle then touches three to five cells each way, whose area is at most
+    three times its own. Any level would give the right result.
+    """
     doublings = F.least(F.lit(float(TOP_LEVEL)), F.log2(metres / F.lit(BASE_CELL_M)))
     return F.when(metres <= BASE_CELL_M, F.lit(0)).otherwise(
-        F.ceil(doublings).cast("int")
+        F.floor(doublings).cast("int")
     )
 
 

@@ -53,7 +53,7 @@ def occupied_hours_per_date(
 ) -> DataFrame:
     """One row per meter and date with the bit set ``hours`` it was occupied."""
     return (
-        sessions.where(F.col("POST_ID").isNotNull() & F.col("EventDate").isNotNull())
+        sessions.where(F.col("POST_ID").isNotNull())
         .withColumn("__mask", hours_mask(open_hour, close_hour))
         .where(F.col("__mask").isNotNull())
         .groupBy("POST_ID", "Day_Of_Week", "EventDate")

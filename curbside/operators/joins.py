@@ -12,7 +12,16 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DataType, StringType
+from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
+    DataType,
+    DatetimeType,
+    DecimalType,
+    NumericType,
+    StringType,
+    StructType,
+)
 
 DEFAULT_SALTS = 16
 
@@ -29,29 +38,49 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(number) * _UNITS[unit.lower()]
 
 
-def _width(name: str, kind: DataType) -> Column:
+def _width(column: Column, kind: DataType) -> Column | None:
+    """Bytes that a value takes in a row; None where only the data could tell."""
     if isinstance(kind, (StringType, BinaryType)):
-        return F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) + 8
-    return F.lit(8)
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+    if isinstance(kind, StructType):
+        return _sum([_width(column[f.name], f.dataType) for f in kind.fields])
+    if isinstance(kind, (NumericType, DatetimeType, BooleanType)):
+        return F.lit(16 if isinstance(kind, DecimalType) else 8)
+    return None
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows as Spark holds them, from one distributed sum."""
-    row = F.lit(16).cast("long")
-    for field in df.schema.fields:
-        row = row + _width(field.name, field.dataType)
-    return df.agg(F.coalesce(F.sum(row), F.lit(0).cast("long"))).first()[0]
+def _sum(widths: list[Column | None]) -> Column | None:
+    total = F.lit(16).cast("long")
+    for width in widths:
+        if width is None:
+            return None
+        total = total + width
+    return total
+
+
+def bytes_of_rows(df: DataFrame) -> Column:
+    """Aggregate for the size of the rows as Spark holds them, NULL if unknown."""
+    row = _sum([_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])
+    if row is None:
+        return F.lit(None).cast("long")
+    return F.coalesce(F.sum(row), F.lit(0).cast("long"))
+
+
+def fits_broadcast(spark: SparkSession, size: int | None) -> bool:
+    """Whether a measured size is within the session's broadcast limit."""
+    limit = broadcast_limit(spark)
+    return size is not None and 0 < limit and size <= limit
 
 
 def is_small(df: DataFrame) -> bool:
     """True when the measured size is within the session's broadcast limit.
 
-    Runs one job over ``df``; used on dimension tables and on aggregated data.
+    Runs one job over ``df``; used on dimension tables, never on session data.
     """
-    if df.isStreaming:
+    spark = df.sparkSession
+    if df.isStreaming or broadcast_limit(spark) <= 0:
         return False
-    limit = broadcast_limit(df.sparkSession)
-    return limit > 0 and measured_bytes(df) <= limit
+    return fits_broadcast(spark, df.agg(bytes_of_rows(df)).first()[0])
 
 
 def salt_of_row(df: DataFrame, salts: int) -> Column:

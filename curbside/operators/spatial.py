@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbside.functions.geo import (
@@ -12,20 +12,19 @@ from curbside.functions.geo import (
     cells_in_row,
     columns_covering,
     haversine_m,
-    radius_level,
     radius_level_column,
     rows_covering,
 )
 from curbside.operators.joins import (
     DEFAULT_SALTS,
-    every_salt,
+    bytes_of_rows,
+    fits_broadcast,
     is_small,
     lookup_join,
-    salt_of_row,
+    salted_join,
 )
 
 _CELL = ["__level", "__row", "__cell"]
-_SALT = "__salt"
 
 
 def within_distance(df: DataFrame, lat: float, lon: float, metres: float) -> DataFrame:
@@ -51,13 +50,28 @@ def meters_within(
     )
 
 
-def _levels_in_use(points: DataFrame, metres: float | None) -> list[int]:
-    """Cell levels of the radii: at most twenty small numbers."""
-    if metres is not None:
-        return [radius_level(metres)]
-    bit = F.call_function("shiftleft", F.lit(1), radius_level_column(F.col("metres")))
-    bits = points.agg(F.bit_or(bit)).first()[0] or 1
-    return [k for k in range(bits.bit_length()) if bits >> k & 1]
+def _survey(points: DataFrame) -> tuple[list[int], int]:
+    """Cell levels of the radii, at most twenty small numbers, and the size."""
+    level = radius_level_column(F.col("metres"))
+    found = points.agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1), level)), bytes_of_rows(points)
+    ).first()
+    bits, size = found[0] or 1, found[1]
+    return [k for k in range(bits.bit_length()) if bits >> k & 1], size
+
+
+def _around() -> Column:
+    return cells_in_row(F.col("__row"), F.col("__level"))
+
+
+def _looking(points: DataFrame) -> DataFrame:
+    """Points, once for every cell that their circle touches."""
+    lat, lon, radius = F.col("lat"), F.col("lon"), F.col("metres")
+    return (
+        points.withColumn("__level", radius_level_column(radius))
+        .withColumn("__row", F.explode(rows_covering(lat, radius, F.col("__level"))))
+        .withColumn("__cell", F.explode(columns_covering(lat, lon, radius, _around())))
+    )
 
 
 def distance_join(
@@ -91,32 +105,25 @@ def distance_join(
     meters = meters.where(
         F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     )
-    levels = _levels_in_use(points, metres)
+    spark = points.sparkSession
+    levels, size = _survey(points)
 
     level = F.col("__level")
-    around = cells_in_row(F.col("__row"), level)
-    looking = (
-        points.withColumn("__level", radius_level_column(radius))
-        .withColumn("__row", F.explode(rows_covering(F.col("lat"), radius, level)))
-        .withColumn(
-            "__cell",
-            F.explode(columns_covering(F.col("lat"), F.col("lon"), radius, around)),
-        )
-    )
     placed = (
         meters.withColumn("__level", F.explode(F.array(*[F.lit(k) for k in levels])))
         .withColumn("__row", cell_row(F.col("latitude"), level))
-        .withColumn("__cell", cell_column(F.col("longitude"), around))
+        .withColumn("__cell", cell_column(F.col("longitude"), _around()))
     )
 
     if is_small(placed):
-        pairs = looking.join(F.broadcast(placed), _CELL)
-    elif is_small(looking):
-        pairs = placed.join(F.broadcast(looking), _CELL)
+        if fits_broadcast(spark, size):
+            # A short table is one task, but its circles may find very much.
+            points = points.repartition(spark.sparkContext.defaultParallelism)
+        pairs = _looking(points).join(F.broadcast(placed), _CELL)
+    elif is_small(_looking(points)):
+        pairs = placed.join(F.broadcast(_looking(points)), _CELL)
     else:
-        looking = looking.withColumn(_SALT, every_salt(salts))
-        placed = placed.withColumn(_SALT, salt_of_row(placed, salts))
-        pairs = looking.join(placed, [*_CELL, _SALT])
+        pairs = salted_join(placed, _looking(points), _CELL, salts=salts)
 
     distance = haversine_m(
         F.col("lat"), F.col("lon"), F.col("latitude"), F.col("longitude")

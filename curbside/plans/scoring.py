@@ -15,7 +15,12 @@ from curbside.functions.scores import possibility
 from curbside.functions.timeparse import request_hour_column, weekday_name_column
 from curbside.operators.aggregates import occupied_hours_per_date
 from curbside.operators.filters import hour_bit
-from curbside.operators.joins import is_small, salted_join
+from curbside.operators.joins import (
+    bytes_of_rows,
+    fits_broadcast,
+    is_small,
+    salted_join,
+)
 from curbside.operators.spatial import distance_join
 from curbside.plans.occupancy import cents, mean_possibility
 from curbside.schemas import CLOSE_HOUR, OPEN_HOUR, PIVOT_HOURS
@@ -49,11 +54,12 @@ def _spots(meters: DataFrame) -> DataFrame:
     )
 
 
-def _positions(meters: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _positions(meters: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Meters with one position, and all positions of the meters with several.
 
     A meter that the inventory lists at two positions must count once around a
     place that reaches both, so such meters cannot be added up by position.
+    The second table is None if there are none, which is the rule.
     """
     placed = meters.where(
         F.col("POST_ID").isNotNull()
@@ -65,16 +71,16 @@ def _positions(meters: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.min(at).alias("__first"), F.max(at).alias("__last")
     )
     fixed = F.col("__first") == F.col("__last")
+    moved, size = ends.agg(F.count_if(~fixed), bytes_of_rows(ends)).first()
     single = ends.where(fixed).select("POST_ID", "__first.latitude", "__first.longitude")
+    if fits_broadcast(meters.sparkSession, size):
+        single = F.broadcast(single)
+    if not moved:
+        return single, None
     several = placed.join(ends.where(~fixed).select("POST_ID"), "POST_ID", "left_semi")
     return single, several.distinct()
 
 
-def _join_either(left: DataFrame, small: DataFrame, on: str | list[str]) -> DataFrame:
-    """Join to a table that is measured, leaving the choice to Spark beyond it."""
-    return left.join(F.broadcast(small) if is_small(small) else small, on)
-
-
 def score_requests(
     requests: DataFrame,
     sessions: DataFrame,
@@ -91,12 +97,13 @@ def score_requests(
     hours = range(open_hour, close_hour + 1)
     sums = [F.sum(f"n{h}").alias(f"n{h}") for h in hours]
     bits = [hour_bit(F.col("hours"), h).alias(f"n{h}") for h in hours]
-    by_date = [*_PLACE, "Day_Of_Week", "EventDate"]
+    place_day = [*_PLACE, "Day_Of_Week"]
+    by_date = [*place_day, "EventDate"]
 
     asked = _asked(requests)
     places = _places(asked)
-    place_days = asked.select(*_PLACE, "Day_Of_Week").distinct()
-    near = distance_join(places, _spots(meters)).drop("distance")
+    place_days = asked.select(*place_day).distinct()
+    near = distance_join(places, _spots(meters)).join(place_days, _PLACE)
 
     # Only the weekdays asked for: at most seven rows, a proven bound.
     days = asked.select("Day_Of_Week").where(F.col("Day_Of_Week") != "").distinct()
@@ -105,38 +112,33 @@ def score_requests(
 
     single, several = _positions(meters)
     spot_dates = (
-        _join_either(occupied, single, "POST_ID")
+        occupied.join(single, "POST_ID")
         .select(*_SPOT, "Day_Of_Week", "EventDate", *bits)
         .groupBy(*_SPOT, "Day_Of_Week", "EventDate")
         .agg(*sums)
     )
-    near_days = near.join(place_days, _PLACE).drop("n")
-    if is_small(near_days):
-        found = spot_dates.join(F.broadcast(near_days), [*_SPOT, "Day_Of_Week"])
-    else:
-        found = salted_join(near_days, spot_dates, [*_SPOT, "Day_Of_Week"])
+    near_spots = near.select(*_PLACE, *_SPOT, "Day_Of_Week")
+    found = salted_join(near_spots, spot_dates, [*_SPOT, "Day_Of_Week"], salts=4)
     parts = found.groupBy(*by_date).agg(*sums)
-    if not several.isEmpty():
+    if several is not None:
         around = distance_join(places, several).select(*_PLACE, "POST_ID").distinct()
-        moved = (
-            _join_either(occupied, around, "POST_ID")
-            .join(place_days, [*_PLACE, "Day_Of_Week"], "left_semi")
+        at_several = (
+            occupied.join(around, "POST_ID")
+            .join(place_days, place_day, "left_semi")
             .select(*by_date, *bits)
         )
-        parts = parts.unionByName(moved.groupBy(*by_date).agg(*sums))
+        parts = parts.unionByName(at_several.groupBy(*by_date).agg(*sums))
         parts = parts.groupBy(*by_date).agg(*sums)
 
-    averages = parts.groupBy(*_PLACE, "Day_Of_Week").agg(
+    averages = parts.groupBy(*place_day).agg(
         *[F.avg(F.when(F.col(f"n{h}") > 0, F.col(f"n{h}"))).alias(f"n{h}") for h in hours]
     )
-    totals = near.groupBy(*_PLACE).agg(F.sum("n").alias("n_meters"))
-    scored = place_days.join(totals, _PLACE, "left").join(
-        averages, [*_PLACE, "Day_Of_Week"], "left"
-    )
+    totals = near.groupBy(*place_day).agg(F.sum("n").alias("n_meters"))
+    scored = totals.join(averages, place_day, "left")
     return _answer(
         asked,
         scored,
-        [*_PLACE, "Day_Of_Week"],
+        place_day,
         _pick(F.col("hour"), {h: F.col(f"n{h}") for h in hours}).alias("avg_meters"),
         F.coalesce(F.col("n_meters"), F.lit(0).cast("long")).alias("n_meters"),
     )
@@ -170,7 +172,7 @@ def score_possibility(
         *[F.count(p).alias(f"u{h}") for h, p in kept.items()],
     )
     by_place = (
-        near.join(by_spot, _SPOT, "left")
+        salted_join(near, by_spot, _SPOT, "left", salts=4)
         .groupBy(*_PLACE)
         .agg(
             F.sum("n").alias("n_meters_in_range"),
