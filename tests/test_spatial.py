@@ -1,0 +1,149 @@
+import math
+import random
+
+import pytest
+from brute import metres, near
+from pyspark.sql import functions as F
+
+import curbside as cb
+from curbside.functions.geo import BASE_CELL_M
+
+POINTS = "request_id long, lat double, lon double, metres double"
+METERS = "POST_ID string, latitude double, longitude double"
+WAYS = ["10MB", "-1"]
+
+
+def brute_pairs(points, meters):
+    return sorted(
+        (p[0], m[0])
+        for p in points
+        if None not in p and p[3] >= 0
+        for m in near(meters, *p[1:])
+    )
+
+
+def joined_pairs(spark, points, meters, **kw):
+    pairs = cb.distance_join(
+        spark.createDataFrame(points, POINTS), spark.createDataFrame(meters, METERS), **kw
+    )
+    assert pairs.columns == [
+        "request_id", "lat", "lon", "metres", "POST_ID", "latitude", "longitude", "distance",
+    ]
+    rows = pairs.collect()
+    for r in rows:
+        expected = metres(r.lat, r.lon, r.latitude, r.longitude)
+        assert math.isclose(r.distance, expected, rel_tol=1e-9, abs_tol=1e-6)
+    return sorted((r.request_id, r.POST_ID) for r in rows)
+
+
+def around(rng, lat, lon, spread):
+    return lat + rng.uniform(-spread, spread), lon + rng.uniform(-spread, spread)
+
+
+@pytest.mark.parametrize("limit", WAYS)
+def test_city_with_a_crowded_corner(spark, conf, limit):
+    conf("spark.sql.autoBroadcastJoinThreshold", limit)
+    rng = random.Random(1)
+    meters = [(str(i), *around(rng, 37.78, -122.41, 0.02)) for i in range(300)]
+    meters += [(f"same{i}", 37.779, -122.41) for i in range(150)]
+    meters += [("no place", None, -122.41), ("nowhere", None, None)]
+    radii = [0.0, 20.0, BASE_CELL_M, 100.0, 333.3, 1000.0, 5000.0, 3e7]
+    points = [
+        (i, *around(rng, 37.78, -122.41, 0.02), radii[i % len(radii)]) for i in range(80)
+    ]
+    points += [(100 + i, 37.779, -122.41, 50.0) for i in range(40)]
+    points += [(200, None, 1.0, 5.0), (201, 1.0, None, 5.0), (202, 37.78, -122.41, None)]
+    points += [(203, 37.779, -122.41, -1.0), (204, 37.779, -122.41, 0.0)]
+    assert joined_pairs(spark, points, meters) == brute_pairs(points, meters)
+
+
+@pytest.mark.parametrize("limit", WAYS)
+@pytest.mark.parametrize(
+    "lat,lon", [(0.0, 180.0), (-37.0, -179.99), (89.99, 10.0), (-90.0, 0.0), (60.0, 0.0)]
+)
+def test_borders_of_the_earth(spark, conf, limit, lat, lon):
+    conf("spark.sql.autoBroadcastJoinThreshold", limit)
+    rng = random.Random(repr((lat, lon)))
+
+    def somewhere(spread):
+        a, o = around(rng, lat, lon, spread)
+        if abs(lat) > 80:
+            o = rng.uniform(-180, 180)
+        return max(-90.0, min(90.0, a)), (o + 180) % 360 - 180
+
+    meters = [(str(i), *somewhere(0.05)) for i in range(150)]
+    meters += [("east", lat, 180.0), ("west", lat, -180.0), ("pole", 90.0, 0.0)]
+    points = [
+        (i, *somewhere(0.05), rng.choice([300.0, 2000.0, 7000.0, 90000.0])) for i in range(60)
+    ]
+    points.append((99, lat, lon if lon < 180 else -180.0, 12000.0))
+    assert joined_pairs(spark, points, meters) == brute_pairs(points, meters)
+
+
+def test_one_radius_for_all(spark):
+    meters = [("a", 37.78, -122.41), ("b", 37.79, -122.41)]
+    points = spark.createDataFrame([(1, 37.78, -122.41)], "request_id long, lat double, lon double")
+    table = spark.createDataFrame(meters, METERS)
+    ids = [r.POST_ID for r in cb.distance_join(points, table, metres=500).collect()]
+    assert ids == ["a"]
+    assert cb.distance_join(points, table, metres=2000).count() == 2
+
+
+def test_empty_sides(spark):
+    one = spark.createDataFrame([(1, 37.78, -122.41, 100.0)], POINTS)
+    meter = spark.createDataFrame([("a", 37.78, -122.41)], METERS)
+    assert cb.distance_join(one.limit(0), meter).count() == 0
+    assert cb.distance_join(one, meter.limit(0)).count() == 0
+
+
+def test_radius_search(spark):
+    rng = random.Random(3)
+    for lat, lon, spread in [(37.78, -122.41, 0.01), (0.0, 180.0, 0.05), (89.999, 0.0, 0.05)]:
+        meters = []
+        for i in range(200):
+            a, o = around(rng, lat, lon, spread)
+            meters.append((str(i), min(90.0, a), (o + 180) % 360 - 180))
+        table = spark.createDataFrame(meters, METERS)
+        for radius in (0, 50, 600, 4000):
+            got = sorted(r.POST_ID for r in cb.meters_within(table, lat, lon, radius).collect())
+            assert got == sorted(m[0] for m in near(meters, lat, lon, radius))
+
+
+def test_border_of_the_circle_belongs_to_it(spark):
+    meters = spark.createDataFrame([("a", 37.781, -122.41)], METERS)
+    at = cb.meters_within(meters, 37.78, -122.41, 1000).first().metres
+    assert cb.meters_within(meters, 37.78, -122.41, at).count() == 1
+    assert cb.meters_within(meters, 37.78, -122.41, at - 1e-6).count() == 0
+    point = spark.createDataFrame([(1, 37.78, -122.41, at)], POINTS)
+    assert cb.distance_join(point, meters).count() == 1
+
+
+@pytest.mark.parametrize("limit", WAYS)
+def test_locate_keeps_every_request_once(spark, conf, limit):
+    conf("spark.sql.autoBroadcastJoinThreshold", limit)
+    requests = spark.createDataFrame(
+        [(i, "Market") for i in range(50)] + [(50, "Pine"), (51, "Nowhere"), (52, None)],
+        "request_id long, address string",
+    )
+    gazetteer = spark.createDataFrame(
+        [("Market", 1.0, 2.0), ("Market", 1.0, 3.0), ("Pine", 4.0, 5.0), (None, 6.0, 7.0)],
+        "address string, lat double, lon double",
+    )
+    located = cb.locate(requests, gazetteer)
+    got = {r.request_id: (r.lat, r.lon) for r in located.collect()}
+    assert located.count() == 53
+    assert got == {i: (1.0, 2.0) for i in range(50)} | {
+        50: (4.0, 5.0), 51: (None, None), 52: (None, None),
+    }
+    assert sorted(r.request_id for r in cb.unlocated(located).collect()) == [51, 52]
+
+
+def test_salted_join_loses_and_doubles_nothing(spark):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
+        F.lit("same").alias("v"),
+    )
+    lookup = rows.select("k").distinct().where("k <> 'k7'").withColumn("w", F.length("k"))
+    for how in ("inner", "left"):
+        plain, salted = rows.join(lookup, "k", how), cb.salted_join(rows, lookup, "k", how)
+        assert plain.exceptAll(salted).count() == salted.exceptAll(plain).count() == 0
