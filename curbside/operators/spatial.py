@@ -16,12 +16,12 @@ from curbside.functions.geo import (
     rows_covering,
 )
 from curbside.operators.joins import (
-    DEFAULT_SALTS,
     bytes_of_rows,
+    every_salt,
     fits_broadcast,
     is_small,
     lookup_join,
-    salted_join,
+    salt_of_row,
 )
 
 _CELL = ["__level", "__row", "__cell"]
@@ -78,7 +78,7 @@ def distance_join(
     points: DataFrame,
     meters: DataFrame,
     metres: float | None = None,
-    salts: int = DEFAULT_SALTS,
+    salts: int = 4,
 ) -> DataFrame:
     """All pairs of a point and a meter that are within a radius.
 
@@ -89,9 +89,10 @@ def distance_join(
     The earth is cut into cells. A point looks into the few cells its circle
     touches, at the level that fits its own radius, so one very wide circle
     does not widen the cells of the others. Meters carry one cell per level in
-    use. The join is an equi-join on the cell, with the exact distance on top:
-    the smaller side is broadcast if it measures small; otherwise both are
-    shuffled, with the meters of a crowded cell spread over ``salts`` tasks.
+    use. The join is an equi-join on the cell, with the exact distance on top.
+    A side that measures small is broadcast. Otherwise both are shuffled, and
+    the points and the meters of a cell are each dealt into ``salts`` parts
+    that all meet: a crowded cell becomes ``salts`` squared tasks.
     """
     if metres is not None:
         points = points.withColumn("metres", F.lit(float(metres)))
@@ -123,7 +124,12 @@ def distance_join(
     elif is_small(_looking(points)):
         pairs = placed.join(F.broadcast(_looking(points)), _CELL)
     else:
-        pairs = salted_join(placed, _looking(points), _CELL, salts=salts)
+        looking = _looking(points)
+        looking = looking.withColumn("__point_part", salt_of_row(looking, salts))
+        looking = looking.withColumn("__meter_part", every_salt(salts))
+        placed = placed.withColumn("__meter_part", salt_of_row(placed, salts))
+        placed = placed.withColumn("__point_part", every_salt(salts))
+        pairs = looking.join(placed, [*_CELL, "__point_part", "__meter_part"])
 
     distance = haversine_m(
         F.col("lat"), F.col("lon"), F.col("latitude"), F.col("longitude")

@@ -1,5 +1,13 @@
-"""Composite queries: one destination, or a table of requests."""
+"""Composite queries for one destination or many requests, and the load jobs."""
 
+from curbside.plans.jobs import (
+    build_hour_pivot,
+    load_half_file,
+    load_meter_weekday_counts,
+    load_meters,
+    load_sessions,
+    load_weekday_sessions,
+)
 from curbside.plans.occupancy import (
     area_possibility,
     attach_days,
@@ -18,7 +26,13 @@ __all__ = [
     "attach_days",
     "avg_meters_in_hour",
     "avg_sessions_at",
+    "build_hour_pivot",
     "distinct_meters_per_date",
+    "load_half_file",
+    "load_meter_weekday_counts",
+    "load_meters",
+    "load_sessions",
+    "load_weekday_sessions",
     "meter_possibility",
     "meters_per_date",
     "occupied_days_by_meter",

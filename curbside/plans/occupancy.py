@@ -133,7 +133,8 @@ def attach_days(
 
     A meter without any has NULL days and the missing-value label.
     """
-    return _label_days(salted_join(near, days, "POST_ID", "left"), total_days)
+    joined = salted_join(near, days, "POST_ID", "left", salts=4)
+    return _label_days(joined, total_days)
 
 
 def _label_days(joined: DataFrame, total_days: Column | int) -> DataFrame:
@@ -195,7 +196,7 @@ def meter_possibility(
     if is_small(near):
         joined = counts.join(F.broadcast(near), "POST_ID")
     else:
-        joined = salted_join(near, counts, "POST_ID")
+        joined = salted_join(near, counts, "POST_ID", salts=4)
     return joined.select(
         "POST_ID",
         "latitude",

@@ -23,7 +23,7 @@ from curbside.operators.joins import (
 )
 from curbside.operators.spatial import distance_join
 from curbside.plans.occupancy import cents, mean_possibility
-from curbside.schemas import CLOSE_HOUR, OPEN_HOUR, PIVOT_HOURS
+from curbside.schemas import CLOSE_HOUR, OPEN_HOUR, PIVOT_HOURS, WEEKDAYS
 
 _PLACE = ["lat", "lon", "metres"]
 _SPOT = ["latitude", "longitude"]
@@ -106,8 +106,9 @@ def score_requests(
     near = distance_join(places, _spots(meters)).join(place_days, _PLACE)
 
     # Only the weekdays asked for: at most seven rows, a proven bound.
-    days = asked.select("Day_Of_Week").where(F.col("Day_Of_Week") != "").distinct()
-    wanted = sessions.join(F.broadcast(days), "Day_Of_Week", "left_semi")
+    # Naming them lets Spark skip the folders of the others at run time.
+    days = asked.select("Day_Of_Week").where(F.col("Day_Of_Week").isin(*WEEKDAYS))
+    wanted = sessions.join(F.broadcast(days.distinct()), "Day_Of_Week", "left_semi")
     occupied = occupied_hours_per_date(wanted, open_hour, close_hour)
 
     single, several = _positions(meters)
@@ -165,7 +166,7 @@ def score_possibility(
     if is_small(placed):
         joined = rated.join(F.broadcast(placed), "POST_ID")
     else:
-        joined = salted_join(placed, rated, "POST_ID")
+        joined = salted_join(placed, rated, "POST_ID", salts=4)
     kept = {h: F.when(F.col(f"p{h}") > 0, F.col(f"p{h}")) for h in PIVOT_HOURS}
     by_spot = joined.groupBy(*_SPOT).agg(
         *[F.sum(cents(p)).alias(f"c{h}") for h, p in kept.items()],
@@ -202,5 +203,5 @@ def _answer(
     asked: DataFrame, scored: DataFrame, keys: list[str], *columns: Column
 ) -> DataFrame:
     """Hand each request the answer of its place; unknown places get none."""
-    joined = salted_join(asked, scored, keys, "left")
+    joined = salted_join(asked, scored, keys, "left", salts=4)
     return joined.select("request_id", *columns)

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from curbside.operators.sessions import attach_meter, clean_sessions, meter_base
 from curbside.schemas import SESSION_SCHEMA
 
+_PROGRESS_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
+
 
 def refresh_sessions(
     spark: SparkSession,
@@ -44,7 +47,19 @@ def refresh_sessions(
     sessions = clean_sessions(log, window)
     if meters is not None:
         sessions = attach_meter(sessions, meter_base(meters))
-    query = (
+    # The row count below needs the progress of every batch, not of the last 100.
+    kept = spark.conf.get(_PROGRESS_KEPT)
+    spark.conf.set(_PROGRESS_KEPT, "1000000")
+    try:
+        query = _start(sessions, table, checkpoint)
+    finally:
+        spark.conf.set(_PROGRESS_KEPT, kept)
+    query.awaitTermination()
+    return sum(batch["numInputRows"] for batch in query.recentProgress)
+
+
+def _start(sessions: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+    return (
         sessions.writeStream.format("parquet")
         .outputMode("append")
         .partitionBy("Day_Of_Week")
@@ -53,5 +68,3 @@ def refresh_sessions(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
-    return sum(batch["numInputRows"] for batch in query.recentProgress)

@@ -26,6 +26,11 @@ def test_no_python_and_no_cross_join(spark, conf, name, limit):
         assert "BroadcastHashJoin" not in text
 
 
+@pytest.fixture
+def whole_filters(conf):
+    conf("spark.sql.maxMetadataStringLength", "10000")
+
+
 @pytest.fixture(scope="module")
 def table(spark, tmp_path_factory):
     path = f"{tmp_path_factory.mktemp('plans')}/sessions"
@@ -37,7 +42,7 @@ def scans(text):
     return [line for line in text.splitlines() if "FileScan" in line]
 
 
-def test_place_query_prunes_and_pushes(spark, table):
+def test_place_query_prunes_and_pushes(spark, table, whole_filters):
     meters = fixtures.meters(spark, SMALL)
     text = plan(cb.avg_meters_in_hour(table, meters, *PLACE, "Mon", 11))
     scan = next(line for line in scans(text) if "start_hour" in line)
@@ -51,7 +56,7 @@ def test_place_query_prunes_and_pushes(spark, table):
     }
 
 
-def test_place_box_is_pushed_to_a_stored_inventory(spark, tmp_path):
+def test_place_box_is_pushed_to_a_stored_inventory(spark, tmp_path, whole_filters):
     fixtures.meters(spark, SMALL).write.parquet(f"{tmp_path}/meters")
     text = plan(cb.meters_within(spark.read.parquet(f"{tmp_path}/meters"), *PLACE))
     (scan,) = scans(text)
