@@ -41,10 +41,6 @@ def _asked(requests: DataFrame) -> DataFrame:
     )
 
 
-def _places(asked: DataFrame) -> DataFrame:
-    return asked.select(*_PLACE).distinct()
-
-
 def _spots(meters: DataFrame) -> DataFrame:
     """Meter positions with the number of meters at each."""
     return (
@@ -95,15 +91,14 @@ def score_requests(
     weekday or an hour outside operation keeps its row with a NULL average.
     """
     hours = range(open_hour, close_hour + 1)
-    sums = [F.sum(f"n{h}").alias(f"n{h}") for h in hours]
+    counters = [f"n{h}" for h in hours]
+    sums = [F.sum(c).alias(c) for c in counters]
     bits = [hour_bit(F.col("hours"), h).alias(f"n{h}") for h in hours]
     place_day = [*_PLACE, "Day_Of_Week"]
-    by_date = [*place_day, "EventDate"]
+    spot_day = [*_SPOT, "Day_Of_Week"]
 
     asked = _asked(requests)
-    places = _places(asked)
     place_days = asked.select(*place_day).distinct()
-    near = distance_join(places, _spots(meters)).join(place_days, _PLACE)
 
     # Only the weekdays asked for: at most seven rows, a proven bound.
     # Naming them lets Spark skip the folders of the others at run time.
@@ -114,28 +109,47 @@ def score_requests(
     single, several = _positions(meters)
     spot_dates = (
         occupied.join(single, "POST_ID")
-        .select(*_SPOT, "Day_Of_Week", "EventDate", *bits)
-        .groupBy(*_SPOT, "Day_Of_Week", "EventDate")
+        .select(*spot_day, "EventDate", *bits)
+        .groupBy(*spot_day, "EventDate")
         .agg(*sums)
     )
-    near_spots = near.select(*_PLACE, *_SPOT, "Day_Of_Week")
-    found = salted_join(near_spots, spot_dates, [*_SPOT, "Day_Of_Week"], salts=4)
-    parts = found.groupBy(*by_date).agg(*sums)
+    # The meters of a spot ride along as a line without a date, so that one
+    # join gives both the meters in range and those occupied.
+    spots = _spots(meters)
+    any_day = F.explode(F.array(*[F.lit(day) for day in (*WEEKDAYS, "")]))
+    inventory = spots.select(
+        *_SPOT,
+        any_day.alias("Day_Of_Week"),
+        F.lit(None).cast("string").alias("EventDate"),
+        *[F.lit(0).cast("long").alias(c) for c in counters],
+        "n",
+    )
+    facts = spot_dates.withColumn("n", F.lit(0).cast("long")).unionByName(inventory)
+
+    near = distance_join(place_days, spots.select(*_SPOT)).drop("distance")
+    parts = (
+        salted_join(near, facts, spot_day, salts=4)
+        .groupBy(*place_day, "EventDate")
+        .agg(F.sum("n").alias("n"), *sums)
+    )
     if several is not None:
-        around = distance_join(places, several).select(*_PLACE, "POST_ID").distinct()
+        around = distance_join(place_days, several).drop("distance", *_SPOT).distinct()
         at_several = (
-            occupied.join(around, "POST_ID")
-            .join(place_days, place_day, "left_semi")
-            .select(*by_date, *bits)
+            occupied.join(around, ["POST_ID", "Day_Of_Week"])
+            .select(*place_day, "EventDate", F.lit(0).cast("long").alias("n"), *bits)
+            .groupBy(*place_day, "EventDate")
+            .agg(F.sum("n").alias("n"), *sums)
+        )
+        parts = (
+            parts.unionByName(at_several)
+            .groupBy(*place_day, "EventDate")
+            .agg(F.sum("n").alias("n"), *sums)
         )
-        parts = parts.unionByName(at_several.groupBy(*by_date).agg(*sums))
-        parts = parts.groupBy(*by_date).agg(*sums)
 
-    averages = parts.groupBy(*place_day).agg(
-        *[F.avg(F.when(F.col(f"n{h}") > 0, F.col(f"n{h}"))).alias(f"n{h}") for h in hours]
+    scored = parts.groupBy(*place_day).agg(
+        F.sum("n").alias("n_meters"),
+        *[F.avg(F.when(F.col(c) > 0, F.col(c))).alias(c) for c in counters],
     )
-    totals = near.groupBy(*place_day).agg(F.sum("n").alias("n_meters"))
-    scored = totals.join(averages, place_day, "left")
     return _answer(
         asked,
         scored,
@@ -156,7 +170,8 @@ def score_possibility(
     The weekday plays no part, as the pivot is counted over all of them.
     """
     asked = _asked(requests)
-    near = distance_join(_places(asked), _spots(meters)).drop("distance")
+    places = asked.select(*_PLACE).distinct()
+    near = distance_join(places, _spots(meters)).drop("distance")
 
     scores = [possibility(F.col(f"h{h}"), n_days).alias(f"p{h}") for h in PIVOT_HOURS]
     rated = pivot.select("POST_ID", *scores)

@@ -44,7 +44,7 @@ def take_prefix(
     if index is None:
         return first
     numbered = F.row_number().over(W.orderBy(*keys)) - 1
-    return first.select(numbered.alias(index), "*")
+    return first.select(numbered.cast("long").alias(index), "*")
 
 
 def count_prefix(df: DataFrame, n: int = BOUNDED_SCAN_ROWS) -> DataFrame:
