@@ -1,7 +1,9 @@
 """Distance on the sphere and the cells of the distance join.
 
 Distances are great-circle metres on the mean earth radius; against a spheroid
-they differ by up to about 0.5 %. All of it is plain column arithmetic.
+they differ by up to about 0.5 %. All of it is plain arithmetic in Spark SQL.
+The formulas of the cells are texts over the columns ``__level``, ``__row`` and
+``__around`` that the join adds step by step.
 """
 
 from __future__ import annotations
@@ -13,8 +15,8 @@ from pyspark.sql import functions as F
 
 EARTH_RADIUS_M = 6_371_008.8
 
-# Cells of level k are at least BASE_CELL_M * 2**k metres wide; the cells of
-# the top level are wider than half the earth, so every radius has a level.
+# Cells of level k are BASE_CELL_M * 2**k metres high and at least as wide; the
+# cells of the top level are wider than half the earth.
 BASE_CELL_M = 64.0
 TOP_LEVEL = 19
 
@@ -23,14 +25,22 @@ TOP_LEVEL = 19
 _SLACK_DEG = 1e-9
 
 
-def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Great-circle distance in metres between two points in degrees."""
-    half_dlat = F.sin(F.radians(lat2 - lat1) / 2)
-    half_dlon = F.sin(F.radians(lon2 - lon1) / 2)
-    a = half_dlat * half_dlat + (
-        F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_dlon * half_dlon
+def _sql(value: str | float) -> str:
+    """A column name as it is, a number as a double literal."""
+    return value if isinstance(value, str) else f"{float(value)!r}D"
+
+
+def haversine_m(
+    lat1: str | float, lon1: str | float, lat2: str | float, lon2: str | float
+) -> Column:
+    """Great-circle distance in metres; each degree is a column name or a number."""
+    lat1, lon1, lat2, lon2 = (_sql(v) for v in (lat1, lon1, lat2, lon2))
+    return F.expr(
+        f"""{_sql(2 * EARTH_RADIUS_M)} * asin(least(1.0D, sqrt(
+              pow(sin(radians({lat2} - {lat1}) / 2), 2)
+              + cos(radians({lat1})) * cos(radians({lat2}))
+                * pow(sin(radians({lon2} - {lon1}) / 2), 2))))"""
     )
-    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
 
 
 def box_around(
@@ -53,75 +63,40 @@ def box_around(
     return box & ranges
 
 
-def radius_level_column(metres: Column) -> Column:
-    """Level whose cells are between half the radius and the radius wide.
-
-    A circle then touches three to five cells each way, whose area is at most
-    three times its own. Any level would give the right result.
-    """
-    doublings = F.least(F.lit(float(TOP_LEVEL)), F.log2(metres / F.lit(BASE_CELL_M)))
-    return F.when(metres <= BASE_CELL_M, F.lit(0)).otherwise(
-        F.floor(doublings).cast("int")
-    )
-
-
-def _step_deg(level: Column) -> Column:
-    return F.degrees(F.lit(BASE_CELL_M / EARTH_RADIUS_M)) * F.pow(F.lit(2.0), level)
-
+# Level whose cells are between half the radius and the radius wide. A circle
+# then touches three to five cells each way, whose area is at most three times
+# its own. Any level would give the right result.
+LEVEL = f"""CASE WHEN metres <= {_sql(BASE_CELL_M)} THEN 0
+  ELSE CAST(floor(least({_sql(TOP_LEVEL)}, log2(metres / {_sql(BASE_CELL_M)}))) AS INT)
+  END"""
 
-def _last_row(level: Column) -> Column:
-    return F.ceil(F.lit(180.0) / _step_deg(level)).cast("long") - 1
+_STEP = f"({_sql(math.degrees(BASE_CELL_M / EARTH_RADIUS_M))} * shiftleft(1, __level))"
+_LAST_ROW = f"(ceil(180D / {_STEP}) - 1)"
+_DLAT = f"(degrees(metres / {_sql(EARTH_RADIUS_M)}) + {_sql(_SLACK_DEG)})"
 
+# Row of cells of a meter, counted from the south pole.
+ROW = f"least(floor((latitude + 90) / {_STEP}), {_LAST_ROW})"
 
-def _row(lat: Column, level: Column) -> Column:
-    return F.floor((lat + 90) / _step_deg(level)).cast("long")
+# The rows that a circle touches.
+ROWS = f"""sequence(
+  least(greatest(0L, floor((lat - {_DLAT} + 90) / {_STEP})), {_LAST_ROW}),
+  least(greatest(0L, floor((lat + {_DLAT} + 90) / {_STEP})), {_LAST_ROW}))"""
 
+# Number of cells around the earth in a row, so that none is too narrow. A whole
+# number of cells per row makes the antimeridian an ordinary border.
+AROUND = f"""greatest(1L, floor(360D * cos(radians(least(90D, greatest(
+  abs(__row * {_STEP} - 90), abs((__row + 1) * {_STEP} - 90))))) / {_STEP}))"""
 
-def cell_row(lat: Column, level: Column) -> Column:
-    """Row of cells, counted from the south pole."""
-    return F.least(_row(lat, level), _last_row(level))
+# Cell of a meter within its row.
+CELL = "pmod(floor((longitude + 180) / 360 * __around), __around)"
 
+_DLON = f"""(CASE WHEN abs(lat) + {_DLAT} >= 90 THEN 180D
+  ELSE degrees(asin(least(1D, sin(metres / {_sql(EARTH_RADIUS_M)}) / cos(radians(lat)))))
+    + {_sql(_SLACK_DEG)} END)"""
+_FIRST = f"floor((lon - {_DLON} + 180) / 360 * __around)"
+_LAST = f"floor((lon + {_DLON} + 180) / 360 * __around)"
 
-def cells_in_row(row: Column, level: Column) -> Column:
-    """Number of cells around the earth in one row, so that none is too narrow.
-
-    A whole number of cells per row makes the antimeridian an ordinary border.
-    """
-    step = _step_deg(level)
-    widest_lat = F.least(
-        F.lit(90.0),
-        F.greatest(F.abs(row * step - 90), F.abs((row + 1) * step - 90)),
-    )
-    around = F.floor(F.lit(360.0) * F.cos(F.radians(widest_lat)) / step).cast("long")
-    return F.greatest(F.lit(1).cast("long"), around)
-
-
-def cell_column(lon: Column, around: Column) -> Column:
-    """Cell within its row."""
-    return F.pmod(F.floor((lon + 180) / 360 * around).cast("long"), around)
-
-
-def rows_covering(lat: Column, metres: Column, level: Column) -> Column:
-    """Array of the rows that a circle touches."""
-    dlat = F.degrees(metres / F.lit(EARTH_RADIUS_M)) + _SLACK_DEG
-    first = F.greatest(F.lit(0).cast("long"), _row(lat - dlat, level))
-    last = F.least(_last_row(level), _row(lat + dlat, level))
-    return F.sequence(F.least(first, last), last)
-
-
-def columns_covering(
-    lat: Column, lon: Column, metres: Column, around: Column
-) -> Column:
-    """Array of the cells that a circle touches within one row."""
-    angle = metres / F.lit(EARTH_RADIUS_M)
-    dlat = F.degrees(angle) + _SLACK_DEG
-    ratio = F.least(F.lit(1.0), F.sin(angle) / F.cos(F.radians(lat)))
-    dlon = F.when(F.abs(lat) + dlat >= 90, F.lit(180.0)).otherwise(
-        F.degrees(F.asin(ratio)) + _SLACK_DEG
-    )
-    first = F.floor((lon - dlon + 180) / 360 * around).cast("long")
-    last = F.floor((lon + dlon + 180) / 360 * around).cast("long")
-    return F.transform(
-        F.sequence(first, F.least(last, first + around - 1)),
-        lambda c: F.pmod(c, around),
-    )
+# The cells that a circle touches within one row, none of them twice.
+CELLS = f"""transform(
+  sequence({_FIRST}, least({_LAST}, {_FIRST} + __around - 1)),
+  c -> pmod(c, __around))"""

@@ -77,9 +77,9 @@ def hour_pivot(
     for h in hours:
         check_hour(h, open_hour, close_hour)
     per_date = occupied_hours_per_date(sessions, open_hour, close_hour)
-    counts = [F.sum(hour_bit(F.col("hours"), h)).alias(f"h{h}") for h in hours]
+    counts = [F.sum(hour_bit("hours", h)).alias(f"h{h}") for h in hours]
     pivot = per_date.groupBy("POST_ID").agg(*counts)
-    return pivot.where(F.greatest(F.lit(0), *[F.col(f"h{h}") for h in hours]) > 0)
+    return pivot.where(" OR ".join(f"h{h} > 0" for h in hours))
 
 
 def hour_column(pivot: DataFrame, hour: int) -> DataFrame:

@@ -46,13 +46,13 @@ def hours_mask(open_hour: int, close_hour: int) -> Column:
 
     NULL for a session that no hour keeps.
     """
-    start, end = F.col("start_hour"), F.col("end_hour")
-    kept = (start >= open_hour) & (end <= close_hour) & (start <= end)
-    upto_end = F.call_function("shiftleft", F.lit(2), end)
-    before_start = F.call_function("shiftleft", F.lit(1), start)
-    return F.when(kept, upto_end - before_start)
+    return F.expr(
+        f"""CASE WHEN start_hour >= {open_hour} AND end_hour <= {close_hour}
+                  AND start_hour <= end_hour
+            THEN shiftleft(2, end_hour) - shiftleft(1, start_hour) END"""
+    )
 
 
-def hour_bit(mask: Column, hour: int) -> Column:
-    """1 if the hour is in the bit set, else 0."""
-    return F.shiftright(mask, hour).bitwiseAND(1)
+def hour_bit(mask: str, hour: int) -> Column:
+    """1 if the hour is in the bit set of that column, else 0."""
+    return F.expr(f"shiftright({mask}, {hour}) & 1")

@@ -38,32 +38,26 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(number) * _UNITS[unit.lower()]
 
 
-def _width(column: Column, kind: DataType) -> Column | None:
-    """Bytes that a value takes in a row; None where only the data could tell."""
+def _width(value: str, kind: DataType) -> str | None:
+    """SQL for the bytes of a value in a row; None where only the data could tell."""
     if isinstance(kind, (StringType, BinaryType)):
-        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+        return f"coalesce(octet_length({value}), 0) + 16"
     if isinstance(kind, StructType):
-        return _sum([_width(column[f.name], f.dataType) for f in kind.fields])
+        return _row_width(kind, f"{value}.")
     if isinstance(kind, (NumericType, DatetimeType, BooleanType)):
-        return F.lit(16 if isinstance(kind, DecimalType) else 8)
+        return "16" if isinstance(kind, DecimalType) else "8"
     return None
 
 
-def _sum(widths: list[Column | None]) -> Column | None:
-    total = F.lit(16).cast("long")
-    for width in widths:
-        if width is None:
-            return None
-        total = total + width
-    return total
+def _row_width(row: StructType, prefix: str = "") -> str | None:
+    widths = [_width(f"{prefix}`{f.name}`", f.dataType) for f in row.fields]
+    return None if None in widths else " + ".join(["16L", *widths])
 
 
 def bytes_of_rows(df: DataFrame) -> Column:
     """Aggregate for the size of the rows as Spark holds them, NULL if unknown."""
-    row = _sum([_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])
-    if row is None:
-        return F.lit(None).cast("long")
-    return F.coalesce(F.sum(row), F.lit(0).cast("long"))
+    width = _row_width(df.schema)
+    return F.expr("CAST(NULL AS BIGINT)" if width is None else f"coalesce(sum({width}), 0L)")
 
 
 def fits_broadcast(spark: SparkSession, size: int | None) -> bool:
@@ -89,16 +83,17 @@ def salt_of_row(df: DataFrame, salts: int) -> Column:
     The partition number takes part, so even identical rows are spread.
     """
     plain = [
-        F.col(f"`{field.name}`")
+        f"`{field.name}`"
         for field in df.schema.fields
         if field.dataType.typeName() not in ("map", "variant")
     ]
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *plain), F.lit(salts)).cast("int")
+    values = ", ".join(["spark_partition_id()", *plain])
+    return F.expr(f"CAST(pmod(xxhash64({values}), {salts}) AS INT)")
 
 
 def every_salt(salts: int) -> Column:
     """One output row per salt, for the side that is repeated."""
-    return F.explode(F.array(*[F.lit(i) for i in range(salts)]))
+    return F.expr(f"explode(sequence(0, {salts - 1}))")
 
 
 def salted_join(

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbside.functions.geo import (
+    AROUND,
+    CELL,
+    CELLS,
+    LEVEL,
+    ROW,
+    ROWS,
     box_around,
-    cell_column,
-    cell_row,
-    cells_in_row,
-    columns_covering,
     haversine_m,
-    radius_level_column,
-    rows_covering,
 )
 from curbside.operators.joins import (
     bytes_of_rows,
@@ -34,7 +34,7 @@ def within_distance(df: DataFrame, lat: float, lon: float, metres: float) -> Dat
     columns, so a Parquet scan can skip row groups; the distance is the rest.
     """
     here = F.col("latitude"), F.col("longitude")
-    distance = haversine_m(F.lit(float(lat)), F.lit(float(lon)), *here)
+    distance = haversine_m(float(lat), float(lon), "latitude", "longitude")
     return df.where(box_around(lat, lon, metres, *here)).where(distance <= metres)
 
 
@@ -42,9 +42,7 @@ def meters_within(
     meters: DataFrame, lat: float, lon: float, metres: float
 ) -> DataFrame:
     """Position and distance of the meters within a radius."""
-    distance = haversine_m(
-        F.lit(float(lat)), F.lit(float(lon)), F.col("latitude"), F.col("longitude")
-    )
+    distance = haversine_m(float(lat), float(lon), "latitude", "longitude")
     return within_distance(meters, lat, lon, metres).select(
         "POST_ID", "latitude", "longitude", distance.alias("metres")
     )
@@ -52,25 +50,31 @@ def meters_within(
 
 def _survey(points: DataFrame) -> tuple[list[int], int]:
     """Cell levels of the radii, at most twenty small numbers, and the size."""
-    level = radius_level_column(F.col("metres"))
-    found = points.agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1), level)), bytes_of_rows(points)
-    ).first()
+    levels = F.expr(f"bit_or(shiftleft(1, {LEVEL}))")
+    found = points.agg(levels, bytes_of_rows(points)).first()
     bits, size = found[0] or 1, found[1]
     return [k for k in range(bits.bit_length()) if bits >> k & 1], size
 
 
-def _around() -> Column:
-    return cells_in_row(F.col("__row"), F.col("__level"))
-
-
 def _looking(points: DataFrame) -> DataFrame:
     """Points, once for every cell that their circle touches."""
-    lat, lon, radius = F.col("lat"), F.col("lon"), F.col("metres")
     return (
-        points.withColumn("__level", radius_level_column(radius))
-        .withColumn("__row", F.explode(rows_covering(lat, radius, F.col("__level"))))
-        .withColumn("__cell", F.explode(columns_covering(lat, lon, radius, _around())))
+        points.selectExpr("*", f"{LEVEL} AS __level")
+        .selectExpr("*", f"explode({ROWS}) AS __row")
+        .selectExpr("*", f"{AROUND} AS __around")
+        .selectExpr("*", f"explode({CELLS}) AS __cell")
+        .drop("__around")
+    )
+
+
+def _placed(meters: DataFrame, levels: list[int]) -> DataFrame:
+    """Meters with their cell, once for every level in use."""
+    return (
+        meters.selectExpr("*", f"explode(array({', '.join(map(str, levels))})) AS __level")
+        .selectExpr("*", f"{ROW} AS __row")
+        .selectExpr("*", f"{AROUND} AS __around")
+        .selectExpr("*", f"{CELL} AS __cell")
+        .drop("__around")
     )
 
 
@@ -108,14 +112,7 @@ def distance_join(
     )
     spark = points.sparkSession
     levels, size = _survey(points)
-
-    level = F.col("__level")
-    placed = (
-        meters.withColumn("__level", F.explode(F.array(*[F.lit(k) for k in levels])))
-        .withColumn("__row", cell_row(F.col("latitude"), level))
-        .withColumn("__cell", cell_column(F.col("longitude"), _around()))
-    )
-
+    placed = _placed(meters, levels)
     if is_small(placed):
         if fits_broadcast(spark, size):
             # A short table is one task, but its circles may find very much.
@@ -131,11 +128,8 @@ def distance_join(
         placed = placed.withColumn("__point_part", every_salt(salts))
         pairs = looking.join(placed, [*_CELL, "__point_part", "__meter_part"])
 
-    distance = haversine_m(
-        F.col("lat"), F.col("lon"), F.col("latitude"), F.col("longitude")
-    )
     return (
-        pairs.withColumn("distance", distance)
+        pairs.withColumn("distance", haversine_m("lat", "lon", "latitude", "longitude"))
         .where(F.col("distance") <= F.col("metres"))
         .select(*points.columns, *meters.columns, "distance")
     )

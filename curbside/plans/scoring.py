@@ -8,6 +8,8 @@ position or a busy meter costs no more rows than a quiet one.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,8 +94,9 @@ def score_requests(
     """
     hours = range(open_hour, close_hour + 1)
     counters = [f"n{h}" for h in hours]
-    sums = [F.sum(c).alias(c) for c in counters]
-    bits = [hour_bit(F.col("hours"), h).alias(f"n{h}") for h in hours]
+    sums = [F.sum(c).alias(c) for c in ("n", *counters)]
+    bits = [hour_bit("hours", h).alias(f"n{h}") for h in hours]
+    no_meters = F.lit(0).cast("long").alias("n")
     place_day = [*_PLACE, "Day_Of_Week"]
     spot_day = [*_SPOT, "Day_Of_Week"]
 
@@ -109,52 +112,52 @@ def score_requests(
     single, several = _positions(meters)
     spot_dates = (
         occupied.join(single, "POST_ID")
-        .select(*spot_day, "EventDate", *bits)
+        .select(*spot_day, "EventDate", no_meters, *bits)
         .groupBy(*spot_day, "EventDate")
         .agg(*sums)
     )
     # The meters of a spot ride along as a line without a date, so that one
     # join gives both the meters in range and those occupied.
     spots = _spots(meters)
-    any_day = F.explode(F.array(*[F.lit(day) for day in (*WEEKDAYS, "")]))
-    inventory = spots.select(
+    any_day = ", ".join(f"'{day}'" for day in (*WEEKDAYS, ""))
+    inventory = spots.selectExpr(
         *_SPOT,
-        any_day.alias("Day_Of_Week"),
-        F.lit(None).cast("string").alias("EventDate"),
-        *[F.lit(0).cast("long").alias(c) for c in counters],
+        f"explode(array({any_day})) AS Day_Of_Week",
+        "CAST(NULL AS STRING) AS EventDate",
         "n",
+        *[f"0L AS {c}" for c in counters],
     )
-    facts = spot_dates.withColumn("n", F.lit(0).cast("long")).unionByName(inventory)
+    facts = spot_dates.unionByName(inventory)
 
     near = distance_join(place_days, spots.select(*_SPOT)).drop("distance")
     parts = (
         salted_join(near, facts, spot_day, salts=4)
         .groupBy(*place_day, "EventDate")
-        .agg(F.sum("n").alias("n"), *sums)
+        .agg(*sums)
     )
     if several is not None:
         around = distance_join(place_days, several).drop("distance", *_SPOT).distinct()
         at_several = (
             occupied.join(around, ["POST_ID", "Day_Of_Week"])
-            .select(*place_day, "EventDate", F.lit(0).cast("long").alias("n"), *bits)
+            .select(*place_day, "EventDate", no_meters, *bits)
             .groupBy(*place_day, "EventDate")
-            .agg(F.sum("n").alias("n"), *sums)
+            .agg(*sums)
         )
         parts = (
             parts.unionByName(at_several)
             .groupBy(*place_day, "EventDate")
-            .agg(F.sum("n").alias("n"), *sums)
+            .agg(*sums)
         )
 
     scored = parts.groupBy(*place_day).agg(
         F.sum("n").alias("n_meters"),
-        *[F.avg(F.when(F.col(c) > 0, F.col(c))).alias(c) for c in counters],
+        *[F.expr(f"avg(CASE WHEN {c} > 0 THEN {c} END) AS {c}") for c in counters],
     )
     return _answer(
         asked,
         scored,
         place_day,
-        _pick(F.col("hour"), {h: F.col(f"n{h}") for h in hours}).alias("avg_meters"),
+        _of_hour("n", hours).alias("avg_meters"),
         F.coalesce(F.col("n_meters"), F.lit(0).cast("long")).alias("n_meters"),
     )
 
@@ -196,8 +199,7 @@ def score_possibility(
             *[F.sum(f"u{h}").alias(f"u{h}") for h in PIVOT_HOURS],
         )
     )
-    sum_cents = _pick(F.col("hour"), {h: F.col(f"c{h}") for h in PIVOT_HOURS})
-    used = _pick(F.col("hour"), {h: F.col(f"u{h}") for h in PIVOT_HOURS})
+    sum_cents, used = _of_hour("c", PIVOT_HOURS), _of_hour("u", PIVOT_HOURS)
     zero = F.lit(0).cast("long")
     return _answer(
         asked,
@@ -209,9 +211,10 @@ def score_possibility(
     )
 
 
-def _pick(hour: Column, by_hour: dict[int, Column]) -> Column:
-    """The column that belongs to the hour of each row, else NULL."""
-    return F.coalesce(*[F.when(hour == h, column) for h, column in by_hour.items()])
+def _of_hour(name: str, hours: Iterable[int]) -> Column:
+    """The column ``<name><hour>`` for the hour of each row, else NULL."""
+    cases = " ".join(f"WHEN {h} THEN {name}{h}" for h in hours)
+    return F.expr(f"CASE hour {cases} END")
 
 
 def _answer(
