@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 import curbside as cb
 
 PLACE = (37.779, -122.41, 400.0)
-WAYS = ["10MB", "-1"]
 SESSIONS = (
     "POST_ID string, EventDate string, Day_Of_Week string, StartTime string, "
     "EndTime string, start_hour int, end_hour int"
@@ -41,21 +40,21 @@ def make_sessions(rng, n=900):
     return rows
 
 
-@pytest.fixture(params=[False, True], ids=["unique", "copies"])
-def data(spark, request):
+@pytest.fixture(
+    params=[("10MB", False), ("10MB", True), ("-1", True)],
+    ids=["broadcast", "broadcast-copies", "shuffled-copies"],
+)
+def data(spark, conf, request):
+    limit, copies = request.param
+    conf("spark.sql.autoBroadcastJoinThreshold", limit)
     rng = random.Random(7)
-    meters, rows = make_meters(rng, request.param), make_sessions(rng)
+    meters, rows = make_meters(rng, copies), make_sessions(rng)
     sessions = spark.createDataFrame(rows, SESSIONS)
     names = sessions.columns
     plain = [dict(zip(names, r)) for r in rows]
     return sessions, spark.createDataFrame(meters, METERS), plain, meters
 
 
-@pytest.fixture(params=WAYS, autouse=True, ids=["broadcast", "shuffled"])
-def way(conf, request):
-    conf("spark.sql.autoBroadcastJoinThreshold", request.param)
-
-
 def label(value, total):
     return f"Historical Occupancy = {value if value is None else round(value)}/{total}"
 
