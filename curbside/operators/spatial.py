@@ -94,7 +94,8 @@ def distance_join(
     touches, at the level that fits its own radius, so one very wide circle
     does not widen the cells of the others. Meters carry one cell per level in
     use. The join is an equi-join on the cell, with the exact distance on top.
-    A side that measures small is broadcast. Otherwise both are shuffled, and
+    A side that measures small is broadcast, after the points of a crowd were
+    spread over the tasks. Otherwise both sides are shuffled, and
     the points and the meters of a cell are each dealt into ``salts`` parts
     that all meet: a crowded cell becomes ``salts`` squared tasks.
     """
@@ -114,10 +115,12 @@ def distance_join(
     levels, size = _survey(points)
     placed = _placed(meters, levels)
     if is_small(placed):
+        # Points in a crowd find far more than others, and may lie side by side.
         if fits_broadcast(spark, size):
-            # A short table is one task, but its circles may find very much.
-            points = points.repartition(spark.sparkContext.defaultParallelism)
-        pairs = _looking(points).join(F.broadcast(placed), _CELL)
+            spread = points.repartition(spark.sparkContext.defaultParallelism)
+        else:
+            spread = points.hint("rebalance")
+        pairs = _looking(spread).join(F.broadcast(placed), _CELL)
     elif is_small(_looking(points)):
         pairs = placed.join(F.broadcast(_looking(points)), _CELL)
     else:

@@ -80,6 +80,19 @@ def test_borders_of_the_earth(spark, conf, limit, lat, lon):
     assert joined_pairs(spark, points, meters) == brute_pairs(points, meters)
 
 
+def test_many_points_and_few_meters(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "4000")
+    rng = random.Random(2)
+    meters = [(str(i), *around(rng, 37.78, -122.41, 0.01)) for i in range(20)]
+    points = [(i, *around(rng, 37.78, -122.41, 0.01), 200.0) for i in range(200)]
+    points += [(1000 + i, 37.779, -122.41, 200.0) for i in range(200)]
+    assert joined_pairs(spark, points, meters) == brute_pairs(points, meters)
+    table = spark.createDataFrame(points, POINTS)
+    plan = cb.distance_join(table, spark.createDataFrame(meters, METERS))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE" in text and "BroadcastHashJoin" in text
+
+
 def test_one_radius_for_all(spark):
     meters = [("a", 37.78, -122.41), ("b", 37.79, -122.41)]
     points = spark.createDataFrame([(1, 37.78, -122.41)], "request_id long, lat double, lon double")
