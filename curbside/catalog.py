@@ -19,6 +19,7 @@ from curbside.operators import (
     build_sessions,
     clean_sessions,
     distance_join,
+    hour_column,
     hour_pivot,
     in_progress_at,
     locate,
@@ -26,7 +27,9 @@ from curbside.operators import (
     meter_count,
     meters_within,
     observed_days,
+    occupied_days,
     occupied_in_hour,
+    on_weekday,
     publishable,
     sessions_per_meter_weekday,
     within_distance,
@@ -35,11 +38,14 @@ from curbside.plans import (
     area_possibility,
     avg_meters_in_hour,
     avg_sessions_at,
+    load_sessions,
+    load_weekday_sessions,
     meter_possibility,
     meters_per_date,
     occupied_days_by_meter,
     score_possibility,
     score_requests,
+    sessions_per_date,
 )
 from curbside.schemas import SESSION_COLUMNS, UNUSED_LEADING_COLUMN
 from curbside.scratch import scratch_folder
@@ -107,7 +113,7 @@ def all_meters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _enriched(sessions: DataFrame) -> DataFrame:
     return sessions.select(
-        "event_id",
+        *[c for c in sessions.columns if c == "event_id"],
         F.col("POST_ID").alias("post_id"),
         F.col("EventDate").alias("event_date"),
         F.col("StartTime").alias("start_time"),
@@ -195,6 +201,24 @@ def _place_data(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return given.typed_sessions(spark, sf_dir), given.meters(spark, sf_dir)
 
 
+def sessions_of_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _hits(on_weekday(given.typed_sessions(spark, sf_dir), DAY))
+
+
+def meter_days_in_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = occupied_in_hour(given.typed_sessions(spark, sf_dir), HOUR)
+    return occupied_days(hits).withColumnRenamed("POST_ID", "post_id")
+
+
+def place_sessions_per_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sessions, meters = _place_data(spark, sf_dir)
+    hits = in_progress_at(on_weekday(sessions, DAY), TIME)
+    per_date = sessions_per_date(hits, meters_within(meters, *PLACE))
+    return per_date.select(
+        F.col("EventDate").alias("event_date"), F.col("n").alias("n_sessions")
+    )
+
+
 def place_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = _place_data(spark, sf_dir)
     return _average(avg_sessions_at(*data, *PLACE, DAY, TIME), "avg_sessions")
@@ -223,6 +247,11 @@ def pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.withColumnRenamed("POST_ID", "post_id")
 
 
+def pivot_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = hour_pivot(given.typed_sessions(spark, sf_dir))
+    return hour_column(table, HOUR).withColumnRenamed("POST_ID", "post_id")
+
+
 def _pivot_data(spark: SparkSession, sf_dir: str):
     sessions, meters = _place_data(spark, sf_dir)
     n_days = observed_days(sessions, by_weekday=False).scalar()
@@ -282,6 +311,26 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one.unionByName(other)
 
 
+def _files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The log and the inventory as CSV files."""
+    log, inventory = scratch_folder(spark, "log"), scratch_folder(spark, "meters")
+    write_csv(given.raw_sessions(spark, sf_dir).select(*SESSION_COLUMNS), log)
+    write_csv(given.raw_meters(spark, sf_dir, as_text=True), inventory)
+    return log, inventory
+
+
+def loaded_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = scratch_folder(spark, "sessions")
+    load_sessions(spark, *_files(spark, sf_dir), table)
+    return _enriched(spark.read.parquet(table))
+
+
+def loaded_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = scratch_folder(spark, "sessions")
+    load_weekday_sessions(spark, *_files(spark, sf_dir), table)
+    return _enriched(read_weekday(spark, table, DAY))
+
+
 def prefix_500(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = given.raw_sessions(spark, sf_dir)
     first = take_prefix(raw, 500, "event_id", index="row_index")
@@ -343,13 +392,17 @@ QUERIES: dict[str, Query] = {
     "observed_days": weekday_days,
     "meters_within": near_meters,
     "meter_count_within": near_meter_count,
+    "on_weekday": sessions_of_weekday,
     "in_progress_at": sessions_in_progress,
     "occupied_in_hour": sessions_in_hour,
+    "sessions_per_date": place_sessions_per_date,
     "avg_sessions_at": place_sessions,
     "meters_per_date": place_meters_per_date,
     "avg_meters_in_hour": place_meters,
+    "occupied_days": meter_days_in_hour,
     "occupied_days_by_meter": place_days,
     "hour_pivot": pivot,
+    "hour_column": pivot_hour,
     "meter_possibility": place_possibility,
     "area_possibility": place_area_possibility,
     "locate_requests": located_requests,
@@ -357,6 +410,8 @@ QUERIES: dict[str, Query] = {
     "score_requests": scored_requests,
     "score_possibility": possibility_requests,
     "csv_roundtrip": csv_roundtrip,
+    "load_sessions": loaded_sessions,
+    "load_weekday_sessions": loaded_weekday,
     "prefix_500": prefix_500,
     "count_prefix": bounded_count,
     "split_at_row": split_in_halves,

@@ -25,8 +25,8 @@ from pyspark.sql.types import (
 
 DEFAULT_SALTS = 16
 
-_SIZE = re.compile(r"(-?\d+)\s*([bkmgt]?)b?", re.IGNORECASE)
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+_SIZE = re.compile(r"(-?\d+)\s*([kmgt]?)i?b?", re.IGNORECASE)
+_UNITS = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 _SALT = "__salt"
 

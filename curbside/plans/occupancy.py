@@ -54,7 +54,7 @@ def sessions_per_date(hits: DataFrame, near: DataFrame) -> DataFrame:
     joined session table.
     """
     copies = _copies(near)
-    if is_small(near.select("POST_ID")):
+    if is_small(near):
         joined = hits.join(F.broadcast(copies), "POST_ID")
         n = F.sum("copies")
     else:
@@ -69,7 +69,7 @@ def sessions_per_date(hits: DataFrame, near: DataFrame) -> DataFrame:
 def distinct_meters_per_date(hits: DataFrame, near: DataFrame) -> DataFrame:
     """Number of different meters in range per date among the given sessions."""
     ids = near.select("POST_ID").distinct()
-    if is_small(near.select("POST_ID")):
+    if is_small(near):
         pairs = hits.join(F.broadcast(ids), "POST_ID", "left_semi")
         return pairs.groupBy("EventDate").agg(F.count_distinct("POST_ID").alias("n"))
     pairs = hits.select("POST_ID", "EventDate").distinct()
@@ -169,7 +169,7 @@ def occupied_days_by_meter(
     total = total_days
     if total is None:
         total = observed_days(of_day, by_weekday=False).scalar()
-    if not is_small(near.select("POST_ID")):
+    if not is_small(near):
         return attach_days(near, occupied_days(hits), total)
     # At most one row per meter in range, so the day counts are small as well.
     ids = near.select("POST_ID").distinct()

@@ -130,9 +130,9 @@ def _quarter(clock: str) -> str:
       (CAST(substr({clock}, 4, 2) AS INTEGER) // 15) * 15 AS VARCHAR), 2, '0'), '')"""
 
 
-def _enriched(start_window: str, end_window: str) -> str:
+def _enriched(start_window: str, end_window: str, event_id: str = "event_id, ") -> str:
     return f"""WITH {SESSIONS},{METERS}
-SELECT event_id, post_id, event_date, start_time, end_time, day_of_week,
+SELECT {event_id}post_id, event_date, start_time, end_time, day_of_week,
        {start_window} AS start_window, {end_window} AS end_window,
        cap_color, longitude, latitude
 FROM sessions JOIN meters USING (post_id)"""
@@ -177,6 +177,22 @@ FROM sessions WHERE event_date IS NOT NULL GROUP BY day_of_week""",
 SELECT post_id, round(metres, 3) AS metres FROM near""",
         "meter_count_within": f"""WITH {NEAR}
 SELECT count(latitude) AS n_meters FROM near""",
+        "load_sessions": _enriched(_quarter("start_time"), _quarter("end_time"), ""),
+        "load_weekday_sessions": _enriched(
+            "substr(start_time, 1, 2)", "substr(end_time, 1, 2)", ""
+        )
+        + f" WHERE day_of_week = '{DAY}'",
+        "on_weekday": f"""WITH {SESSIONS}
+SELECT event_id, post_id, event_date FROM sessions WHERE day_of_week = '{DAY}'""",
+        "occupied_days": f"""WITH {SESSIONS}
+SELECT post_id, count(DISTINCT event_date) AS n_days FROM sessions
+WHERE post_id IS NOT NULL AND {IN_HOUR} GROUP BY post_id""",
+        "hour_column": f"""WITH {SESSIONS},{PIVOT}
+SELECT post_id, h{HOUR} AS n_days FROM pivot_table""",
+        "sessions_per_date": f"""WITH {SESSIONS},{NEAR}
+SELECT event_date, count(*) AS n_sessions FROM sessions JOIN near USING (post_id)
+WHERE day_of_week = '{DAY}' AND start_time < '{TIME}' AND end_time > '{TIME}'
+GROUP BY event_date""",
         "in_progress_at": f"""WITH {SESSIONS}
 SELECT event_id, post_id, event_date FROM sessions
 WHERE start_time < '{TIME}' AND end_time > '{TIME}'""",
