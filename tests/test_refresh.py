@@ -83,3 +83,27 @@ def test_rows_without_a_weekday_are_kept(spark, log, tmp_path):
     cb.refresh_sessions(spark, landing, table, checkpoint)
     kept = spark.read.parquet(table)
     assert kept.count() == kept.where("Day_Of_Week IS NULL").count() == log.count()
+
+
+def test_nothing_has_arrived_yet(spark, tmp_path):
+    landing, table, checkpoint = folders(tmp_path)
+    os.mkdir(landing)
+    assert cb.refresh_sessions(spark, landing, table, checkpoint) == 0
+
+
+def test_with_meters_too_many_to_broadcast(spark, log, tmp_path, never_broadcast):
+    landing, table, checkpoint = folders(tmp_path)
+    cb.write_csv(log, landing)
+    meters = fixtures.raw_meters(spark, SMALL)
+    cb.refresh_sessions(spark, landing, table, checkpoint, meters=meters)
+    assert spark.read.parquet(table).count() == log.count()
+
+
+def test_small_batches_are_all_counted_and_one_weekday_is_read(spark, log, tmp_path):
+    landing, table, checkpoint = folders(tmp_path)
+    for _ in range(3):
+        cb.write_csv(log.repartition(2), landing, mode="append")
+    rows = cb.refresh_sessions(spark, landing, table, checkpoint, files_per_batch=1)
+    assert rows == 3 * log.count() == spark.read.parquet(table).count()
+    monday = cb.read_weekday(spark, table, "Mon")
+    assert monday.count() == 3 * cb.on_weekday(cb.clean_sessions(log), "Mon").count()
