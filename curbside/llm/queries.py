@@ -4,10 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from curbside.llm.decontamination import contaminated
 from curbside.llm.exact_dedup import exact_duplicates
+from curbside.llm.html_text import extract_text
+from curbside.llm.language_id import identify_languages
+from curbside.llm.line_dedup import repeated_lines
 from curbside.llm.mixing import mix_sources
 from curbside.llm.simhash_dedup import near_duplicates
 from curbside.llm.tables import read
+from curbside.llm.token_files import count_tokens
+from curbside.llm.toxicity import held_out, score_toxicity
+from curbside.llm.warc import round_trip
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    )
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read(spark, sf_dir, "pages"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(read(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read(spark, sf_dir, "pages"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    )
 
 
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,10 +53,30 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held = held_out("doc_id", 4, 2)
+    found = identify_languages(docs, docs.where(~held))
+    return found.select(
+        "doc_id", held.alias("held_out"), "lang_pred", "score", "languages"
+    )
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_lines(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op2_html_text": op2_html_text,
+    "op3_token_counts": op3_token_counts,
+    "op4_warc": op4_warc,
+    "op5_toxicity": op5_toxicity,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_mixing": op8_mixing,
+    "op9_language_id": op9_language_id,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
