@@ -1,12 +1,13 @@
 """Lines that are near copies of earlier lines, by an exact similarity join.
 
-A line is the set of its words. Words are ordered by rarity; two sets can only
-reach the similarity if their prefixes, the rarest few words, have a word in
-common. Prefix, length and positional filters leave few pairs, and only for
-these the words themselves are fetched and the Jaccard similarity is computed.
-
-All of it are DataFrame operations. What is broadcast are two arrays of fixed
-size: how frequent words are, by hash, and which documents have a candidate.
+A line is the set of its word shingles, its tokens. Tokens are ordered by
+rarity; two sets can only reach the similarity if their prefixes, the rarest few
+tokens, have one in common. Prefix, length and positional filters leave few
+pairs, and only for these the words themselves are fetched and the Jaccard
+similarity is computed.
+
+All of it are DataFrame operations. What every task gets are arrays of fixed
+size: how frequent tokens are, by hash, and which documents have a candidate.
 """
 
 from __future__ import annotations
@@ -16,21 +17,26 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbside.llm.tables import SPACE_RUN, same, stored
+from curbside.llm.tables import same, stored
 
 MIN_JACCARD = 0.8
-# Entries of the two arrays.
+SHINGLE_WORDS = 5
+# Entries of the arrays.
 SLOTS = 1 << 16
-# A word that begins more sets than this is first compared to its earliest set.
+# A token that begins more sets than this is first compared to its earliest set.
 CROWD = 64
 
-_ORDER = ("none", "id", "sign", "line_no", "row")
-
 
 def line_words(line: Column) -> Column:
-    """Distinct lower-case words of a line."""
-    words = F.array_distinct(F.split(F.lower(line), SPACE_RUN))
-    return F.array_remove(words, "")
+    """Lower-case words of a line."""
+    blanks = F.translate(F.lower(line), "\t\x0b\x0c\r", "    ")
+    return F.array_remove(F.split(blanks, " "), "")
+
+
+def _shingles(words: Column, length: int, of) -> Column:
+    """``of`` each run of ``length`` words; a shorter line is one run."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - length + 1, F.lit(1)))
+    return F.array_distinct(F.transform(starts, lambda i: of(F.slice(words, i, length))))
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -45,8 +51,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _array_of(counts: DataFrame) -> Column:
     """One array of ``SLOTS`` numbers from rows ``(slot, value)``."""
-    spark = counts.sparkSession
-    every = spark.range(SLOTS).select(F.col("id").alias("slot"))
+    every = counts.sparkSession.range(SLOTS).select(F.col("id").alias("slot"))
     filled = every.join(counts, "slot", "left").select(
         F.struct("slot", F.coalesce("value", F.lit(0)).alias("value")).alias("s")
     )
@@ -54,8 +59,27 @@ def _array_of(counts: DataFrame) -> Column:
     return filled.agg(F.array_sort(F.collect_list("s"))["value"].alias("a")).scalar()
 
 
+def _slot(hashed: Column) -> Column:
+    return F.pmod(hashed, F.lit(SLOTS))
+
+
 def _at(array: Column, hashed: Column) -> Column:
-    return F.element_at(array, (F.pmod(hashed, F.lit(SLOTS)) + 1).cast("int"))
+    return F.element_at(array, (_slot(hashed) + 1).cast("int"))
+
+
+def _classes(tokens: DataFrame) -> bytes:
+    """How frequent the tokens ``t`` of each slot are: one byte for each slot.
+
+    Classes are half a doubling wide. A lambda cannot hold a subquery, so the
+    driver fetches the bytes, a fixed number of them.
+    """
+    counts = tokens.groupBy(_slot(F.col("t")).alias("slot")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    value = F.floor(2 * F.log2(F.col("n") + 1)).cast("long").alias("value")
+    counts = stored(counts.select("slot", value), "token-classes")
+    found = counts.sparkSession.range(1).select(_array_of(counts).alias("a")).first()[0]
+    return bytes(found)
 
 
 def _least_overlap(n_x: Column, n_y: Column, jaccard: float) -> Column:
@@ -63,59 +87,57 @@ def _least_overlap(n_x: Column, n_y: Column, jaccard: float) -> Column:
 
 
 def _prefix(n: Column, jaccard: float) -> Column:
-    """Words among which two similar sets must have one in common."""
+    """Tokens among which two similar sets must have one in common."""
     return (n - F.ceil(n * jaccard - 1e-9) + 1).cast("int")
 
 
-def _sets(docs: DataFrame, id_col: str, text_col: str, jaccard: float):
-    """Lines with the key of their set, and the distinct sets."""
-    lines = _lines(docs, id_col, text_col).select("*", line_words(F.col("line")).alias("words"))
-    hashed = lines.select(F.explode("words").alias("w")).select(
-        F.pmod(F.xxhash64("w"), F.lit(SLOTS)).alias("slot")
-    )
-    counts = hashed.groupBy("slot").agg(F.count(F.lit(1)).alias("n"))
-    # Classes of frequency, a quarter of a doubling wide: below 256.
-    classes = stored(
-        counts.select("slot", F.floor(4 * F.log2(F.col("n") + 1)).cast("long").alias("value")),
-        "word-classes",
-    )
-    lines = lines.withColumn("classes", _array_of(classes))
-
-    def key(word):
-        h = F.xxhash64(word)
-        # Class first, then hash: one order of words for all sets.
-        return F.shiftleft(_at(F.col("classes"), h), 55).bitwiseOR(F.shiftrightunsigned(h, 9))
-
-    keys = F.sort_array(F.transform("words", key))
-    n = F.size("words")
-    keyed = lines.where(n > 0).select("row", "id", "sign", "line_no", n.alias("n"), keys.alias("keys"))
-    prefix = F.transform(
-        F.slice("keys", 1, _prefix(F.col("n"), jaccard)), lambda k: k.bitwiseAND(0x7FFFFFFF).cast("int")
+def _sets(docs: DataFrame, id_col: str, text_col: str, jaccard: float, length: int):
+    """Lines with the key of their words, and the distinct lines as sets."""
+    lines = _lines(docs, id_col, text_col)
+    lines = lines.select("*", line_words(F.col("line")).alias("words")).where(
+        F.size("words") > 0
     )
+    tokens = lines.select("*", _shingles(F.col("words"), length, F.xxhash64).alias("long"))
     rows = stored(
-        keyed.select(
-            "row", "id", "sign", "line_no", "n",
-            F.xxhash64("keys").alias("k1"),
-            F.xxhash64(F.lit(1), "keys").alias("k2"),
-            prefix.alias("prefix"),
+        tokens.select(
+            "row", "id", "sign", "line_no",
+            F.size("long").alias("n"),
+            F.xxhash64("words").alias("k1"),
+            F.xxhash64(F.lit(1), "words").alias("k2"),
+            # Half of each hash will do: what it finds is looked at again.
+            F.transform("long", lambda h: F.shiftright(h, 32).cast("int")).alias("tokens"),
         ),
         "lines",
     )
+    classes = F.lit(_classes(rows.select(F.explode("tokens").alias("t"))))
+
+    def key(token):
+        at = F.substring(classes, (_slot(token) + 1).cast("int"), F.lit(1))
+        # Class first, then hash: one order of tokens for all sets.
+        return F.shiftleft(F.ascii(at.cast("string")).cast("long"), 33) + token
+
+    prefix = F.slice(
+        F.sort_array(F.transform("tokens", key)), 1, _prefix(F.col("n"), jaccard)
+    )
     order = F.struct(F.col("id").isNull().alias("none"), "id", "sign", "line_no", "row")
     sets = stored(
-        rows.groupBy("k1", "k2")
+        rows.select(
+            "k1", "k2", order.alias("order"), "n",
+            F.transform(prefix, lambda k: k.bitwiseAND(0x7FFFFFFF).cast("int")).alias("prefix"),
+        )
+        .groupBy("k1", "k2")
         .agg(
-            F.min(order).alias("first"),
+            F.min("order").alias("first"),
             F.first("n").alias("n"),
             F.first("prefix").alias("prefix"),
         )
         .withColumn("set", F.monotonically_increasing_id()),
         "line-sets",
     )
-    return rows, sets
+    return rows.drop("tokens"), sets
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, id_col, text_col, jaccard):
+def _verified(pairs, sets, docs, id_col, text_col, jaccard, length):
     """Of pairs of sets ``(x, y)`` those that are similar: earlier and later set."""
     pairs = stored(pairs, "line-pairs")
     both = pairs.select(F.explode(F.array("x", "y")).alias("set")).distinct()
@@ -137,6 +159,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, id_col, text_c
     found = (
         lines.join(wanted, same(lines, wanted, "id", "sign", "line_no"))
         .select(wanted["set"], line_words(F.col("line")).alias("words"))
+        .select(
+            "set",
+            _shingles(F.col("words"), length, lambda w: F.array_join(w, " ")).alias("words"),
+        )
         .dropDuplicates(["set"])
     )
     found = stored(found, "wanted-words")
@@ -160,10 +186,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, id_col, text_c
 
 
 def _bounded(pairs: DataFrame, jaccard: float) -> DataFrame:
-    """Pairs ``(x, y)`` that may be similar, from rows per common prefix word.
+    """Pairs ``(x, y)`` that may be similar, from rows per common prefix token.
 
-    Length and position of the first common word bound the overlap, and so do
-    the common prefix words: all common words up to the end of the prefix that
+    Length and position of the first common token bound the overlap, and so do
+    the common prefix tokens: all common tokens up to the end of the prefix that
     ends first are among them, and what follows is at most the rest of that set.
     """
     overlap = _least_overlap(F.col("nx"), F.col("ny"), jaccard)
@@ -187,13 +213,15 @@ def match_lines(
     id_col: str = "doc_id",
     text_col: str = "text",
     jaccard: float = MIN_JACCARD,
+    length: int = SHINGLE_WORDS,
     crowd: int = CROWD,
 ) -> DataFrame:
     """``(row, id, line_no, kept, match_id, match_line)`` of every line with words.
 
-    A line is kept unless an earlier line, by id and then line number, has a set
-    of lower-case words with a Jaccard similarity of ``jaccard`` or more; the
-    match is the earliest such line that was found, and null if it is kept.
+    A line is kept unless an earlier line, by id and then line number, has the
+    same lower-case words, or a set of shingles of ``length`` words with a Jaccard
+    similarity of ``jaccard`` or more. A line of fewer words is one shingle. The
+    match is the earliest such line that was found, and null if the line is kept.
     ``row`` numbers the rows of ``docs``; lines are numbered from 0.
 
     Null and empty texts and lines of white space have no words: they are not
@@ -201,24 +229,24 @@ def match_lines(
     ordered by their text's hash; of rows equal in both one has its lines kept.
     An empty table gives no rows, and other columns are not looked at.
     """
-    rows, sets = _sets(docs, id_col, text_col, jaccard)
-    words = sets.select("set", "n", F.posexplode("prefix").alias("pos", "word"))
+    rows, sets = _sets(docs, id_col, text_col, jaccard, length)
+    tokens = sets.select("set", "n", F.posexplode("prefix").alias("pos", "token"))
 
-    # Words that begin very many sets: compare all these to the earliest one,
+    # Tokens that begin very many sets: compare all these to the earliest one,
     # which finds a match for most members of a large group of near copies.
-    slots = words.groupBy(F.pmod("word", F.lit(SLOTS)).cast("long").alias("slot")).agg(
+    slots = tokens.groupBy(F.pmod("token", F.lit(SLOTS)).cast("long").alias("slot")).agg(
         F.count(F.lit(1)).alias("value")
     )
     slots = stored(slots, "prefix-counts")
     mean = (slots.agg(F.sum("value")).first()[0] or 0) / SLOTS
     heavy = slots.where(F.col("value") > max(crowd, math.ceil(3 * mean)))
     heavy = _array_of(heavy.select("slot", F.lit(1).cast("long").alias("value")))
-    many = words.where(_at(heavy, F.col("word").cast("long")) == 1)
+    many = tokens.where(_at(heavy, F.col("token").cast("long")) == 1)
     many = stored(
-        many.select("set", "word").join(sets.select("set", "n", "first"), "set"), "crowded"
+        many.select("set", "token").join(sets.select("set", "n", "first"), "set"), "crowded"
     )
     leaders = (
-        many.groupBy("word")
+        many.groupBy("token")
         .agg(
             F.min(F.struct("first", "set", "n")).alias("leader"),
             F.count(F.lit(1)).alias("size"),
@@ -226,7 +254,7 @@ def match_lines(
         .where(F.col("size") > crowd)
     )
     led = (
-        many.join(leaders, "word")
+        many.join(leaders, "token")
         .where(F.col("leader.set") != F.col("set"))
         .select(
             F.col("leader.set").alias("x"), F.col("set").alias("y"),
@@ -237,32 +265,32 @@ def match_lines(
     overlap = _least_overlap(F.col("nx"), F.col("ny"), jaccard)
     led = led.where(F.least("nx", "ny") >= overlap).select("x", "y")
     resolved = stored(
-        _verified(led, sets, docs, id_col, text_col, jaccard), "led"
+        _verified(led, sets, docs, id_col, text_col, jaccard, length), "led"
     )
     done = resolved.select(F.col("later").alias("set")).distinct()
     done = stored(done.withColumn("done", F.lit(True)), "resolved")
 
-    # Every other set against all sets that share a prefix word.
+    # Every other set against all sets that share a prefix token.
     flagged = sets.select("set", "n", "prefix").join(done, "set", "left")
     flagged = flagged.select(
         "set", "n", F.coalesce("done", F.lit(False)).alias("done"),
-        F.posexplode("prefix").alias("pos", "word"),
+        F.posexplode("prefix").alias("pos", "token"),
     )
     query = flagged.where(~F.col("done")).select(
-        "word", F.col("set").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py")
+        "token", F.col("set").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py")
     )
     others = flagged.select(
-        "word", F.col("set").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"),
+        "token", F.col("set").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"),
         F.col("done").alias("dx"),
     )
-    met = query.join(others, "word").where(
+    met = query.join(others, "token").where(
         (F.col("y") != F.col("x"))
         & (F.col("dx") | (F.col("x") < F.col("y")))
         & (F.least("nx", "ny") >= overlap)
     )
     matched = _verified(
         _bounded(met.select("x", "y", "nx", "ny", "px", "py"), jaccard),
-        sets, docs, id_col, text_col, jaccard,
+        sets, docs, id_col, text_col, jaccard, length,
     )
     matches = (
         resolved.unionByName(matched)
@@ -293,7 +321,8 @@ def repeated_lines(
     id_col: str = "doc_id",
     text_col: str = "text",
     jaccard: float = MIN_JACCARD,
+    length: int = SHINGLE_WORDS,
     crowd: int = CROWD,
 ) -> DataFrame:
     """:func:`match_lines` without the row numbers."""
-    return match_lines(docs, id_col, text_col, jaccard, crowd).drop("row")
+    return match_lines(docs, id_col, text_col, jaccard, length, crowd).drop("row")
