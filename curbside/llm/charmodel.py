@@ -36,6 +36,8 @@ _CODES[[ord(c) for c in LETTERS]] = np.arange(1, OTHER)
 _CODES[[*range(9, 14), 32]] = BOUNDARY
 
 _EDGES = ".,;:?!\"'`´“”‘’„«»()[]{}<>&%#*$~_-–—…/\\=+^|"
+# In front of a word these may well be its first letter.
+_FRONT = _EDGES.translate({ord(c): None for c in "!$|+"})
 _TRIPLE = re.compile(r"(.)\1\1")
 # Three or more single signs that are set apart, as in "b a d".
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
@@ -141,7 +143,7 @@ class Decoder:
     def words(self, token: str) -> tuple[str, ...]:
         """The words behind a lower-case token without white space."""
         if not token.isalpha():
-            token = token.strip(_EDGES)
+            token = token.rstrip(_EDGES).lstrip(_FRONT)
             if not any(map(str.isalpha, token)):
                 return ()
         if token.isalpha() and not _TRIPLE.search(token):

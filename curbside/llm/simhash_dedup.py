@@ -156,6 +156,8 @@ def _forest(home: np.ndarray, seen: np.ndarray, max_bits: int):
     The components are those of the links between the two lists; single
     fingerprints are left out, so there are fewer edges than fingerprints.
     """
+    if not len(home) or not len(seen):
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     nodes, at = np.unique(np.concatenate([home, seen]), return_inverse=True)
     home_at, seen_at = at[: len(home)], at[len(home) :]
     u, v = [], []

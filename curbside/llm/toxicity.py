@@ -97,7 +97,7 @@ def _evidence(hits: list[float], tokens: int) -> list[float]:
 _WIDTH = len(_evidence([], 0))
 
 
-def _measure(model: np.ndarray, weights: dict[str, float]):
+def _measure(model: np.ndarray, weights: dict[str, float], name: str = "evidence"):
     """Evidence of each text; all columns but the first, the text, pass on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +125,7 @@ def _measure(model: np.ndarray, weights: dict[str, float]):
                 rows.append(_evidence(list(hits.values()), len(tokens)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(rows, pa.list_(pa.float64()))],
-                names=[*batch.schema.names[1:], "evidence"],
+                names=[*batch.schema.names[1:], name],
             )
 
     return run
@@ -153,20 +153,23 @@ class ToxicityModel:
     def __init__(self, characters, weights, fit) -> None:
         self.characters, self.weights, self.fit = characters, weights, fit
 
-    def score(self, docs: DataFrame, text_col: str, *keep: str) -> DataFrame:
-        """The columns ``keep`` and ``score``."""
+    def score(
+        self, docs: DataFrame, text_col: str, *keep: str, name: str = "score"
+    ) -> DataFrame:
+        """The columns ``keep`` and the score under ``name``."""
+        evidence = fresh("evidence")
         chosen = docs.select(F.col(text_col).alias(fresh("text")), *keep)
         kinds = ", ".join(
             f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[1:]
         )
         measured = chosen.mapInArrow(
-            _measure(self.characters, self.weights),
-            f"{kinds}, evidence array<double>",
+            _measure(self.characters, self.weights, evidence),
+            f"{kinds}, {evidence} array<double>",
         )
         logit = sum(
-            (F.col("evidence")[i] * float(w) for i, w in enumerate(self.fit)), F.lit(0.0)
+            (F.col(evidence)[i] * float(w) for i, w in enumerate(self.fit)), F.lit(0.0)
         )
-        return measured.select(*keep, (1 / (1 + F.exp(-logit))).alias("score"))
+        return measured.select(*keep, (1 / (1 + F.exp(-logit))).alias(name))
 
 
 def learn_toxicity(
@@ -193,7 +196,7 @@ def learn_toxicity(
     )
     chosen = stored(chosen, "labelled")
     taught = docs.join(F.broadcast(chosen), docs[id_col] == chosen["labelled"]).select(
-        docs[text_col].alias("text"), "toxic"
+        docs[text_col].alias("text"), chosen["toxic"]
     )
     taught = stored(taught, "taught")
     bad, all_ = taught.agg(
@@ -280,5 +283,6 @@ def drop_toxic(
     """
     learn = labels.where(~held_out(id_col, 5, 0))
     model = learn_toxicity(docs, learn, id_col, text_col, label_col, sample)
-    scored = model.score(docs, text_col, *docs.columns)
-    return scored.where(F.col("score") < 0.5).select(*docs.columns)
+    score = fresh("score")
+    scored = model.score(docs, text_col, *docs.columns, name=score)
+    return scored.where(F.col(score) < 0.5).select(*docs.columns)
