@@ -23,7 +23,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 EPOCHS = 2
 # Rows that one range of a running total is meant to have.
-RANGE_ROWS = 1 << 16
+RANGE_ROWS = 1 << 12
 
 WORD = r"[^\x20\x09-\x0D]+"
 
