@@ -19,6 +19,7 @@ from curbside.operators import (
     build_sessions,
     clean_sessions,
     distance_join,
+    duplicate_meters,
     hour_column,
     hour_pivot,
     in_progress_at,
@@ -30,19 +31,29 @@ from curbside.operators import (
     occupied_days,
     occupied_in_hour,
     on_weekday,
+    pivot_of_occupancy,
     publishable,
     sessions_per_meter_weekday,
+    unlocated,
     within_distance,
 )
 from curbside.plans import (
+    append_occupancy,
     area_possibility,
     avg_meters_in_hour,
     avg_sessions_at,
+    build_hour_pivot,
+    load_half_file,
+    load_meter_weekday_counts,
+    load_meters,
     load_sessions,
     load_weekday_sessions,
     meter_possibility,
     meters_per_date,
     occupied_days_by_meter,
+    read_occupancy,
+    score_meter_days,
+    score_meter_possibility,
     score_possibility,
     score_requests,
     sessions_per_date,
@@ -51,6 +62,7 @@ from curbside.schemas import SESSION_COLUMNS, UNUSED_LEADING_COLUMN
 from curbside.scratch import scratch_folder
 from curbside.sources import (
     count_prefix,
+    preview,
     read_csv_sessions,
     read_weekday,
     split_at_row,
@@ -253,9 +265,23 @@ def pivot_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pivot_data(spark: SparkSession, sf_dir: str):
+    """Pivot and number of days from one stored table: sessions are read once."""
     sessions, meters = _place_data(spark, sf_dir)
-    n_days = observed_days(sessions, by_weekday=False).scalar()
-    return hour_pivot(sessions), meters, n_days
+    path = scratch_folder(spark, "occupancy")
+    append_occupancy(sessions, path)
+    occupied = read_occupancy(spark, path)
+    n_days = observed_days(occupied, by_weekday=False).scalar()
+    return pivot_of_occupancy(occupied), meters, n_days
+
+
+def pivot_upkeep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions that arrive in two overlapping parts, and the pivot after that."""
+    sessions = given.typed_sessions(spark, sf_dir)
+    path = scratch_folder(spark, "occupancy")
+    for part in (F.col("event_id") % 3 < 2, F.col("event_id") % 3 > 0):
+        append_occupancy(sessions.where(part), path)
+    pivot_table = pivot_of_occupancy(read_occupancy(spark, path))
+    return pivot_table.withColumnRenamed("POST_ID", "post_id")
 
 
 def place_possibility(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,6 +321,41 @@ def possibility_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_possibility(_located(spark, sf_dir), *_pivot_data(spark, sf_dir))
 
 
+def request_meter_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = _place_data(spark, sf_dir)
+    days = score_meter_days(_located(spark, sf_dir), *data)
+    return days.withColumnRenamed("POST_ID", "post_id")
+
+
+def request_meter_possibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chances = score_meter_possibility(
+        _located(spark, sf_dir), *_pivot_data(spark, sf_dir)
+    )
+    return chances.withColumnRenamed("POST_ID", "post_id")
+
+
+def unknown_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests for addresses that a gazetteer of every other nation lacks."""
+    known = given.gazetteer(spark, sf_dir).where(F.length("address") % 2 == 0)
+    requests = given.requests(spark, sf_dir)
+    return unlocated(locate(requests, known)).select("request_id", "address")
+
+
+def doubled_meters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An inventory that lists every seventh meter three times."""
+    once = given.meters(spark, sf_dir)
+    again = once.where(F.col("POST_ID").cast("long") % 7 == 0)
+    inventory = once.unionByName(again).unionByName(again)
+    return duplicate_meters(inventory).withColumnRenamed("POST_ID", "post_id")
+
+
+def previewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Any twenty rows; their number and that all are rows of the log."""
+    raw = given.raw_sessions(spark, sf_dir)
+    shown = preview(raw, 20).join(raw.select("event_id"), "event_id", "left_semi")
+    return shown.agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = given.raw_sessions(spark, sf_dir).select(*SESSION_COLUMNS)
     plain = scratch_folder(spark, "log")
@@ -331,6 +392,51 @@ def loaded_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _enriched(read_weekday(spark, table, DAY))
 
 
+def loaded_half_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log, table = scratch_folder(spark, "half-log"), scratch_folder(spark, "sessions")
+    raw = given.raw_sessions(spark, sf_dir).select(*SESSION_COLUMNS)
+    unused = F.lit("").alias(UNUSED_LEADING_COLUMN)
+    write_csv(raw.select(unused, "*"), log, header=False)
+    load_half_file(spark, log, table)
+    return spark.read.parquet(table).select(
+        F.col("POST_ID").alias("post_id"),
+        F.col("EventDate").alias("event_date"),
+        F.col("StartTime").alias("start_time"),
+        F.col("EndTime").alias("end_time"),
+        F.col("Day_Of_Week").alias("day_of_week"),
+        "start_hour",
+        "end_hour",
+    )
+
+
+def loaded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = scratch_folder(spark, "counts")
+    load_meter_weekday_counts(spark, _files(spark, sf_dir)[0], table)
+    return spark.read.parquet(table).select(
+        F.col("POST_ID").alias("post_id"),
+        F.col("Day_Of_Week").alias("day_of_week"),
+        F.col("count").alias("n_sessions"),
+    )
+
+
+def loaded_meters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = scratch_folder(spark, "meters")
+    load_meters(spark, _files(spark, sf_dir)[1], table)
+    return spark.read.parquet(table).select(
+        F.col("POST_ID").alias("post_id"),
+        F.col("CAP_COLOR").alias("cap_color"),
+        "longitude",
+        "latitude",
+    )
+
+
+def built_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sessions, table = scratch_folder(spark, "sessions"), scratch_folder(spark, "pivot")
+    write_by_weekday(given.typed_sessions(spark, sf_dir), sessions)
+    build_hour_pivot(spark, sessions, table)
+    return spark.read.parquet(table).withColumnRenamed("POST_ID", "post_id")
+
+
 def prefix_500(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = given.raw_sessions(spark, sf_dir)
     first = take_prefix(raw, 500, "event_id", index="row_index")
@@ -346,9 +452,25 @@ def bounded_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_prefix(given.raw_sessions(spark, sf_dir))
 
 
+def small_bounded_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_prefix(given.raw_sessions(spark, sf_dir), 700)
+
+
+def split_at_tie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log cut at a third of its rows in the order of a column with few values."""
+    raw = given.raw_sessions(spark, sf_dir)
+    total = raw.count()
+    first, second = split_at_row(raw, total // 3, "PAYMENT_TYPE", total)
+    parts = [first.select(F.lit(1).alias("part"), "event_id", "PAYMENT_TYPE")]
+    parts += [second.select(F.lit(2).alias("part"), "event_id", "PAYMENT_TYPE")]
+    both = parts[0].unionByName(parts[1])
+    return both.withColumnRenamed("PAYMENT_TYPE", "payment_type")
+
+
 def split_in_halves(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = given.raw_sessions(spark, sf_dir)
-    parts = split_at_row(raw, raw.count() // 2, "event_id")
+    total = raw.count()
+    parts = split_at_row(raw, total // 2, "event_id", total)
     totals = [
         part.agg(
             F.count(F.lit(1)).alias("n_rows"),
@@ -372,10 +494,14 @@ def refreshed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_csv(log.where(arrived), landing, mode="append")
         for _ in range(2):
             refresh_sessions(spark, landing, table, checkpoint)
-    return (
-        spark.read.parquet(table)
-        .groupBy(F.col("Day_Of_Week").alias("day_of_week"))
-        .agg(F.count(F.lit(1)).alias("n_sessions"))
+    return spark.read.parquet(table).select(
+        F.col("POST_ID").alias("post_id"),
+        F.col("EventDate").alias("event_date"),
+        F.col("StartTime").alias("start_time"),
+        F.col("EndTime").alias("end_time"),
+        F.col("Day_Of_Week").alias("day_of_week"),
+        "start_hour",
+        "end_hour",
     )
 
 
@@ -416,4 +542,16 @@ QUERIES: dict[str, Query] = {
     "count_prefix": bounded_count,
     "split_at_row": split_in_halves,
     "refresh_sessions": refreshed_sessions,
+    "hour_pivot_upkeep": pivot_upkeep,
+    "score_meter_days": request_meter_days,
+    "score_meter_possibility": request_meter_possibility,
+    "unlocated_requests": unknown_requests,
+    "duplicate_meters": doubled_meters,
+    "preview": previewed,
+    "load_half_file": loaded_half_file,
+    "load_meter_weekday_counts": loaded_counts,
+    "load_meters": loaded_meters,
+    "build_hour_pivot": built_pivot,
+    "count_prefix_bounded": small_bounded_count,
+    "split_at_tied_row": split_at_tie,
 }

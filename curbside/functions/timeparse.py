@@ -1,9 +1,8 @@
 """Column functions for session timestamps, clock strings and weekdays.
 
 Everything here is a native column expression, so it stays inside whole-stage
-code generation. Timestamps are parsed and formatted in the session time zone;
-set ``spark.sql.session.timeZone`` to ``UTC`` when the log carries wall-clock
-times, so that no value falls into a daylight-saving gap.
+code generation. A log carries the time on the wall, so timestamps are parsed
+without a zone: the session's time zone and its daylight-saving gaps play no part.
 """
 
 from __future__ import annotations
@@ -14,36 +13,49 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from curbside.schemas import (
-    CLOCK_FORMAT,
     CLOSE_HOUR,
-    DATE_FORMAT,
     OPEN_HOUR,
     SESSION_TS_FORMAT,
-    WEEKDAY_FORMAT,
     WEEKDAYS,
 )
 
 _CLOCK = re.compile(r"([01]\d|2[0-3]):[0-5]\d:[0-5]\d")
 
 
+# Seconds since this moment make a timestamp that has no zone.
+_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
 def parse_session_ts(text: Column | str) -> Column:
-    """Timestamp of a log entry; NULL for NULL or malformed text."""
-    return F.try_to_timestamp(text, F.lit(SESSION_TS_FORMAT))
+    """Zone-free timestamp of a log entry; NULL for NULL or malformed text."""
+    text = F.col(text) if isinstance(text, str) else text
+    # The text names its zone, UTC, so the session's own is never asked for.
+    moment = F.try_to_timestamp(
+        F.concat(text, F.lit(" +0000")), F.lit(f"{SESSION_TS_FORMAT} xx")
+    )
+    seconds = F.make_dt_interval(secs=F.unix_seconds(moment))
+    return F.expr(_EPOCH) + seconds
 
 
 def event_date(ts: Column | str) -> Column:
     """``yyyy-MM-dd`` text of a timestamp."""
-    return F.date_format(ts, DATE_FORMAT)
+    return F.substring(_text(ts), 1, 10)
 
 
 def clock(ts: Column | str) -> Column:
     """``HH:mm:ss`` text of a timestamp; fixed width, so it sorts as text."""
-    return F.date_format(ts, CLOCK_FORMAT)
+    return F.substring(_text(ts), 12, 8)
 
 
 def weekday(ts: Column | str) -> Column:
     """``Mon`` .. ``Sun``, taken from the timestamp without a detour over text."""
-    return F.date_format(ts, WEEKDAY_FORMAT)
+    day = F.weekday(F.col(ts) if isinstance(ts, str) else ts)
+    return F.get(F.array(*map(F.lit, WEEKDAYS)), day)
+
+
+def _text(ts: Column | str) -> Column:
+    """``yyyy-MM-dd HH:mm:ss``, whether or not the timestamp has a zone."""
+    return (F.col(ts) if isinstance(ts, str) else ts).cast("string")
 
 
 def window_15min(clock_text: Column) -> Column:

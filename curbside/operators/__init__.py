@@ -4,10 +4,14 @@ from curbside.operators.aggregates import (
     active_days_per_meter_weekday,
     hour_column,
     hour_pivot,
+    merge_occupancy,
     meter_count,
     observed_days,
+    occupancy,
     occupied_days,
     occupied_hours_per_date,
+    pivot_hours,
+    pivot_of_occupancy,
     sessions_per_meter_weekday,
 )
 from curbside.operators.filters import in_progress_at, occupied_in_hour, on_weekday
@@ -42,14 +46,18 @@ __all__ = [
     "is_small",
     "locate",
     "lookup_join",
+    "merge_occupancy",
     "meter_base",
     "meter_count",
     "meters_within",
     "observed_days",
+    "occupancy",
     "occupied_days",
     "occupied_hours_per_date",
     "occupied_in_hour",
     "on_weekday",
+    "pivot_hours",
+    "pivot_of_occupancy",
     "publishable",
     "salted_join",
     "sessions_per_meter_weekday",

@@ -8,6 +8,7 @@ task.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -61,6 +62,47 @@ def occupied_hours_per_date(
     )
 
 
+def occupancy(
+    sessions: DataFrame, open_hour: int = OPEN_HOUR, close_hour: int = CLOSE_HOUR
+) -> DataFrame:
+    """One row per meter and date with a session, and the bit set of its hours.
+
+    Unlike ``occupied_hours_per_date`` this has every date seen, with an empty
+    bit set where no hour counts, so pivot and observed days both come from it.
+    Tables of different arrivals add up, also where they overlap: see
+    ``merge_occupancy``.
+    """
+    mask = F.coalesce(hours_mask(open_hour, close_hour), F.lit(0))
+    return (
+        sessions.where(F.col("EventDate").isNotNull())
+        .withColumn("__mask", mask)
+        .groupBy("POST_ID", "Day_Of_Week", "EventDate")
+        .agg(F.bit_or("__mask").alias("hours"))
+    )
+
+
+def merge_occupancy(parts: DataFrame) -> DataFrame:
+    """The rows of several ``occupancy`` tables as one such table."""
+    keys = ("POST_ID", "Day_Of_Week", "EventDate")
+    return parts.groupBy(*keys).agg(F.bit_or("hours").alias("hours"))
+
+
+def pivot_of_occupancy(
+    occupied: DataFrame, hours: Iterable[int] = PIVOT_HOURS
+) -> DataFrame:
+    """The hour pivot from a merged ``occupancy`` table."""
+    hours = list(hours)
+    counts = [F.sum(hour_bit("hours", h)).alias(f"h{h}") for h in hours]
+    known = occupied.where(F.col("POST_ID").isNotNull() & (F.col("hours") != 0))
+    pivot = known.groupBy("POST_ID").agg(*counts)
+    return pivot.where(" OR ".join(f"h{h} > 0" for h in hours))
+
+
+def pivot_hours(pivot: DataFrame) -> list[int]:
+    """The hours that a pivot has a column for."""
+    return sorted(int(c[1:]) for c in pivot.columns if re.fullmatch(r"h\d+", c))
+
+
 def hour_pivot(
     sessions: DataFrame,
     hours: Iterable[int] = PIVOT_HOURS,
@@ -84,5 +126,6 @@ def hour_pivot(
 
 def hour_column(pivot: DataFrame, hour: int) -> DataFrame:
     """Meter id and one hour of the pivot as ``n_days``."""
-    check_hour(hour, PIVOT_HOURS[0], PIVOT_HOURS[-1])
+    if hour not in pivot_hours(pivot):
+        raise ValueError(f"the pivot has hours {pivot_hours(pivot)}, not {hour}")
     return pivot.select("POST_ID", F.col(f"h{hour}").alias("n_days"))

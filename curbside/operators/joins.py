@@ -2,8 +2,8 @@
 
 A side is broadcast only after its size was measured against the session's own
 limit (``spark.sql.autoBroadcastJoinThreshold``). Beyond the limit the join is
-shuffled on the key plus a salt, so that the rows of one hot key are spread
-over many tasks.
+shuffled. Keys with more rows than one task should get are counted first, and
+only these are cut into parts: as many as their rows need, whatever the data.
 """
 
 from __future__ import annotations
@@ -23,19 +23,26 @@ from pyspark.sql.types import (
     StructType,
 )
 
-DEFAULT_SALTS = 16
+# Rows of one key that a single task may get.
+ROWS_PER_TASK = 1_000_000
 
-_SIZE = re.compile(r"(-?\d+)\s*([kmgt]?)i?b?", re.IGNORECASE)
-_UNITS = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+# Joins in which an unmatched lookup row cannot show, however often it is repeated.
+LOOKUP_JOINS = ("inner", "left", "left_semi", "left_anti")
+
+_SIZE = re.compile(r"(-?\d+)\s*([kmgtp]?)i?b?", re.IGNORECASE)
+_UNITS = {"": 1} | {unit: 1 << 10 * i for i, unit in enumerate("kmgtp", start=1)}
 
 _SALT = "__salt"
+_PARTS = "__parts"
 
 
 def broadcast_limit(spark: SparkSession) -> int:
     """The session's broadcast limit in bytes; zero or less means never."""
     text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
-    number, unit = _SIZE.fullmatch(text.strip()).groups()
-    return int(number) * _UNITS[unit.lower()]
+    found = _SIZE.fullmatch(text.strip())
+    if found is None:
+        raise ValueError(f"not a size: {text!r}")
+    return int(found[1]) * _UNITS[found[2].lower()]
 
 
 def _width(value: str, kind: DataType) -> str | None:
@@ -91,9 +98,27 @@ def salt_of_row(df: DataFrame, salts: int) -> Column:
     return F.expr(f"CAST(pmod(xxhash64({values}), {salts}) AS INT)")
 
 
-def every_salt(salts: int) -> Column:
-    """One output row per salt, for the side that is repeated."""
-    return F.expr(f"explode(sequence(0, {salts - 1}))")
+def crowded_keys(
+    rows: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows, and the ``__parts`` they need.
+
+    Counted with a map-side combine, so a hot key costs one line per task. The
+    result has at most one line per ``rows_per_task`` rows of the input.
+    """
+    known = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+    counts = rows.where(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    parts = F.ceil(F.col("__rows") / rows_per_task).cast("int").alias(_PARTS)
+    return counts.where(F.col("__rows") > rows_per_task).select(*keys, parts)
+
+
+def _check_join(how: str) -> str:
+    name = how.lower().replace("_", "").removesuffix("outer")
+    name = {"leftsemi": "left_semi", "semi": "left_semi",
+            "leftanti": "left_anti", "anti": "left_anti"}.get(name, name)
+    if name not in LOOKUP_JOINS:
+        raise ValueError(f"a lookup join is one of {LOOKUP_JOINS}, not {how!r}")
+    return name
 
 
 def salted_join(
@@ -101,17 +126,38 @@ def salted_join(
     lookup: DataFrame,
     on: str | list[str],
     how: str = "inner",
-    salts: int = DEFAULT_SALTS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Shuffled join of many rows per key to few rows per key.
 
-    ``rows`` is spread over ``salts`` parts of each key and ``lookup`` repeated
-    for each of them, so every row still meets every match exactly once.
+    The rows of a crowded key are dealt into the parts that their number needs,
+    and ``lookup`` is repeated for each part of such a key alone, so every row
+    still meets every match exactly once. Rows without a key match nothing and
+    are spread as well. ``how`` is one of ``LOOKUP_JOINS``.
     """
+    how = _check_join(how)
     keys = [on] if isinstance(on, str) else list(on)
-    left = rows.withColumn(_SALT, salt_of_row(rows, salts))
-    right = lookup.withColumn(_SALT, every_salt(salts))
-    return left.join(right, [*keys, _SALT], how).drop(_SALT)
+    if rows.isStreaming:
+        return rows.join(lookup, keys, how)
+    counted = crowded_keys(rows, keys, rows_per_task)
+    found = counted.collect()
+    if not found:
+        return rows.join(lookup, keys, how)
+    crowded = rows.sparkSession.createDataFrame(found, counted.schema)
+    # One line per rows_per_task rows at most, but its size is checked all the same.
+    if is_small(crowded):
+        crowded = F.broadcast(crowded)
+    parts = F.coalesce(F.col(_PARTS), F.lit(1))
+    dealt = salt_of_row(rows, 1 << 30)
+    left = rows.withColumn("__dealt", dealt).join(crowded, keys, "left")
+    left = left.withColumn(_SALT, F.col("__dealt") % parts)
+    right = lookup.join(crowded, keys, "left").withColumn(
+        _SALT, F.explode(F.sequence(F.lit(0), parts - 1))
+    )
+    joined = left.drop("__dealt", _PARTS).join(
+        right.drop(_PARTS), [*keys, _SALT], how
+    )
+    return joined.drop(_SALT)
 
 
 def lookup_join(
@@ -119,9 +165,14 @@ def lookup_join(
     lookup: DataFrame,
     on: str | list[str],
     how: str = "inner",
-    salts: int = DEFAULT_SALTS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Join many rows to a dimension table: broadcast if small, else salted."""
+    """Join many rows to a dimension table: broadcast if small, else shuffled.
+
+    ``how`` is one of ``LOOKUP_JOINS``; which way is taken does not show in the
+    result.
+    """
+    how = _check_join(how)
     if is_small(lookup):
         return rows.join(F.broadcast(lookup), on, how)
-    return salted_join(rows, lookup, on, how, salts)
+    return salted_join(rows, lookup, on, how, rows_per_task)

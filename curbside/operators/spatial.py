@@ -17,7 +17,7 @@ from curbside.functions.geo import (
 )
 from curbside.operators.joins import (
     bytes_of_rows,
-    every_salt,
+    crowded_keys,
     fits_broadcast,
     is_small,
     lookup_join,
@@ -26,6 +26,9 @@ from curbside.operators.joins import (
 
 _CELL = ["__level", "__row", "__cell"]
 
+# Points, and meters, of one cell that a single task may get.
+CELL_ROWS = 10_000
+
 
 def within_distance(df: DataFrame, lat: float, lon: float, metres: float) -> DataFrame:
     """Rows whose ``latitude``/``longitude`` lie within ``metres`` of a point.
@@ -78,11 +81,38 @@ def _placed(meters: DataFrame, levels: list[int]) -> DataFrame:
     )
 
 
+def _dealt(looking: DataFrame, placed: DataFrame, cell_rows: int) -> DataFrame:
+    """Points and meters of the same cell, with crowded cells cut into parts."""
+    own, other = ("__point_part", "__meter_part"), ("__meter_part", "__point_part")
+    sides = []
+    for df, (mine, theirs) in ((looking, own), (placed, other)):
+        crowded = crowded_keys(df, _CELL, cell_rows).withColumnRenamed("__parts", mine)
+        found = crowded.collect()
+        sides.append(df.sparkSession.createDataFrame(found, crowded.schema))
+    parts = sides[0].join(sides[1], _CELL, "full")
+    if parts.isEmpty():
+        return looking.join(placed, _CELL)
+    # One line per cell_rows rows at most, but its size is checked all the same.
+    if is_small(parts):
+        parts = F.broadcast(parts)
+    dealt = []
+    for df, (mine, theirs) in ((looking, own), (placed, other)):
+        number = salt_of_row(df, 1 << 30)
+        df = df.withColumn("__dealt", number).join(parts, _CELL, "left")
+        every = F.sequence(F.lit(0), F.coalesce(theirs, F.lit(1)) - 1)
+        dealt.append(
+            df.withColumn(mine, F.col("__dealt") % F.coalesce(mine, F.lit(1)))
+            .withColumn(theirs, F.explode(every))
+            .drop("__dealt")
+        )
+    return dealt[0].join(dealt[1], [*_CELL, *own])
+
+
 def distance_join(
     points: DataFrame,
     meters: DataFrame,
     metres: float | None = None,
-    salts: int = 4,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """All pairs of a point and a meter that are within a radius.
 
@@ -94,10 +124,10 @@ def distance_join(
     touches, at the level that fits its own radius, so one very wide circle
     does not widen the cells of the others. Meters carry one cell per level in
     use. The join is an equi-join on the cell, with the exact distance on top.
-    A side that measures small is broadcast, after the points of a crowd were
-    spread over the tasks. Otherwise both sides are shuffled, and
-    the points and the meters of a cell are each dealt into ``salts`` parts
-    that all meet: a crowded cell becomes ``salts`` squared tasks.
+    A side that measures small is broadcast, after the rows of a crowd were
+    spread over the tasks. Otherwise both sides are shuffled. Cells with more
+    than ``cell_rows`` points or meters are counted first and dealt into as many
+    parts of each as they need; all parts of a cell's points meet all of its meters.
     """
     if metres is not None:
         points = points.withColumn("metres", F.lit(float(metres)))
@@ -122,14 +152,9 @@ def distance_join(
             spread = points.hint("rebalance")
         pairs = _looking(spread).join(F.broadcast(placed), _CELL)
     elif is_small(_looking(points)):
-        pairs = placed.join(F.broadcast(_looking(points)), _CELL)
+        pairs = placed.hint("rebalance").join(F.broadcast(_looking(points)), _CELL)
     else:
-        looking = _looking(points)
-        looking = looking.withColumn("__point_part", salt_of_row(looking, salts))
-        looking = looking.withColumn("__meter_part", every_salt(salts))
-        placed = placed.withColumn("__meter_part", salt_of_row(placed, salts))
-        placed = placed.withColumn("__point_part", every_salt(salts))
-        pairs = looking.join(placed, [*_CELL, "__point_part", "__meter_part"])
+        pairs = _dealt(_looking(points), placed, cell_rows)
 
     return (
         pairs.withColumn("distance", haversine_m("lat", "lon", "latitude", "longitude"))

@@ -1,12 +1,14 @@
 """Composite queries for one destination or many requests, and the load jobs."""
 
 from curbside.plans.jobs import (
+    append_occupancy,
     build_hour_pivot,
     load_half_file,
     load_meter_weekday_counts,
     load_meters,
     load_sessions,
     load_weekday_sessions,
+    read_occupancy,
 )
 from curbside.plans.occupancy import (
     area_possibility,
@@ -19,9 +21,15 @@ from curbside.plans.occupancy import (
     occupied_days_by_meter,
     sessions_per_date,
 )
-from curbside.plans.scoring import score_possibility, score_requests
+from curbside.plans.scoring import (
+    score_meter_days,
+    score_meter_possibility,
+    score_possibility,
+    score_requests,
+)
 
 __all__ = [
+    "append_occupancy",
     "area_possibility",
     "attach_days",
     "avg_meters_in_hour",
@@ -36,6 +44,9 @@ __all__ = [
     "meter_possibility",
     "meters_per_date",
     "occupied_days_by_meter",
+    "read_occupancy",
+    "score_meter_days",
+    "score_meter_possibility",
     "score_possibility",
     "score_requests",
     "sessions_per_date",

@@ -10,7 +10,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbside.operators.aggregates import hour_pivot, sessions_per_meter_weekday
+from curbside.operators.aggregates import (
+    hour_pivot,
+    merge_occupancy,
+    occupancy,
+    sessions_per_meter_weekday,
+)
 from curbside.operators.sessions import (
     attach_meter,
     build_sessions,
@@ -76,3 +81,21 @@ def build_hour_pivot(
 ) -> None:
     """Occupied days per meter and hour, from a written session table."""
     _save(hour_pivot(spark.read.parquet(sessions)), target, mode)
+
+
+def append_occupancy(sessions: DataFrame, path: str) -> None:
+    """Add newly loaded sessions to a stored ``occupancy`` table.
+
+    Only the new sessions are read. Adding the same ones again changes nothing
+    that ``read_occupancy`` gives.
+    """
+    occupancy(sessions).write.mode("append").parquet(path)
+
+
+def read_occupancy(spark: SparkSession, path: str) -> DataFrame:
+    """Hours occupied per meter and date over all that was added.
+
+    ``pivot_of_occupancy`` and ``observed_days`` of it are the hour pivot and
+    its number of days; the sessions are not read again for either.
+    """
+    return merge_occupancy(spark.read.parquet(path))

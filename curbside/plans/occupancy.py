@@ -27,7 +27,7 @@ from curbside.operators.aggregates import (
     occupied_days,
 )
 from curbside.operators.filters import in_progress_at, occupied_in_hour, on_weekday
-from curbside.operators.joins import is_small, salted_join
+from curbside.operators.joins import is_small
 from curbside.operators.spatial import meters_within
 from curbside.schemas import CLOSE_HOUR, MISSING_LABEL, OPEN_HOUR
 
@@ -133,11 +133,12 @@ def attach_days(
 
     A meter without any has NULL days and the missing-value label.
     """
-    joined = salted_join(near, days, "POST_ID", "left", salts=4)
-    return _label_days(joined, total_days)
+    joined = near.join(days, "POST_ID", "left")
+    return label_days(joined, total_days)
 
 
-def _label_days(joined: DataFrame, total_days: Column | int) -> DataFrame:
+def label_days(joined: DataFrame, total_days: Column | int) -> DataFrame:
+    """Add ``total_days`` and the label of ``n_days`` out of them."""
     total = total_days if isinstance(total_days, Column) else F.lit(total_days)
     label = F.when(
         F.col("n_days").isNotNull(), ratio_label(F.col("n_days"), F.col("total_days"))
@@ -174,7 +175,7 @@ def occupied_days_by_meter(
     # At most one row per meter in range, so the day counts are small as well.
     ids = near.select("POST_ID").distinct()
     days = occupied_days(hits.join(F.broadcast(ids), "POST_ID", "left_semi"))
-    return _label_days(near.join(F.broadcast(days), "POST_ID", "left"), total)
+    return label_days(near.join(F.broadcast(days), "POST_ID", "left"), total)
 
 
 def meter_possibility(
@@ -196,7 +197,7 @@ def meter_possibility(
     if is_small(near):
         joined = counts.join(F.broadcast(near), "POST_ID")
     else:
-        joined = salted_join(near, counts, "POST_ID", salts=4)
+        joined = near.join(counts, "POST_ID")
     return joined.select(
         "POST_ID",
         "latitude",

@@ -13,27 +13,32 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbside.functions.scores import possibility
+from curbside.functions.scores import (
+    occupancy_label,
+    possibility,
+    round_half_even,
+    text_or_none,
+)
 from curbside.functions.timeparse import request_hour_column, weekday_name_column
-from curbside.operators.aggregates import occupied_hours_per_date
-from curbside.operators.filters import hour_bit
-from curbside.operators.joins import (
-    bytes_of_rows,
-    fits_broadcast,
-    is_small,
-    salted_join,
+from curbside.operators.aggregates import (
+    observed_days,
+    occupied_hours_per_date,
+    pivot_hours,
 )
+from curbside.operators.filters import hour_bit
+from curbside.operators.joins import bytes_of_rows, fits_broadcast, is_small
 from curbside.operators.spatial import distance_join
-from curbside.plans.occupancy import cents, mean_possibility
-from curbside.schemas import CLOSE_HOUR, OPEN_HOUR, PIVOT_HOURS, WEEKDAYS
+from curbside.plans.occupancy import cents, label_days, mean_possibility
+from curbside.schemas import CLOSE_HOUR, OPEN_HOUR, WEEKDAYS
+from curbside.scratch import stored
 
 _PLACE = ["lat", "lon", "metres"]
 _SPOT = ["latitude", "longitude"]
 
 
 def _asked(requests: DataFrame) -> DataFrame:
-    """Requests with comparable place, weekday and hour."""
-    return requests.select(
+    """Requests with comparable place, weekday and hour, written once."""
+    asked = requests.select(
         "request_id",
         F.col("lat").cast("double").alias("lat"),
         F.col("lon").cast("double").alias("lon"),
@@ -41,29 +46,40 @@ def _asked(requests: DataFrame) -> DataFrame:
         F.coalesce(weekday_name_column("day"), F.lit("")).alias("Day_Of_Week"),
         request_hour_column("time").alias("hour"),
     )
+    return stored(asked, "requests")
 
 
-def _spots(meters: DataFrame) -> DataFrame:
-    """Meter positions with the number of meters at each."""
-    return (
-        meters.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-        .groupBy(*_SPOT)
-        .agg(F.count(F.lit(1)).alias("n"))
+def _placed(meters: DataFrame) -> DataFrame:
+    """Meters that have a position, written once."""
+    placed = meters.where(
+        F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     )
+    return stored(placed.select("POST_ID", *_SPOT), "placed-meters")
 
 
-def _positions(meters: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+def _spots(placed: DataFrame) -> DataFrame:
+    """Meter positions with the number of meters at each."""
+    return placed.groupBy(*_SPOT).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _wanted(sessions: DataFrame, asked: DataFrame) -> DataFrame:
+    """Sessions of the weekdays asked for.
+
+    At most seven rows, a proven bound. Naming them lets Spark skip the folders
+    of the other weekdays at run time.
+    """
+    days = asked.select("Day_Of_Week").where(F.col("Day_Of_Week").isin(*WEEKDAYS))
+    return sessions.join(F.broadcast(days.distinct()), "Day_Of_Week", "left_semi")
+
+
+def _positions(placed: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Meters with one position, and all positions of the meters with several.
 
     A meter that the inventory lists at two positions must count once around a
     place that reaches both, so such meters cannot be added up by position.
     The second table is None if there are none, which is the rule.
     """
-    placed = meters.where(
-        F.col("POST_ID").isNotNull()
-        & F.col("latitude").isNotNull()
-        & F.col("longitude").isNotNull()
-    ).select("POST_ID", *_SPOT)
+    placed = placed.where(F.col("POST_ID").isNotNull())
     at = F.struct(*_SPOT)
     ends = placed.groupBy("POST_ID").agg(
         F.min(at).alias("__first"), F.max(at).alias("__last")
@@ -71,7 +87,7 @@ def _positions(meters: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     fixed = F.col("__first") == F.col("__last")
     moved, size = ends.agg(F.count_if(~fixed), bytes_of_rows(ends)).first()
     single = ends.where(fixed).select("POST_ID", "__first.latitude", "__first.longitude")
-    if fits_broadcast(meters.sparkSession, size):
+    if fits_broadcast(placed.sparkSession, size):
         single = F.broadcast(single)
     if not moved:
         return single, None
@@ -88,6 +104,7 @@ def score_requests(
 ) -> DataFrame:
     """Average number of different meters occupied, for every request.
 
+    With the rounded average and the line shown at the destination.
     ``requests`` has ``request_id``, ``lat``, ``lon``, ``metres``, ``day`` and
     ``time``; see ``locate`` for addresses. A request with no position, no such
     weekday or an hour outside operation keeps its row with a NULL average.
@@ -100,16 +117,12 @@ def score_requests(
     place_day = [*_PLACE, "Day_Of_Week"]
     spot_day = [*_SPOT, "Day_Of_Week"]
 
-    asked = _asked(requests)
+    asked, placed = _asked(requests), _placed(meters)
     place_days = asked.select(*place_day).distinct()
-
-    # Only the weekdays asked for: at most seven rows, a proven bound.
-    # Naming them lets Spark skip the folders of the others at run time.
-    days = asked.select("Day_Of_Week").where(F.col("Day_Of_Week").isin(*WEEKDAYS))
-    wanted = sessions.join(F.broadcast(days.distinct()), "Day_Of_Week", "left_semi")
+    wanted = _wanted(sessions, asked)
     occupied = occupied_hours_per_date(wanted, open_hour, close_hour)
 
-    single, several = _positions(meters)
+    single, several = _positions(placed)
     spot_dates = (
         occupied.join(single, "POST_ID")
         .select(*spot_day, "EventDate", no_meters, *bits)
@@ -118,7 +131,7 @@ def score_requests(
     )
     # The meters of a spot ride along as a line without a date, so that one
     # join gives both the meters in range and those occupied.
-    spots = _spots(meters)
+    spots = _spots(placed)
     any_day = ", ".join(f"'{day}'" for day in (*WEEKDAYS, ""))
     inventory = spots.selectExpr(
         *_SPOT,
@@ -131,7 +144,7 @@ def score_requests(
 
     near = distance_join(place_days, spots.select(*_SPOT)).drop("distance")
     parts = (
-        salted_join(near, facts, spot_day, salts=4)
+        near.join(facts, spot_day)
         .groupBy(*place_day, "EventDate")
         .agg(*sums)
     )
@@ -153,12 +166,17 @@ def score_requests(
         F.sum("n").alias("n_meters"),
         *[F.expr(f"avg(CASE WHEN {c} > 0 THEN {c} END) AS {c}") for c in counters],
     )
+    average = _of_hour("n", hours)
+    occupied = round_half_even(average)
+    n_meters = F.coalesce(F.col("n_meters"), F.lit(0).cast("long"))
     return _answer(
         asked,
         scored,
         place_day,
-        _of_hour("n", hours).alias("avg_meters"),
-        F.coalesce(F.col("n_meters"), F.lit(0).cast("long")).alias("n_meters"),
+        average.alias("avg_meters"),
+        occupied.alias("occupied"),
+        n_meters.alias("n_meters"),
+        occupancy_label(occupied, n_meters).alias("label"),
     )
 
 
@@ -172,45 +190,114 @@ def score_possibility(
 
     The weekday plays no part, as the pivot is counted over all of them.
     """
-    asked = _asked(requests)
+    asked, placed, hours = _asked(requests), _placed(meters), pivot_hours(pivot)
     places = asked.select(*_PLACE).distinct()
-    near = distance_join(places, _spots(meters)).drop("distance")
+    near = distance_join(places, _spots(placed)).drop("distance")
 
-    scores = [possibility(F.col(f"h{h}"), n_days).alias(f"p{h}") for h in PIVOT_HOURS]
-    rated = pivot.select("POST_ID", *scores)
-    placed = meters.where(
-        F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
-    ).select("POST_ID", *_SPOT)
+    rated = _rated(pivot, n_days)
     if is_small(placed):
         joined = rated.join(F.broadcast(placed), "POST_ID")
     else:
-        joined = salted_join(placed, rated, "POST_ID", salts=4)
-    kept = {h: F.when(F.col(f"p{h}") > 0, F.col(f"p{h}")) for h in PIVOT_HOURS}
+        joined = placed.join(rated, "POST_ID")
+    kept = {h: F.when(F.col(f"p{h}") > 0, F.col(f"p{h}")) for h in hours}
     by_spot = joined.groupBy(*_SPOT).agg(
         *[F.sum(cents(p)).alias(f"c{h}") for h, p in kept.items()],
         *[F.count(p).alias(f"u{h}") for h, p in kept.items()],
     )
     by_place = (
-        salted_join(near, by_spot, _SPOT, "left", salts=4)
+        near.join(by_spot, _SPOT, "left")
         .groupBy(*_PLACE)
         .agg(
             F.sum("n").alias("n_meters_in_range"),
-            *[F.sum(f"c{h}").alias(f"c{h}") for h in PIVOT_HOURS],
-            *[F.sum(f"u{h}").alias(f"u{h}") for h in PIVOT_HOURS],
+            *[F.sum(f"c{h}").alias(f"c{h}") for h in hours],
+            *[F.sum(f"u{h}").alias(f"u{h}") for h in hours],
         )
     )
-    sum_cents, used = _of_hour("c", PIVOT_HOURS), _of_hour("u", PIVOT_HOURS)
+    sum_cents, used = _of_hour("c", hours), _of_hour("u", hours)
     zero = F.lit(0).cast("long")
+    mean = mean_possibility(sum_cents, used)
     return _answer(
         asked,
         by_place,
         _PLACE,
-        mean_possibility(sum_cents, used).alias("possibility"),
+        mean.alias("possibility"),
         F.coalesce(F.col("n_meters_in_range"), zero).alias("n_meters_in_range"),
         F.coalesce(used, zero).alias("n_meters_used"),
+        text_or_none(mean).alias("label"),
     )
 
 
+def _rated(pivot: DataFrame, n_days: Column | int) -> DataFrame:
+    """The possibility of each meter, one column ``p<hour>`` per hour."""
+    scores = [
+        possibility(F.col(f"h{h}"), n_days).alias(f"p{h}") for h in pivot_hours(pivot)
+    ]
+    return pivot.select("POST_ID", *scores)
+
+
+def _in_range(asked: DataFrame, placed: DataFrame) -> DataFrame:
+    """Every request with each meter in its range; equal places are joined once."""
+    pairs = distance_join(asked.select(*_PLACE).distinct(), placed).drop("distance")
+    return asked.join(pairs, _PLACE).drop(*_PLACE)
+
+
+def score_meter_days(
+    requests: DataFrame,
+    sessions: DataFrame,
+    meters: DataFrame,
+    open_hour: int = OPEN_HOUR,
+    close_hour: int = CLOSE_HOUR,
+) -> DataFrame:
+    """Occupied days of every meter in range of every request.
+
+    One row per request and meter, as ``occupied_days_by_meter`` gives for one
+    request: days occupied in the hour out of the days observed on the weekday,
+    and the label. A request with no position, no such weekday or an hour
+    outside operation has no rows.
+    """
+    hours = range(open_hour, close_hour + 1)
+    asked, placed = _asked(requests), _placed(meters)
+    wanted = _wanted(sessions, asked)
+    answerable = F.col("Day_Of_Week").isin(*WEEKDAYS) & F.col("hour").between(
+        open_hour, close_hour
+    )
+    days = (
+        occupied_hours_per_date(wanted, open_hour, close_hour)
+        .groupBy("POST_ID", "Day_Of_Week")
+        .agg(*[F.sum(hour_bit("hours", h)).alias(f"d{h}") for h in hours])
+    )
+    # One line per weekday, at most seven and one for none.
+    total = observed_days(wanted).withColumnRenamed("n_days", "observed")
+    joined = (
+        _in_range(asked.where(answerable), placed)
+        .join(days, ["POST_ID", "Day_Of_Week"], "left")
+        .join(F.broadcast(total), "Day_Of_Week", "left")
+    )
+    n_days = _of_hour("d", hours)
+    counted = joined.withColumn("n_days", F.when(n_days > 0, n_days))
+    labelled = label_days(counted, F.coalesce(F.col("observed"), F.lit(0)))
+    return labelled.select(
+        "request_id", "POST_ID", *_SPOT, "n_days", "total_days", "label"
+    )
+
+
+def score_meter_possibility(
+    requests: DataFrame, pivot: DataFrame, meters: DataFrame, n_days: Column | int
+) -> DataFrame:
+    """Possibility of every meter in range of every request, if it has one.
+
+    One row per request and meter, as ``meter_possibility`` gives for one request.
+    """
+    asked, placed = _asked(requests), _placed(meters)
+    chances = _in_range(asked, placed).join(_rated(pivot, n_days), "POST_ID")
+    return chances.select(
+        "request_id",
+        "POST_ID",
+        *_SPOT,
+        _of_hour("p", pivot_hours(pivot)).alias("possibility"),
+    ).where(F.col("possibility") > 0)
+
+
 def _of_hour(name: str, hours: Iterable[int]) -> Column:
     """The column ``<name><hour>`` for the hour of each row, else NULL."""
     cases = " ".join(f"WHEN {h} THEN {name}{h}" for h in hours)
@@ -221,5 +308,5 @@ def _answer(
     asked: DataFrame, scored: DataFrame, keys: list[str], *columns: Column
 ) -> DataFrame:
     """Hand each request the answer of its place; unknown places get none."""
-    joined = salted_join(asked, scored, keys, "left", salts=4)
+    joined = asked.join(scored, keys, "left")
     return joined.select("request_id", *columns)

@@ -2,20 +2,32 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the one that ``spark.checkpoint.dir`` names.
+    """A fresh folder that all executors see, removed when the session ends.
 
-    Every executor must see it, so only a local session may go without.
+    It lies below the folder that ``spark.checkpoint.dir`` names or, where that
+    is unset, below the session's warehouse. It does not exist yet.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="curbside-")
-    return f"{base.rstrip('/')}/{name}-{uuid4().hex}"
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    own = f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    # Only a folder that exists can be marked for removal.
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return f"{own}/{name}-{uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once, so that what reads them twice does not redo them."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

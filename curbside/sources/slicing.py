@@ -12,8 +12,10 @@ from curbside.schemas import BOUNDED_SCAN_ROWS, PREFIX_ROWS
 _N = "__n"
 _KEY = "__key"
 
-# So many values are added up in one task; more are cut into ranges again.
-_VALUES_IN_ONE_TASK = 500_000
+# So many rows are added up value by value; more are cut by splitters again.
+_ROWS_AT_ONCE = 500_000
+_SPLITTERS = 64
+_SAMPLE_PER_SPLITTER = 32
 
 # Copies of one row are written out in pieces of this many.
 _COPIES_PER_TASK_ROW = 100_000
@@ -48,8 +50,11 @@ def take_prefix(
 
 
 def count_prefix(df: DataFrame, n: int = BOUNDED_SCAN_ROWS) -> DataFrame:
-    """Number of rows, counted up to ``n``."""
-    return df.select().limit(n).agg(F.count(F.lit(1)).alias("n"))
+    """Number of rows, or ``n`` if there are more.
+
+    One number leaves each task, and a Parquet table gives it from its footers.
+    """
+    return df.select().agg(F.least(F.count(F.lit(1)), F.lit(n)).cast("long").alias("n"))
 
 
 def _key(df: DataFrame, columns: list[str]) -> Column:
@@ -68,44 +73,67 @@ def _key(df: DataFrame, columns: list[str]) -> Column:
     )
 
 
+def _splitters(part: DataFrame, key: Column, n_rows: int, seed: int) -> list:
+    """A few values spread over the rows of ``part``, in order."""
+    wanted = _SPLITTERS * _SAMPLE_PER_SPLITTER
+    sample = part.select(key.alias(_KEY)).sample(min(1.0, wanted / n_rows), seed)
+    nth = F.row_number().over(W.orderBy(_KEY)) % _SAMPLE_PER_SPLITTER
+    chosen = sample.withColumn("__nth", nth).where("__nth = 0").select(_KEY).distinct()
+    return chosen.orderBy(_KEY).collect()
+
+
 def _boundary(
-    df: DataFrame, columns: list[str], n_rows: int
+    df: DataFrame, columns: list[str], n_rows: int, total: int
 ) -> tuple[Column, int, int]:
     """The value of ``columns`` that holds row ``n_rows``, in their order.
 
     Returns it with the number of rows before it and the number of rows that
-    share it. Rows are counted per value first, so equal values cost one row.
-    The values are laid out in ranges, and one line per range tells which of
-    them holds the row; that range is laid out again until it is small enough
-    to be added up value by value.
+    share it. A sample gives splitters, and one scan counts the rows that lie
+    between them or equal one: neither rows nor keys are shuffled, only counts.
+    The part that holds the row is cut again until it is small enough to be
+    added up value by value. Any splitters give the same answer.
     """
     spark = df.sparkSession
-    ranges = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    counts = df.groupBy(_key(df, columns).alias(_KEY)).agg(F.count(F.lit(1)).alias(_N))
-    before = 0
-    while True:
-        per_range = (
-            counts.repartitionByRange(ranges, _KEY)
-            .groupBy(F.spark_partition_id().alias("__range"))
-            .agg(
-                F.min(_KEY).alias("lo"),
-                F.max(_KEY).alias("hi"),
-                F.sum(_N).alias(_N),
-                F.count(F.lit(1)).alias("n_values"),
-            )
+    key = _key(df, columns)
+    kind = df.select(key.alias(_KEY)).schema
+    part, before, rows = df, 0, total
+
+    def value(row):
+        return spark.createDataFrame([row], kind).select(_KEY).scalar()
+
+    for seed in range(64):
+        if rows <= _ROWS_AT_ONCE:
+            break
+        cuts = _splitters(part, key, rows, seed)
+        if not cuts:
+            continue
+        every = spark.createDataFrame(cuts, kind).agg(
+            F.array_sort(F.collect_list(_KEY)).alias("s")
         )
-        holding = _first_reaching(per_range, "lo", n_rows - before)
-        found = holding.first()
-        # The range is given by its values, not by a partition number, so that
-        # it means the same rows if anything has to be run again.
-        ends = spark.createDataFrame([found], holding.schema)
-        before += found["upto"] - found[_N]
-        counts = counts.where(
-            (F.col(_KEY) >= ends.select("lo").scalar())
-            & (F.col(_KEY) <= ends.select("hi").scalar())
+        placed = part.select(key.alias(_KEY), every.scalar().alias("__cuts"))
+        below = F.size(F.filter("__cuts", lambda s: s < F.col(_KEY)))
+        upto = F.size(F.filter("__cuts", lambda s: s <= F.col(_KEY)))
+        counts = (
+            placed.select(below.alias("below"), (upto - below).alias("equal"))
+            .groupBy("below", "equal")
+            .agg(F.count(F.lit(1)).alias(_N))
+            .orderBy("below", "equal")
+            .collect()
         )
-        if found["n_values"] <= _VALUES_IN_ONE_TASK:
-            break
+        for found in counts:
+            if before + found[_N] >= n_rows:
+                break
+            before += found[_N]
+        at = found["below"]
+        if found["equal"]:
+            return value(cuts[at]), before, found[_N]
+        rows = found[_N]
+        if at > 0:
+            part = part.where(key > value(cuts[at - 1]))
+        if at < len(cuts):
+            part = part.where(key < value(cuts[at]))
+
+    counts = part.groupBy(key.alias(_KEY)).agg(F.count(F.lit(1)).alias(_N))
     holding = _first_reaching(counts, _KEY, n_rows - before)
     found = holding.first()
     value = spark.createDataFrame([found], holding.schema).select(_KEY).scalar()
@@ -127,7 +155,8 @@ def _copies(df: DataFrame, row: DataFrame, n: int) -> DataFrame:
     size = F.least(
         F.lit(_COPIES_PER_TASK_ROW), F.lit(n) - F.col("__piece") * _COPIES_PER_TASK_ROW
     )
-    out = row.withColumn("__piece", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
+    every = F.sequence(F.lit(0).cast("long"), F.lit(pieces - 1).cast("long"))
+    out = row.withColumn("__piece", F.explode(every))
     if pieces > 1:
         out = out.repartition(pieces, "__piece")
     copies = F.explode(F.sequence(F.lit(1), size.cast("int")))
@@ -135,12 +164,16 @@ def _copies(df: DataFrame, row: DataFrame, n: int) -> DataFrame:
 
 
 def split_at_row(
-    df: DataFrame, n_rows: int, order_by: str | list[str]
+    df: DataFrame,
+    n_rows: int,
+    order_by: str | list[str],
+    total: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The first ``n_rows`` rows in an order, and all the others.
 
-    Looks up the row at the cut and then filters on its value, so the rows
-    themselves are neither sorted nor shuffled. Rows equal in ``order_by`` are
+    ``total`` is the number of rows where the caller knows it. Looks up the row
+    at the cut and then filters on its value; the table is read a few times, but
+    neither its rows nor all its keys are sorted or shuffled. Rows equal in ``order_by`` are
     ordered by all their columns; of identical rows the cut leaves a number on
     each side. Both parts depend on the values alone: whatever is run again,
     no row is in both parts or in none.
@@ -148,11 +181,12 @@ def split_at_row(
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
     if n_rows <= 0:
         return df.limit(0), df
-    if n_rows >= df.count():
+    total = df.count() if total is None else total
+    if n_rows >= total:
         return df, df.limit(0)
 
     key = _key(df, keys)
-    cut, before, tied = _boundary(df, keys, n_rows)
+    cut, before, tied = _boundary(df, keys, n_rows, total)
     take = n_rows - before
     if take == tied:
         return df.where(key <= cut), df.where(key > cut)
@@ -160,7 +194,7 @@ def split_at_row(
     equal = df.where(key == cut)
     every = [*keys, *[c for c in df.columns if c not in keys]]
     whole = _key(df, every)
-    row, before, copies = _boundary(equal, every, take)
+    row, before, copies = _boundary(equal, every, take, tied)
     same = equal.where(whole == row).limit(1)
     n_first = take - before
     first = df.where(key < cut).union(equal.where(whole < row))

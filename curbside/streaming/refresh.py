@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from curbside.operators.sessions import attach_meter, clean_sessions, meter_base
 from curbside.schemas import SESSION_SCHEMA
 
-_PROGRESS_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
+# Seconds between looks at the progress, of which Spark keeps the last batches.
+_LOOK_AFTER = 0.2
 
 
 def refresh_sessions(
@@ -22,6 +24,8 @@ def refresh_sessions(
     header: bool = True,
     schema: StructType = SESSION_SCHEMA,
     files_per_batch: int = 1000,
+    files_per_weekday: int | None = None,
+    archive: str | None = None,
 ) -> int:
     """Clean the files that are new in ``landing`` and append them to ``table``.
 
@@ -31,10 +35,18 @@ def refresh_sessions(
     batches. With ``meters``, a raw inventory, the sessions carry the position
     of their meter as of this run.
 
+    A batch writes at most ``files_per_weekday`` files for a weekday, by default
+    a seventh of the session's shuffle partitions. Each holds some hours of the
+    day, so a scan for one hour can skip files.
+
+    Loaded files move to ``archive`` if it is given, so that listing ``landing``
+    does not slow down. Their names stay in the checkpoint; a file that comes
+    back under a remembered name is not loaded again.
+
     ``table`` and ``checkpoint`` must lie in storage that all executors share,
     and ``table`` must be written by this function alone.
     """
-    log = (
+    reader = (
         spark.readStream.schema(schema)
         .option("header", header)
         .option("enforceSchema", False)
@@ -42,20 +54,25 @@ def refresh_sessions(
         # if it were a week older than the newest one.
         .option("maxFileAge", "36500d")
         .option("maxFilesPerTrigger", files_per_batch)
-        .csv(landing)
     )
-    sessions = clean_sessions(log, window)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option(
+            "sourceArchiveDir", archive
+        )
+    sessions = clean_sessions(reader.csv(landing), window)
     if meters is not None:
         sessions = attach_meter(sessions, meter_base(meters))
-    # The row count below needs the progress of every batch, not of the last 100.
-    kept = spark.conf.get(_PROGRESS_KEPT)
-    spark.conf.set(_PROGRESS_KEPT, "1000000")
-    try:
-        query = _start(sessions, table, checkpoint)
-    finally:
-        spark.conf.set(_PROGRESS_KEPT, kept)
-    query.awaitTermination()
-    return sum(batch["numInputRows"] for batch in query.recentProgress)
+    parts = files_per_weekday or max(
+        1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 7
+    )
+    query = _start(_laid_out(sessions, parts), table, checkpoint)
+    return _rows_read(query)
+
+
+def _laid_out(sessions: DataFrame, parts: int) -> DataFrame:
+    """Rows of a weekday and of a part of its hours in one task."""
+    hours = F.floor(F.coalesce("start_hour", F.lit(0)) * parts / 24)
+    return sessions.repartition(7 * parts, "Day_Of_Week", hours)
 
 
 def _start(sessions: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
@@ -68,3 +85,19 @@ def _start(sessions: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _rows_read(query: StreamingQuery) -> int:
+    """Rows of all batches, added up while they run; keeps one number."""
+    total, last = 0, None
+    running = True
+    while running:
+        running = not query.awaitTermination(_LOOK_AFTER)
+        for batch in query.recentProgress:
+            number = batch["batchId"]
+            if last is not None and number <= last:
+                continue
+            if last is not None and number > last + 1:
+                raise RuntimeError("batches ended faster than they could be counted")
+            total, last = total + batch["numInputRows"], number
+    return total

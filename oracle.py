@@ -77,7 +77,8 @@ PAIRS = (
     + METERS
     + f""",
 pairs AS (
-  SELECT request_id, post_id, {_distance("lat", "lon")} AS metres, radius, weekday, at_hour
+  SELECT request_id, post_id, latitude, longitude, {_distance("lat", "lon")} AS metres,
+         radius, weekday, at_hour
   FROM requests, meters
   WHERE {_distance("lat", "lon")} <= radius)"""
 )
@@ -142,6 +143,10 @@ def oracle_sql() -> dict[str, str]:
     """One statement per catalogue query."""
     picked_cents = " ".join(f"WHEN {h} THEN c{h}" for h in HOURS)
     picked_used = " ".join(f"WHEN {h} THEN u{h}" for h in HOURS)
+    picked_chance = " ".join(f"WHEN {h} THEN {_chance(f'h{h}')}" for h in HOURS)
+    whole_sessions = f"""WITH {SESSIONS}
+SELECT post_id, event_date, start_time, end_time, day_of_week, start_hour, end_hour
+FROM sessions"""
     rated = ",\n".join(
         f"""  sum(CASE WHEN {_chance(f"h{h}")} > 0
              THEN CAST(round({_chance(f"h{h}")} * 100, 0) AS BIGINT) END) AS c{h},
@@ -249,7 +254,11 @@ per_date AS (
   GROUP BY request_id, event_date),
 averages AS (SELECT request_id, avg(n) AS a FROM per_date GROUP BY request_id),
 totals AS (SELECT request_id, count(*) AS n_meters FROM pairs GROUP BY request_id)
-SELECT request_id, round(a, 6) AS avg_meters, coalesce(n_meters, 0) AS n_meters
+SELECT request_id, round(a, 6) AS avg_meters,
+       CAST(round_even(a, 0) AS BIGINT) AS occupied, coalesce(n_meters, 0) AS n_meters,
+       'Historical Occupancy = '
+         || coalesce(CAST(CAST(round_even(a, 0) AS BIGINT) AS VARCHAR), 'None')
+         || '/' || CAST(coalesce(n_meters, 0) AS VARCHAR) AS label
 FROM requests LEFT JOIN averages USING (request_id) LEFT JOIN totals USING (request_id)""",
         "score_possibility": f"""WITH {SESSIONS},{PAIRS},{PIVOT},
 rated AS (
@@ -262,7 +271,8 @@ picked AS (
   FROM rated)
 SELECT request_id, CAST({_mean("c", "u")} AS DOUBLE) AS possibility,
        coalesce(n_meters_in_range, 0) AS n_meters_in_range,
-       coalesce(u, 0) AS n_meters_used
+       coalesce(u, 0) AS n_meters_used,
+       coalesce(CAST(CAST({_mean("c", "u")} AS DOUBLE) AS VARCHAR), 'None') AS label
 FROM requests LEFT JOIN picked USING (request_id)""",
         "csv_roundtrip": f"""WITH {RAW}
 SELECT form, post_id, street_block, payment_type, session_start_dt, session_end_dt,
@@ -280,6 +290,51 @@ FROM raw ORDER BY event_id LIMIT 500""",
 SELECT CASE WHEN rn <= total // 2 THEN 1 ELSE 2 END AS part, count(*) AS n_rows,
        min(event_id) AS min_event_id, max(event_id) AS max_event_id
 FROM numbered GROUP BY 1""",
-        "refresh_sessions": f"""WITH {SESSIONS}
-SELECT day_of_week, count(*) AS n_sessions FROM sessions GROUP BY day_of_week""",
+        "refresh_sessions": whole_sessions,
+        "load_half_file": whole_sessions,
+        "hour_pivot_upkeep": f"""WITH {SESSIONS},{PIVOT}
+SELECT * FROM pivot_table""",
+        "build_hour_pivot": f"""WITH {SESSIONS},{PIVOT}
+SELECT * FROM pivot_table""",
+        "score_meter_days": f"""WITH {SESSIONS},{PAIRS},
+days AS (
+  SELECT post_id, day_of_week, at_hour, count(DISTINCT event_date) AS n_days
+  FROM sessions, (SELECT DISTINCT at_hour FROM requests) AS asked
+  WHERE start_hour BETWEEN 9 AND at_hour AND end_hour BETWEEN at_hour AND 17
+  GROUP BY post_id, day_of_week, at_hour),
+total AS (
+  SELECT day_of_week, count(DISTINCT event_date) AS total_days
+  FROM sessions GROUP BY day_of_week)
+SELECT request_id, p.post_id, latitude, longitude, n_days,
+       coalesce(total_days, 0) AS total_days,
+       coalesce(CAST(n_days AS VARCHAR) || '/' || CAST(coalesce(total_days, 0) AS VARCHAR),
+                'None') AS label
+FROM pairs p
+  LEFT JOIN days d ON d.post_id = p.post_id AND d.day_of_week = weekday
+    AND d.at_hour = p.at_hour
+  LEFT JOIN total t ON t.day_of_week = weekday""",
+        "score_meter_possibility": f"""WITH {SESSIONS},{PAIRS},{PIVOT},
+chances AS (
+  SELECT request_id, post_id, latitude, longitude,
+         CAST(CASE at_hour {picked_chance} END AS DOUBLE) AS possibility
+  FROM pairs JOIN pivot_table USING (post_id), total)
+SELECT * FROM chances WHERE possibility > 0""",
+        "unlocated_requests": f"""WITH {REQUESTS}
+SELECT request_id, address FROM requests WHERE length(address) % 2 = 1""",
+        "duplicate_meters": f"""WITH {METERS}
+SELECT post_id, CAST(3 AS BIGINT) AS n_rows FROM meters
+WHERE CAST(post_id AS BIGINT) % 7 = 0""",
+        "preview": "SELECT least(count(*), 20) AS n_rows FROM events",
+        "load_meter_weekday_counts": f"""WITH {SESSIONS}
+SELECT post_id, day_of_week, count(*) AS n_sessions FROM sessions GROUP BY ALL""",
+        "load_meters": f"""WITH {METERS}
+SELECT post_id, cap_color, longitude, latitude FROM meters""",
+        "count_prefix_bounded": "SELECT least(count(*), 700) AS n FROM events",
+        "split_at_tied_row": """WITH numbered AS (
+  SELECT event_id, event_type AS payment_type,
+         row_number() OVER (ORDER BY event_type, event_id) AS rn,
+         count(*) OVER () AS total
+  FROM events)
+SELECT CASE WHEN rn <= total // 3 THEN 1 ELSE 2 END AS part, event_id, payment_type
+FROM numbered""",
     }

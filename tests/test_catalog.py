@@ -2,14 +2,18 @@ import pytest
 from compare import connect, spark_rows, sql_rows
 
 import __spark_entry__ as entry_point
+import oracle
 from conftest import SMALL
+from curbside import catalog
 
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+QUERIES = catalog.QUERIES
+SQL = oracle.oracle_sql()
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(SQL) <= set(entry_point.oracle_sql())
 
 
 @pytest.fixture(scope="module", params=["sf0.001", "sf0.01"])

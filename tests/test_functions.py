@@ -105,3 +105,18 @@ def test_labels(spark):
         ("Historical Occupancy = 3/57", "3/57"),
         ("Historical Occupancy = None/0", "None/0"),
     ]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
+def test_times_do_not_depend_on_the_session_zone(spark, conf, zone):
+    conf("spark.sql.session.timeZone", zone)
+    # The clocks of Los Angeles skip this hour.
+    df = one_column(spark, ["10-MAR-19 02.30.00 AM", "03-NOV-19 01.30.00 AM"])
+    ts = X.parse_session_ts("v")
+    got = df.select(
+        X.event_date(ts), X.clock(ts), X.weekday(ts), F.hour(ts)
+    ).collect()
+    assert [tuple(r) for r in got] == [
+        ("2019-03-10", "02:30:00", "Sun", 2),
+        ("2019-11-03", "01:30:00", "Sun", 1),
+    ]

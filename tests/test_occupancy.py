@@ -6,6 +6,8 @@ from brute import days_per_meter, mean, meters_per_date, near, sessions_per_date
 from pyspark.sql import functions as F
 
 import curbside as cb
+from conftest import SMALL
+from curbside import fixtures
 
 PLACE = (37.779, -122.41, 400.0)
 SESSIONS = (
@@ -185,7 +187,13 @@ def test_scores_of_many_requests(spark, data):
             average = mean(
                 meters_per_date(plain, inventory, lat, lon, radius, day.capitalize(), hour).values()
             )
-        assert got[key] == (average if average is None else pytest.approx(average), n)
+        occupied = None if average is None else round(average)
+        assert got[key] == (
+            average if average is None else pytest.approx(average),
+            occupied,
+            n,
+            f"Historical Occupancy = {occupied}/{n}",
+        )
 
 
 def test_possibilities_of_many_requests(spark, data):
@@ -198,8 +206,8 @@ def test_possibilities_of_many_requests(spark, data):
     for key, lat, lon, radius, _, time in [*rows[:4], rows[35]]:
         hour = int(time.split(":")[0])
         one = cb.area_possibility(pivot, meters, lat, lon, radius, hour, 14).first()
-        assert got[key] == tuple(one)[:3]
-    assert got[200] == got[205] == (None, 0, 0)
+        assert got[key] == tuple(one)
+    assert got[200] == got[205] == (None, 0, 0, "None")
     assert got[201][0] is not None
     assert got[202][0] is got[203][0] is None
     assert got[203][1] == got[100][1]
@@ -214,3 +222,35 @@ def test_bad_requests_are_refused(data):
     for hour in (8, 18):
         with pytest.raises(ValueError):
             cb.avg_meters_in_hour(sessions, meters, *PLACE, "Mon", hour)
+
+
+def test_pivot_with_other_hours_can_be_read(spark):
+    sessions = fixtures.typed_sessions(spark, SMALL)
+    pivot = cb.hour_pivot(sessions, range(8, 21), 8, 20)
+    assert cb.pivot_hours(pivot) == list(range(8, 21))
+    assert cb.hour_column(pivot, 8).columns == ["POST_ID", "n_days"]
+    with pytest.raises(ValueError):
+        cb.hour_column(pivot, 21)
+    requests = cb.locate(fixtures.requests(spark, SMALL), fixtures.gazetteer(spark, SMALL))
+    meters = fixtures.meters(spark, SMALL)
+    short = cb.hour_pivot(sessions, [9, 10])
+    rows = cb.score_possibility(requests, short, meters, 19).collect()
+    assert len(rows) == requests.count()
+
+
+def test_batch_rows_equal_the_answers_for_one_request(spark):
+    sessions, meters = fixtures.typed_sessions(spark, SMALL), fixtures.meters(spark, SMALL)
+    asked = spark.createDataFrame(
+        [(1, 37.779, -122.41, 900.0, "Mon", "11:00")],
+        "request_id int, lat double, lon double, metres double, day string, time string",
+    )
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    days = cb.score_meter_days(asked, sessions, meters).drop("request_id")
+    one = cb.occupied_days_by_meter(sessions, meters, 37.779, -122.41, 900.0, "Mon", 11)
+    assert rows(days.select(*one.columns)) == rows(one) != []
+    pivot = cb.hour_pivot(sessions)
+    chances = cb.score_meter_possibility(asked, pivot, meters, 19).drop("request_id")
+    single = cb.meter_possibility(pivot, meters, 37.779, -122.41, 900.0, 11, 19)
+    assert rows(chances.select(*single.columns)) == rows(single) != []

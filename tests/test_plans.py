@@ -16,9 +16,6 @@ def plan(df):
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 @pytest.mark.parametrize("limit", ["10MB", "-1"])
 def test_no_python_and_no_cross_join(spark, conf, name, limit):
-    written = ("refresh_sessions", "csv_roundtrip", "weekday_partition", "load_sessions")
-    if limit == "-1" and name in (*written, "load_weekday_sessions"):
-        pytest.skip("reads what it wrote, so its plan has no join")
     conf("spark.sql.autoBroadcastJoinThreshold", limit)
     text = plan(catalog.QUERIES[name](spark, SMALL))
     for slow in ("PythonUDF", "EvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "MapInPandas"):
@@ -84,3 +81,32 @@ def test_sessions_are_reduced_before_any_shuffle(spark, conf):
 def test_parsing_happens_once_per_row(spark):
     text = plan(cb.clean_sessions(fixtures.raw_sessions(spark, SMALL)))
     assert text.count("gettimestamp(") == 2
+
+
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_plans_that_load_jobs_write(spark, conf, limit):
+    conf("spark.sql.autoBroadcastJoinThreshold", limit)
+    raw, meters = fixtures.raw_sessions(spark, SMALL), fixtures.raw_meters(spark, SMALL)
+    for df in (
+        cb.build_sessions(raw, meters),
+        cb.attach_meter(cb.publishable(cb.clean_sessions(raw)), cb.meter_base(meters)),
+    ):
+        text = plan(df)
+        assert ("BroadcastHashJoin" in text) == (limit != "-1")
+        for slow in ("PythonUDF", "EvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert slow not in text
+
+
+def test_scorers_launch_few_jobs_before_they_return(spark):
+    requests = cb.locate(fixtures.requests(spark, SMALL), fixtures.gazetteer(spark, SMALL))
+    sessions, meters = fixtures.typed_sessions(spark, SMALL), fixtures.meters(spark, SMALL)
+    pivot = cb.hour_pivot(sessions)
+    tracker = spark.sparkContext.statusTracker()
+    for name, build in (
+        ("requests", lambda: cb.score_requests(requests, sessions, meters)),
+        ("possibility", lambda: cb.score_possibility(requests, pivot, meters, 19)),
+    ):
+        spark.sparkContext.setJobGroup(name, name)
+        build()
+        assert len(tracker.getJobIdsForGroup(name)) <= 20
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -107,3 +107,24 @@ def test_small_batches_are_all_counted_and_one_weekday_is_read(spark, log, tmp_p
     assert rows == 3 * log.count() == spark.read.parquet(table).count()
     monday = cb.read_weekday(spark, table, "Mon")
     assert monday.count() == 3 * cb.on_weekday(cb.clean_sessions(log), "Mon").count()
+
+
+def test_files_per_weekday_and_batch_are_bounded(spark, log, tmp_path):
+    landing, table, checkpoint = folders(tmp_path)
+    cb.write_csv(log.repartition(8), landing)
+    cb.refresh_sessions(spark, landing, table, checkpoint, files_per_weekday=2)
+    for day in os.listdir(table):
+        if day.startswith("Day_Of_Week="):
+            files = [f for f in os.listdir(f"{table}/{day}") if f.endswith(".parquet")]
+            assert len(files) <= 2
+
+
+def test_loaded_files_are_archived(spark, log, tmp_path):
+    landing, table, checkpoint = folders(tmp_path)
+    for k in range(3):
+        cb.write_csv(part(log, k), landing, mode="append")
+        rows = cb.refresh_sessions(
+            spark, landing, table, checkpoint, archive=f"{tmp_path}/archive"
+        )
+        assert rows == part(log, k).count()
+    assert spark.read.parquet(table).count() == log.count()

@@ -164,7 +164,8 @@ def test_split_of_unique_rows(spark, n):
 @pytest.mark.parametrize("n", [1, 100, 150, 250, 299, 300, 301, 450])
 def test_split_among_ties_and_copies(spark, monkeypatch, n):
     # A third of the rows share the key, and most of those are identical.
-    monkeypatch.setattr(slicing, "_VALUES_IN_ONE_TASK", 20)
+    monkeypatch.setattr(slicing, "_ROWS_AT_ONCE", 20)
+    monkeypatch.setattr(slicing, "_SPLITTERS", 4)
     monkeypatch.setattr(slicing, "_COPIES_PER_TASK_ROW", 16)
     rows = [(i, f"v{i}") for i in range(100)]
     rows += [(100, "copy")] * 120 + [(100, f"t{i:02d}") for i in range(80)]
@@ -189,8 +190,30 @@ def test_scratch_folder_is_new_each_time_and_shared(spark):
     assert a != b
     if base:
         assert a.startswith(base)
-    remote = MagicMock()
-    remote.conf.get.return_value = None
-    remote.sparkContext.master = "yarn"
-    with pytest.raises(ValueError):
-        scratch_folder(remote, "x")
+    else:
+        assert a.startswith(spark.conf.get("spark.sql.warehouse.dir"))
+
+
+def test_split_moves_no_rows_and_few_keys(spark, monkeypatch):
+    monkeypatch.setattr(slicing, "_ROWS_AT_ONCE", 1000)
+    df = spark.range(50_000).select((F.col("id") * 7919 % 50_000).alias("k"), "id")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("split", "split")
+    first, second = cb.split_at_row(df, 20_000, "k", 50_000)
+    shuffled = 0
+    store = spark.sparkContext._jsc.sc().statusStore()
+    for job in tracker.getJobIdsForGroup("split"):
+        for stage in tracker.getJobInfo(job).stageIds:
+            shuffled += store.lastStageAttempt(stage).shuffleWriteRecords()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert shuffled < 15_000
+    assert first.count() == 20_000 and first.agg(F.max("k")).first()[0] == 19_999
+    assert second.count() == 30_000 and second.agg(F.min("k")).first()[0] == 20_000
+
+
+def test_many_copies_are_counted_in_long_numbers(spark):
+    df = spark.createDataFrame([(1,)], "k int")
+    copies = slicing._copies(df, df, 3_000_000_000)
+    sizes = copies._jdf.queryExecution().analyzed().toString()
+    assert "bigint" in sizes or "cast" in sizes
+    assert slicing._copies(df, df, 250_001).count() == 250_001

@@ -160,3 +160,15 @@ def test_salted_join_loses_and_doubles_nothing(spark):
     for how in ("inner", "left"):
         plain, salted = rows.join(lookup, "k", how), cb.salted_join(rows, lookup, "k", how)
         assert plain.exceptAll(salted).count() == salted.exceptAll(plain).count() == 0
+
+
+def test_crowded_cells_are_dealt_and_lose_nothing(spark, never_broadcast):
+    points = spark.range(400).select(
+        F.col("id").alias("p"), F.lit(37.77).alias("lat"), F.lit(-122.41).alias("lon"),
+        F.lit(100.0).alias("metres"),
+    )
+    meters = spark.range(300).select(
+        F.col("id").alias("m"), F.lit(37.77).alias("latitude"), F.lit(-122.41).alias("longitude")
+    )
+    pairs = cb.distance_join(points, meters, cell_rows=50)
+    assert pairs.count() == pairs.select("p", "m").distinct().count() == 400 * 300
