@@ -28,6 +28,11 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 _SLOTS = 1 << 22
 
 
+def _packed(words: np.ndarray) -> bytes:
+    """Words as four bytes each, which is enough to align them."""
+    return (words >> np.uint64(32)).astype("<u4").tobytes()
+
+
 def _items(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -35,7 +40,7 @@ def _items(words: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array([h.view(np.int64) for h in hashes], pa.list_(pa.int64())),
+                    pa.array([_packed(h) for h in hashes], pa.binary()),
                     pa.array(
                         [gram_hashes(h, words).view(np.int64) for h in hashes],
                         pa.list_(pa.int64()),
@@ -104,7 +109,7 @@ def _passages(bits: np.ndarray, words: int, reach: int):
     """Words around the seeds of each document, overlapping parts as one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
             at, begins, lines, seeds = [], [], [], []
             for row, text in enumerate(batch.column(0)):
                 hashes = word_hashes(text.as_py())
@@ -117,7 +122,7 @@ def _passages(bits: np.ndarray, words: int, reach: int):
                     high = int(part[-1]) + words + reach
                     at.append(row)
                     begins.append(low)
-                    lines.append(hashes[low:high].view(np.int64))
+                    lines.append(_packed(hashes[low:high]))
                     seeds.append(np.unique(grams[part]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -125,7 +130,7 @@ def _passages(bits: np.ndarray, words: int, reach: int):
                     batch.column(2).take(pa.array(at, pa.int64())),
                     batch.column(3).take(pa.array(at, pa.int64())),
                     pa.array(begins, pa.int64()),
-                    pa.array(lines, pa.list_(pa.int64())),
+                    pa.array(lines, pa.binary()),
                     pa.array(seeds, pa.list_(pa.int64())),
                 ],
                 names=["id", "row", "sign", "begin", "words", "seeds"],
@@ -167,8 +172,8 @@ def smith_waterman(lines: list[np.ndarray], items: list[np.ndarray]):
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        lines = [x.values.to_numpy(zero_copy_only=False) for x in batch.column(1)]
-        items = [x.values.to_numpy(zero_copy_only=False) for x in batch.column(2)]
+        lines = [np.frombuffer(x.as_py(), "<u4") for x in batch.column(1)]
+        items = [np.frombuffer(x.as_py(), "<u4") for x in batch.column(2)]
         score, end = np.zeros(len(lines), np.int64), np.zeros(len(lines), np.int64)
         order = sorted(range(len(lines)), key=lambda i: (len(items[i]), len(lines[i])))
         while order:
@@ -219,7 +224,7 @@ def find_leaks(
     items = stored(
         benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("t"))
         .mapInArrow(
-            _items(words), f"item {item_kind}, words array<bigint>, grams array<bigint>"
+            _items(words), f"item {item_kind}, words binary, grams array<bigint>"
         )
         .where(F.size("grams") > 0)
         .distinct()
@@ -243,7 +248,8 @@ def find_leaks(
         "seeds",
     )
     # A passage reaches as far as the longest item may stretch.
-    longest = items.agg(F.max(F.size("words"))).first()[0] or 0
+    longest = items.agg(F.max(F.octet_length("words"))).first()[0] or 0
+    longest //= 4
     numbered = docs.select(
         F.col(text_col).alias("t"),
         F.col(id_col).alias("id"),
@@ -253,7 +259,7 @@ def find_leaks(
     passages = stored(
         numbered.mapInArrow(
             _passages(_filter(seeds), words, longest + longest // 2),
-            f"id {id_kind}, row bigint, sign bigint, begin bigint, words array<bigint>,"
+            f"id {id_kind}, row bigint, sign bigint, begin bigint, words binary,"
             " seeds array<bigint>",
         ),
         "passages",
