@@ -28,9 +28,8 @@ CROWD = 64
 
 
 def line_words(line: Column) -> Column:
-    """Lower-case words of a line."""
-    blanks = F.translate(F.lower(line), "\t\x0b\x0c\r", "    ")
-    return F.array_remove(F.split(blanks, " "), "")
+    """Words of a line of :func:`_lines`."""
+    return F.array_remove(F.split(line, " "), "")
 
 
 def _shingles(words: Column, length: int, of) -> Column:
@@ -40,12 +39,18 @@ def _shingles(words: Column, length: int, of) -> Column:
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Lower-case lines whose words are apart by blanks alone."""
     text = F.coalesce(F.col(text_col), F.lit(""))
+    low = F.lower(text)
+    # Few texts have other white space, and to replace it costs more than to look.
+    plain = F.when(
+        F.rlike(low, F.lit(r"[\t\x0B\f\r]")), F.translate(low, "\t\x0b\x0c\r", "    ")
+    ).otherwise(low)
     return docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).alias("id"),
         F.xxhash64(text).alias("sign"),
-        F.posexplode(F.split(text, "\n")).alias("line_no", "line"),
+        F.posexplode(F.split(plain, "\n")).alias("line_no", "line"),
     )
 
 
@@ -102,8 +107,8 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, jaccard: float, length: i
         tokens.select(
             "row", "id", "sign", "line_no",
             F.size("long").alias("n"),
-            F.xxhash64("words").alias("k1"),
-            F.xxhash64(F.lit(1), "words").alias("k2"),
+            F.xxhash64("long").alias("k1"),
+            F.xxhash64(F.lit(1), "long").alias("k2"),
             # Half of each hash will do: what it finds is looked at again.
             F.transform("long", lambda h: F.shiftright(h, 32).cast("int")).alias("tokens"),
         ),
@@ -276,14 +281,23 @@ def match_lines(
         "set", "n", F.coalesce("done", F.lit(False)).alias("done"),
         F.posexplode("prefix").alias("pos", "token"),
     )
+    # Size, position and flag travel as one number.
+    packed = F.shiftleft(F.col("n").cast("long"), 32) + F.shiftleft("pos", 1)
+    packed += F.col("done").cast("int")
+    flagged = flagged.select("token", "set", "done", packed.alias("packed"))
     query = flagged.where(~F.col("done")).select(
-        "token", F.col("set").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py")
+        "token", F.col("set").alias("y"), F.col("packed").alias("qy")
     )
-    others = flagged.select(
-        "token", F.col("set").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"),
-        F.col("done").alias("dx"),
-    )
-    met = query.join(others, "token").where(
+    others = flagged.select("token", F.col("set").alias("x"), F.col("packed").alias("qx"))
+    both = query.join(others, "token")
+    for side in "xy":
+        number = F.col(f"q{side}")
+        position = F.shiftright(number.bitwiseAND(0xFFFFFFFF), 1)
+        both = both.withColumns(
+            {f"n{side}": F.shiftright(number, 32), f"p{side}": position}
+        )
+    both = both.withColumn("dx", F.col("qx").bitwiseAND(1) == 1)
+    met = both.where(
         (F.col("y") != F.col("x"))
         & (F.col("dx") | (F.col("x") < F.col("y")))
         & (F.least("nx", "ny") >= overlap)
