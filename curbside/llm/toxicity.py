@@ -184,7 +184,7 @@ def learn_toxicity(
 
     At most ``sample`` labelled documents are used, chosen by a hash of the id.
     A document with several labels has the largest; null labels and ids do not
-    count. Without labels of both kinds every score is the share of label 1.
+    count, and of rows that repeat an id the smallest text is read. Without labels of both kinds every score is the share of label 1.
     """
     characters = charmodel.train(docs, text_col)
     chosen = (
@@ -196,9 +196,13 @@ def learn_toxicity(
     )
     chosen = stored(chosen, "labelled")
     taught = docs.join(F.broadcast(chosen), docs[id_col] == chosen["labelled"]).select(
-        docs[text_col].alias("text"), chosen["toxic"]
+        docs[text_col].alias("text"), chosen["toxic"], chosen["labelled"]
     )
-    taught = stored(taught, "taught")
+    # One row per label, however often an id is repeated.
+    taught = taught.groupBy("labelled").agg(
+        F.min("text").alias("text"), F.max("toxic").alias("toxic")
+    )
+    taught = stored(taught.select("text", "toxic"), "taught")
     bad, all_ = taught.agg(
         F.count(F.when(F.col("toxic"), 1)), F.count(F.lit(1))
     ).first()
