@@ -142,6 +142,18 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, jaccard: float, length: i
     return rows.drop("tokens"), sets
 
 
+def _among(keys: DataFrame, key: Column) -> Column:
+    """Whether a hash may be among ``keys``: a bit for each of 64 * ``SLOTS``."""
+    bits = keys.select(F.pmod("key", F.lit(64 * SLOTS)).alias("bit")).distinct()
+    bits = bits.groupBy(F.shiftright("bit", 6).alias("slot")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("value")
+    )
+    array = _array_of(stored(bits, "wanted-bits"))
+    bit = F.pmod(key, F.lit(64 * SLOTS))
+    word = F.element_at(array, (F.shiftright(bit, 6) + 1).cast("int"))
+    return F.getbit(word, bit.bitwiseAND(63).cast("int")) == 1
+
+
 def _verified(pairs, sets, docs, id_col, text_col, jaccard, length):
     """Of pairs of sets ``(x, y)`` those that are similar: earlier and later set."""
     pairs = stored(pairs, "line-pairs")
@@ -150,17 +162,12 @@ def _verified(pairs, sets, docs, id_col, text_col, jaccard, length):
         both.join(sets, "set").select("set", "first.id", "first.sign", "first.line_no"),
         "wanted",
     )
-    # Texts without any wanted line stay where they are.
-    bits = wanted.select(F.pmod("sign", F.lit(64 * SLOTS)).alias("bit")).distinct()
-    bits = bits.groupBy(F.shiftright("bit", 6).alias("slot")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("value")
-    )
-    filter_ = _array_of(stored(bits, "wanted-bits"))
+    # Texts and lines that are not wanted stay where they are.
     sign = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    bit = F.pmod(sign, F.lit(64 * SLOTS))
-    word = F.element_at(filter_, (F.shiftright(bit, 6) + 1).cast("int"))
-    held = F.getbit(word, bit.bitwiseAND(63).cast("int")) == 1
-    lines = _lines(docs.where(held), id_col, text_col).drop("row")
+    texts = docs.where(_among(wanted.select(F.col("sign").alias("key")), sign))
+    at = F.xxhash64("sign", "line_no")
+    lines = _lines(texts, id_col, text_col).drop("row")
+    lines = lines.where(_among(wanted.select(at.alias("key")), at))
     found = (
         lines.join(wanted, same(lines, wanted, "id", "sign", "line_no"))
         .select(wanted["set"], line_words(F.col("line")).alias("words"))
