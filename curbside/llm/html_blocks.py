@@ -56,15 +56,18 @@ _BESIDE = frozenset(
     " recommended recommendations trending comment comments commentlist disqus respond"
     " reply replies pagination pager toolbar".split()
 )
-_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th figcaption".split())
 _TEXT_ROOTS = ("article", "main", "body")
 
 
 class Block(NamedTuple):
-    """A text and the hashes of the elements that hold it, outermost first."""
+    """A text and the hashes of the elements that hold it, outermost first.
+
+    ``named`` tells that tags, roles, classes or ids put it beside the text.
+    """
 
     text: str
     path: tuple[int, ...]
+    named: bool = False
 
 
 class _Element:
@@ -120,23 +123,39 @@ class _Builder:
         self.at = self.top
         self.blocks: list[tuple[str, _Element]] = []
         self.text: list[str] = []
-        self.owner = self.top
+        self.owner: _Element | None = None
         self.roots: list[_Element] = []
 
     def add(self, raw: str) -> None:
-        if not self.text:
-            self.owner = self.at
+        raw = html.unescape(raw)
         self.text.append(raw)
+        # Every run of white space becomes one space.
+        piece = " ".join(raw.split())
+        if piece:
+            self.at.pieces.append(piece)
+            self.owner = self.at if self.owner is None else self._both(self.owner, self.at)
+
+    def _both(self, one: _Element, other: _Element) -> _Element:
+        """The innermost element that holds both."""
+        if one is other:
+            return one
+        above = set()
+        element: _Element | None = other
+        while element is not None:
+            above.add(id(element))
+            element = element.parent
+        while id(one) not in above:
+            one = one.parent
+        return one
 
     def cut(self) -> None:
         """End the block at hand."""
         if self.text:
-            # Split into words: every run of white space becomes one space.
-            text = " ".join(html.unescape("".join(self.text)).split())
+            text = " ".join("".join(self.text).split())
             self.text = []
             if text:
                 self.blocks.append((text, self.owner))
-                self.owner.pieces.append(text)
+            self.owner = None
 
     def close(self) -> None:
         """Close the innermost element."""
@@ -225,13 +244,14 @@ def _parse(page: str) -> _Builder:
     return builder
 
 
-def text_blocks(page: str | None) -> list[Block]:
-    """Blocks of the article, the main part or else the body of a page.
+def page_blocks(page: str | None) -> list[Block]:
+    """All blocks of a page, with the hashes of every element that may recur.
 
-    What tags, roles, classes or ids name as menu, header, footer, sidebar,
-    notice, advert, form, script, style or comments is left out, unless it holds
-    the article. The path of a block has the elements that may be found to be a
-    template: all but the page, the article and, within an article, its prose.
+    These are all but the page itself, its body, main part and articles, and but
+    the paragraphs of an article. ``named`` are blocks outside the article, the
+    main part or else the body, and what tags, roles, classes or ids name as menu,
+    header, footer, sidebar, notice, advert, form or comments, unless it holds the
+    article. Scripts and styles are no text.
     """
     builder = _parse(page or "")
     holding: set[int] = set()
@@ -245,33 +265,31 @@ def text_blocks(page: str | None) -> list[Block]:
     def left_out(element: _Element) -> bool:
         return element.dropped or element.beside and id(element) not in holding
 
-    kept = []
+    found, present = [], set()
     for text, owner in builder.blocks:
         chain = []
         element: _Element | None = owner
         while element is not builder.top:
-            if left_out(element):
-                break
             chain.append(element)
             element = element.parent
-        else:
-            kept.append((text, chain))
-    present = {e.root for _, chain in kept for e in chain}
+        named = any(map(left_out, chain))
+        if not named:
+            present.update(e.root for e in chain)
+        found.append((text, chain, named))
     root = next((r for r in _TEXT_ROOTS if r in present), "")
     blocks = []
-    for text, chain in kept:
-        if root and all(e.root != root for e in chain):
-            continue
-        inside = root in ("article", "main")
+    for text, chain, named in found:
+        named = named or bool(root) and all(e.root != root for e in chain)
+        prose = any(e.root == "article" for e in chain)
         path = tuple(
             e.hash
             for e in reversed(chain)
-            if not e.root and e.tag != "html" and not (inside and _inner(e, chain))
+            if not e.root and e.tag != "html" and not (prose and e.tag == "p")
         )
-        blocks.append(Block(text, path))
+        blocks.append(Block(text, path, named))
     return blocks
 
 
-def _inner(element: _Element, chain: list[_Element]) -> bool:
-    """Whether an element of an article is its prose: prose or inline tags."""
-    return element.tag in _PROSE or element.tag not in BLOCK
+def text_blocks(page: str | None) -> list[Block]:
+    """The blocks of a page that nothing names as beside the text."""
+    return [block for block in page_blocks(page) if not block.named]
