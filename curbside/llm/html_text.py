@@ -67,11 +67,12 @@ def extract_text(
     html_col: str = "html",
     min_pages: int = MIN_PAGES,
     min_share: float = MIN_SHARE,
+    between: str = "\n",
 ) -> DataFrame:
     """One row per page: id, url, ``text`` and ``n_chars``.
 
     Character references are decoded, white space within a block is one space,
-    and blocks are joined by line ends. Every element is counted, also what tags,
+    and blocks are joined by ``between``. Every element is counted, also what tags,
     roles, classes or ids name. A subtree on at least ``min_pages``
     pages and ``min_share`` of all pages of its host is a template, unless it is all the text that
     a page has.
@@ -128,7 +129,7 @@ def extract_text(
     chosen = F.when(
         F.col("templates").isNull() | (F.size(rest) == 0), F.col("blocks")
     ).otherwise(rest)
-    text = F.array_join(chosen["text"], "\n")
+    text = F.array_join(chosen["text"], between)
     name = fresh("text")
     return joined.select("id", "url", text.alias(name)).select(
         F.col("id").alias(id_col),

@@ -24,7 +24,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract_text(read(spark, sf_dir, "pages"))
+    return extract_text(read(spark, sf_dir, "pages"), between="\n\n")
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

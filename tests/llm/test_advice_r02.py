@@ -1,5 +1,8 @@
+from conftest import SMALL
 from curbside.llm import html_text
 from curbside.llm.html_blocks import text_blocks
+from curbside.llm.queries import QUERIES
+from curbside.llm.tables import read
 
 
 def texts_of(spark, pages, **options):
@@ -35,3 +38,12 @@ def test_block_that_begins_inline_belongs_to_its_paragraph():
     [block] = text_blocks("<body><div><b>One</b> line</div></body>")
     [other] = text_blocks("<body><div><b>One</b> other</div></body>")
     assert block.text == "One line" and len(block.path) == 1 and block.path != other.path
+
+
+def test_query_parts_blocks_by_two_line_ends(spark):
+    pages = {r.page_id: r.html for r in read(spark, SMALL, "pages").collect()}
+    found = QUERIES["op2_html_text"](spark, SMALL).collect()
+    assert any("\n\n" in r.text for r in found)
+    for r in found:
+        assert r.text == "\n\n".join(b.text for b in text_blocks(pages[r.page_id]))
+        assert r.n_chars == len(r.text)
