@@ -19,6 +19,8 @@ from curbside.llm.tables import fresh, stored
 
 MIN_PAGES = 5
 MIN_SHARE = 0.2
+# On so many pages a subtree is a template, however many more the host has.
+MANY_PAGES = 100
 
 _BLOCKS = "array<struct<text:string,path:array<bigint>>>"
 _NAMED = "array<bigint>"
@@ -68,13 +70,15 @@ def extract_text(
     min_pages: int = MIN_PAGES,
     min_share: float = MIN_SHARE,
     between: str = "\n",
+    many_pages: int = MANY_PAGES,
 ) -> DataFrame:
     """One row per page: id, url, ``text`` and ``n_chars``.
 
     Character references are decoded, white space within a block is one space,
     and blocks are joined by ``between``. Every element is counted, also what tags,
     roles, classes or ids name. A subtree on at least ``min_pages``
-    pages and ``min_share`` of all pages of its host is a template, unless it is all the text that
+    pages and ``min_share`` of all pages of its host, or on ``many_pages``
+    of them, is a template, unless it is all the text that
     a page has.
     Paragraphs within an article are never a template.
 
@@ -112,7 +116,7 @@ def extract_text(
         .where(F.col("n") >= min_pages)
     )
     templates = counted.join(totals, "site").where(
-        F.col("n") >= min_share * F.col("pages")
+        F.col("n") >= F.least(min_share * F.col("pages"), F.lit(float(many_pages)))
     )
     # Only pages with a template are touched again, and only their numbers.
     touched = (

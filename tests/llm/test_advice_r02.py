@@ -47,3 +47,11 @@ def test_query_parts_blocks_by_two_line_ends(spark):
     for r in found:
         assert r.text == "\n\n".join(b.text for b in text_blocks(pages[r.page_id]))
         assert r.n_chars == len(r.text)
+
+
+def test_template_of_one_section_of_a_large_host(spark):
+    pages = []
+    for i in range(800):
+        same = "<div><p>All of our news</p></div>" if i < 120 else ""
+        pages.append((i, "http://a.example/", f"<div><p>own {i}</p></div>{same}"))
+    assert texts_of(spark, pages) == {i: f"own {i}" for i in range(800)}
