@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,12 +32,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, 256):
             part = batch.slice(start, 256)
-            rows, named = [], []
+            rows, named, signs = [], [], []
             for page in part.column(0):
                 found = page_blocks(page.as_py())
                 blocks = [b for b in found if not b.named]
                 beside = {h for b in found if b.named for h in b.path}
                 named.append(np.array(sorted(beside), np.uint64).view(np.int64))
+                text = "\n".join(b.text for b in blocks).encode("utf-8", "replace")
+                signs.append(xxhash.xxh64_intdigest(text))
                 rows.append(
                     [
                         {
@@ -51,8 +54,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     *part.columns[1:],
                     pa.array(rows, kind),
                     pa.array(named, pa.list_(pa.int64())),
+                    pa.array(np.array(signs, np.uint64).view(np.int64)),
                 ],
-                names=[*part.schema.names[1:], "blocks", "named"],
+                names=[*part.schema.names[1:], "blocks", "named", "sign"],
             )
 
 
@@ -77,9 +81,9 @@ def extract_text(
     Character references are decoded, white space within a block is one space,
     and blocks are joined by ``between``. Every element is counted, also what tags,
     roles, classes or ids name. A subtree on at least ``min_pages``
-    pages and ``min_share`` of all pages of its host, or on ``many_pages``
-    of them, is a template, unless it is all the text that
-    a page has.
+    distinct pages and ``min_share`` of all pages of its host, or on ``many_pages``
+    of them, is a template. A page with
+    nothing but templates has an empty text, and pages of equal text count once.
     Paragraphs within an article are never a template.
 
     Null and empty html, and pages without text, give an empty text. Pages
@@ -97,22 +101,23 @@ def extract_text(
         ).mapInArrow(
             _cut,
             f"row bigint, id {id_kind}, url string, site bigint, blocks {_BLOCKS},"
-            f" named {_NAMED}",
+            f" named {_NAMED}, sign bigint",
         ),
         "page-blocks",
     )
     on_page = cut.select(
         "site",
         "row",
+        "sign",
         F.explode(F.array_union(F.flatten(F.col("blocks.path")), "named")).alias("subtree"),
     )
     in_text = cut.select(
         "site", "row", F.explode(F.array_distinct(F.flatten("blocks.path"))).alias("subtree")
     )
-    totals = cut.groupBy("site").agg(F.count(F.lit(1)).alias("pages"))
+    totals = cut.groupBy("site").agg(F.count_distinct("sign").alias("pages"))
     counted = (
         on_page.groupBy("site", "subtree")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count_distinct("sign").alias("n"))
         .where(F.col("n") >= min_pages)
     )
     templates = counted.join(totals, "site").where(
@@ -130,9 +135,7 @@ def extract_text(
     rest = F.filter(
         "blocks", lambda b: ~F.arrays_overlap(b["path"], F.col("templates"))
     )
-    chosen = F.when(
-        F.col("templates").isNull() | (F.size(rest) == 0), F.col("blocks")
-    ).otherwise(rest)
+    chosen = F.when(F.col("templates").isNull(), F.col("blocks")).otherwise(rest)
     text = F.array_join(chosen["text"], between)
     name = fresh("text")
     return joined.select("id", "url", text.alias(name)).select(

@@ -55,3 +55,19 @@ def test_template_of_one_section_of_a_large_host(spark):
         same = "<div><p>All of our news</p></div>" if i < 120 else ""
         pages.append((i, "http://a.example/", f"<div><p>own {i}</p></div>{same}"))
     assert texts_of(spark, pages) == {i: f"own {i}" for i in range(800)}
+
+
+def test_pages_of_nothing_but_templates_are_empty(spark):
+    menu = "<div><span>Home</span></div><div><span>Contact</span></div>"
+    pages = [(i, "http://a.example/", f"{menu}<div><p>own {i}</p></div>") for i in range(10)]
+    pages.append((10, "http://a.example/", menu))
+    text = texts_of(spark, pages)
+    assert text == {i: f"own {i}" for i in range(10)} | {10: ""}
+
+
+def test_copies_of_a_page_do_not_make_its_text_a_template(spark):
+    menu = "<div><span>Home</span></div>"
+    pages = [(i, "http://a.example/", f"{menu}<div><p>own {i}</p></div>") for i in range(10)]
+    pages += [(i, "http://a.example/", f"{menu}<div><p>copied</p></div>") for i in range(10, 20)]
+    text = texts_of(spark, pages)
+    assert text == {i: f"own {i}" if i < 10 else "copied" for i in range(20)}
