@@ -1,12 +1,22 @@
 """Find test items in training texts, also where they were edited.
 
-Rare n-grams of the items are the seeds. Documents keep the words around each
-seed that they have; seeds join these passages to items, and Smith-Waterman
+Rare word pairs of the items are the seeds. Documents keep the words around
+seeds that they have; seeds join these passages to items, and Smith-Waterman
 alignment of the words scores how much of an item a passage holds.
+
+No pair that can reach the score is missed. Of an alignment take the gaps between
+matched words, ``a`` words of the item left out and ``b`` of the document put in,
+each at a cost of max(a, b). Let ``g`` gaps have a = 0 and b <= 1, so that the
+item's pair is in the document, side by side or around one word. All others cost
+at least a, or 2 where a = 0, so an item of n words scores at most
+2 + 2g + (n - 1 - g) / 2, which bounds g from below. All but the commonest pairs of
+an item are its seeds, so that at least two of the g are among them.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,14 +28,18 @@ from pyspark.sql import functions as F
 from curbside.llm.tables import fresh, stored
 from curbside.llm.wordhash import gram_hashes, word_hashes
 
-SEED_WORDS = 3
-# Every run of so many n-grams has a seed, the rarest of them.
-WINDOW = 3
+# Items of fewer words are never found.
+LEAST_WORDS = 3
+# Seeds that an alignment has at least, if the item is long enough.
+SHARED = 2
 MIN_SCORE = 0.4
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 # Bits of the filter before the join; its size is fixed.
 _SLOTS = 1 << 22
+# The passage filter has the classes of items that have a seed, and a last bit
+# for items of which one seed is enough.
+_MASKS, _CLASSES = 1 << 20, 63
 
 
 def _packed(words: np.ndarray) -> bytes:
@@ -33,7 +47,33 @@ def _packed(words: np.ndarray) -> bytes:
     return (words >> np.uint64(32)).astype("<u4").tobytes()
 
 
-def _items(words: int):
+def _sure(words: int, min_score: float) -> int:
+    """Neighbouring pairs of an item in any text that reaches the score, at least."""
+    return math.ceil((MATCH * min_score * words - words / 2 - 1.5) / 1.5 - 1e-9)
+
+
+def _pairs(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of neighbouring words, and of words around one other."""
+    near = gram_hashes(hashes, 2)
+    # Every other word, from the first and from the second on.
+    wide = np.zeros(max(len(hashes) - 2, 0), np.uint64)
+    wide[::2], wide[1::2] = gram_hashes(hashes[::2], 2), gram_hashes(hashes[1::2], 2)
+    return near, wide
+
+
+def _item_pairs(hashes: np.ndarray, least: int, min_score: float) -> np.ndarray:
+    """The pairs that may be seeds; of short items also those around a word.
+
+    If no neighbouring pair is sure, a gap of a cost of 1 still is: else two
+    matches would not score more than one.
+    """
+    if len(hashes) < least:
+        return np.zeros(0, np.uint64)
+    near, wide = _pairs(hashes)
+    return near if _sure(len(hashes), min_score) > 0 else np.concatenate([near, wide])
+
+
+def _items(least: int, min_score: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes = [word_hashes(t.as_py()) for t in batch.column(1)]
@@ -42,7 +82,7 @@ def _items(words: int):
                     batch.column(0),
                     pa.array([_packed(h) for h in hashes], pa.binary()),
                     pa.array(
-                        [gram_hashes(h, words).view(np.int64) for h in hashes],
+                        [_item_pairs(h, least, min_score).view(np.int64) for h in hashes],
                         pa.list_(pa.int64()),
                     ),
                 ],
@@ -68,14 +108,30 @@ def _filter(grams: DataFrame) -> np.ndarray:
     return np.unpackbits(octets, bitorder="little").astype(bool)
 
 
-def _count(bits: np.ndarray, words: int):
-    """How often each n-gram that passes the filter occurs."""
+def _masks(seeds: DataFrame) -> np.ndarray:
+    """For each slot of seeds the classes of their items, as bits."""
+    kind = F.when(F.col("need") < SHARED, _CLASSES).otherwise(
+        F.pmod(F.xxhash64("item_row"), F.lit(_CLASSES)).cast("int")
+    )
+    rows = (
+        seeds.select(F.col("gram").bitwiseAND(_MASKS - 1).alias("at"), kind.alias("kind"))
+        .groupBy("at")
+        .agg(F.bit_or(F.expr("shiftleft(1L, kind)")).alias("bits"))
+        .toArrow()
+    )
+    masks = np.zeros(_MASKS, np.uint64)
+    masks[rows["at"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    return masks
+
+
+def _count(bits: np.ndarray):
+    """How often each pair that passes the filter occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             for text in batch.column(0):
-                grams = gram_hashes(word_hashes(text.as_py()), words)
+                grams = np.concatenate(_pairs(word_hashes(text.as_py())))
                 found.append(grams[bits[grams & np.uint64(_SLOTS - 1)]])
             grams, times = np.unique(
                 np.concatenate(found or [np.zeros(0, np.uint64)]), return_counts=True
@@ -88,24 +144,43 @@ def _count(bits: np.ndarray, words: int):
     return run
 
 
-def _rarest(window: int):
-    """The rarest n-gram of every run of ``window`` n-grams of each item."""
+def _rarest(min_score: float):
+    """The seeds of each item: all its pairs but the commonest ones."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            seeds, items = [], []
-            for item, grams in zip(batch["item_row"], batch["grams"]):
-                pairs = sorted((g["i"], g["n"], g["gram"]) for g in grams)
-                rank = [(n, gram) for _, n, gram in pairs]
-                for start in range(max(1, len(rank) - window + 1)):
-                    seeds.append(min(rank[start : start + window])[1])
-                    items.append(item)
-            yield pd.DataFrame({"gram": seeds, "item_row": items})
+            seeds, items, times, needs = [], [], [], []
+            for item, size, grams in zip(batch["item_row"], batch["size"], batch["grams"]):
+                rank = sorted((g["n"], g["gram"]) for g in grams)
+                sure = _sure(size, min_score)
+                need = max(1, min(sure, SHARED))
+                # So many others of the sure ones may be the commonest.
+                chosen = Counter(x for _, x in rank[: len(rank) - max(sure - need, 0)])
+                seeds += chosen.keys()
+                times += chosen.values()
+                items += [item] * len(chosen)
+                needs += [need] * len(chosen)
+            yield pd.DataFrame(
+                {"gram": seeds, "item_row": items, "times": times, "need": needs}
+            ).astype("int64")
 
     return run
 
 
-def _passages(bits: np.ndarray, words: int, reach: int):
+def _in_reach(hits: np.ndarray, kinds: np.ndarray, reach: int) -> np.ndarray:
+    """Whether a hit is enough, or another of a common class is within reach."""
+    ok = kinds >> np.uint64(_CLASSES) != 0
+    for step in range(1, len(hits)):
+        near = hits[step:] - hits[:-step] <= reach
+        if ok.all() or not near.any():
+            break
+        near &= kinds[step:] & kinds[:-step] != 0
+        ok[step:] |= near
+        ok[:-step] |= near
+    return ok
+
+
+def _passages(masks: np.ndarray, reach: int):
     """Words around the seeds of each document, overlapping parts as one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,17 +188,26 @@ def _passages(bits: np.ndarray, words: int, reach: int):
             at, begins, lines, seeds = [], [], [], []
             for row, text in enumerate(batch.column(0)):
                 hashes = word_hashes(text.as_py())
-                grams = gram_hashes(hashes, words)
-                hits = np.flatnonzero(bits[grams & np.uint64(_SLOTS - 1)])
+                near, wide = _pairs(hashes)
+                of_near = masks[near & np.uint64(_MASKS - 1)]
+                of_wide = masks[wide & np.uint64(_MASKS - 1)]
+                kinds = of_near.copy()
+                kinds[: len(wide)] |= of_wide
+                hits = np.flatnonzero(kinds)
+                if not len(hits):
+                    continue
+                hits = hits[_in_reach(hits, kinds[hits], reach)]
                 if not len(hits):
                     continue
                 for part in np.split(hits, np.flatnonzero(np.diff(hits) > 2 * reach) + 1):
                     low = max(0, int(part[0]) - reach)
-                    high = int(part[-1]) + words + reach
+                    high = int(part[-1]) + 3 + reach
                     at.append(row)
                     begins.append(low)
                     lines.append(_packed(hashes[low:high]))
-                    seeds.append(np.unique(grams[part]).view(np.int64))
+                    apart = part[part < len(wide)]
+                    grams = [near[part[of_near[part] != 0]], wide[apart[of_wide[apart] != 0]]]
+                    seeds.append(np.unique(np.concatenate(grams)).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(1).take(pa.array(at, pa.int64())),
@@ -202,8 +286,7 @@ def find_leaks(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
-    words: int = SEED_WORDS,
-    window: int = WINDOW,
+    words: int = LEAST_WORDS,
     min_score: float = MIN_SCORE,
 ) -> DataFrame:
     """``(id, sign, item, score, last_word)`` of documents with a test item.
@@ -211,7 +294,8 @@ def find_leaks(
     ``score`` is the alignment score over that of the whole item: 1 is a full
     copy, and words changed, left out or put in lower it. A document has one row
     for each item that reaches ``min_score``. Letters count without their case,
-    and punctuation does not count. ``sign`` is the xxhash64 of the text.
+    and punctuation does not count. All such pairs are found if ``min_score`` is more
+    than one matching word scores in the shortest item. ``sign`` is the xxhash64 of the text.
 
     Null and empty texts have no items and are none. Items of fewer than
     ``words`` words are too short to be told from other text and are never
@@ -224,7 +308,7 @@ def find_leaks(
     items = stored(
         benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("t"))
         .mapInArrow(
-            _items(words), f"item {item_kind}, words binary, grams array<bigint>"
+            _items(words, min_score), f"item {item_kind}, words binary, grams array<bigint>"
         )
         .where(F.size("grams") > 0)
         .distinct()
@@ -234,7 +318,7 @@ def find_leaks(
     grams = items.select("item_row", F.posexplode("grams").alias("i", "gram"))
     texts = docs.select(F.col(text_col).alias("t"))
     counts = (
-        texts.mapInArrow(_count(_filter(grams), words), "gram bigint, n bigint")
+        texts.mapInArrow(_count(_filter(grams)), "gram bigint, n bigint")
         .groupBy("gram")
         .agg(F.sum("n").alias("n"))
     )
@@ -243,13 +327,17 @@ def find_leaks(
             "grams"
         )
     )
+    sizes = items.select("item_row", F.expr("octet_length(words) div 4").alias("size"))
     seeds = stored(
-        ranked.mapInPandas(_rarest(window), "gram bigint, item_row bigint").distinct(),
+        ranked.join(sizes, "item_row").mapInPandas(
+            _rarest(min_score), "gram bigint, item_row bigint, times bigint, need bigint"
+        ),
         "seeds",
     )
-    # A passage reaches as far as the longest item may stretch.
+    # A passage reaches as far as the longest item may stretch: its own words, and
+    # as many put in as the score allows.
     longest = items.agg(F.max(F.octet_length("words"))).first()[0] or 0
-    longest //= 4
+    reach = math.ceil(longest / 4 * (1 + MATCH * max(1 - min_score, 0)))
     numbered = docs.select(
         F.col(text_col).alias("t"),
         F.col(id_col).alias("id"),
@@ -258,7 +346,7 @@ def find_leaks(
     )
     passages = stored(
         numbered.mapInArrow(
-            _passages(_filter(seeds), words, longest + longest // 2),
+            _passages(_masks(seeds), reach),
             f"id {id_kind}, row bigint, sign bigint, begin bigint, words binary,"
             " seeds array<bigint>",
         ),
@@ -267,8 +355,10 @@ def find_leaks(
     hits = (
         passages.select("row", "begin", F.explode("seeds").alias("gram"))
         .join(seeds, "gram")
+        .groupBy("row", "begin", "item_row")
+        .agg(F.sum("times").alias("times"), F.first("need").alias("need"))
+        .where(F.col("times") >= F.col("need"))
         .select("row", "begin", "item_row")
-        .distinct()
     )
     pairs = (
         hits.join(passages.drop("seeds"), ["row", "begin"])

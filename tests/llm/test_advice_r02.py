@@ -1,5 +1,10 @@
+import random
+
+from test_llm_text import ITEMS, brute_alignment
+from texts import WORDS, sentence, table
+
 from conftest import SMALL
-from curbside.llm import html_text
+from curbside.llm import decontamination, html_text
 from curbside.llm.html_blocks import text_blocks
 from curbside.llm.queries import QUERIES
 from curbside.llm.tables import read
@@ -71,3 +76,39 @@ def test_copies_of_a_page_do_not_make_its_text_a_template(spark):
     pages += [(i, "http://a.example/", f"{menu}<div><p>copied</p></div>") for i in range(10, 20)]
     text = texts_of(spark, pages)
     assert text == {i: f"own {i}" if i < 10 else "copied" for i in range(20)}
+
+
+def every(words, k, change):
+    return [x for i, w in enumerate(words) for x in (change(w) if i % k == k - 1 else [w])]
+
+
+def test_densely_edited_items_are_found(spark):
+    """As full Smith-Waterman finds them, for edits that leave no run of three words."""
+    rng = random.Random(3)
+    bench = [(i, sentence(rng, n)) for i, n in enumerate([3, 4, 5, 6, 8, 11, 15, 24, 38, 59])]
+    edits = [
+        lambda w: every(w, 3, lambda x: ["new"]), lambda w: every(w, 2, lambda x: [x, "new"]),
+        lambda w: every(w, 1, lambda x: [x, "new"]), lambda w: every(w, 2, lambda x: ["new"]),
+        lambda w: every(w, 3, lambda x: []), lambda w: every(w, 3, lambda x: [x, "new", "two"]),
+        lambda w: [x for x in w if rng.random() > 0.3],
+        lambda w: [x if rng.random() > 0.35 else "new" for x in w],
+    ]
+    rows = []
+    for _, text in bench:
+        for edit in edits:
+            around = [f"other{rng.randrange(500)}" for _ in range(400)]
+            around[200:200] = edit(text.split())
+            rows.append((len(rows), " ".join(around), None, None, 0))
+    number = {w: k for k, w in enumerate(WORDS)}
+    def coded(text):
+        return [number.setdefault(w, len(number)) for w in text.split()]
+    want = set()
+    for doc, text, *_ in rows:
+        line = coded(text)[190:-190]
+        for item, words in bench:
+            part = coded(words)
+            if brute_alignment(part, line) >= 0.8 * len(part):
+                want.add((doc, item))
+    bench = spark.createDataFrame(bench, ITEMS)
+    found = decontamination.contaminated(table(spark, rows), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want
