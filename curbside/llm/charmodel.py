@@ -39,8 +39,11 @@ _EDGES = ".,;:?!\"'`´“”‘’„«»()[]{}<>&%#*$~_-–—…/\\=+^|"
 # In front of a word these may well be its first letter.
 _FRONT = _EDGES.translate({ord(c): None for c in "!$|+"})
 _TRIPLE = re.compile(r"(.)\1\1")
+_DOUBLE = re.compile(r"(.)\1")
+# Behind a word these may well be its last letters.
+_LAST = re.compile(r"[^\W\d_]([$+|]+)[^\w$+|]*$")
 # Three or more single signs that are set apart, as in "b a d".
-_SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
+_SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,8 +104,10 @@ class Decoder:
             if sign == " ":
                 yield [("", SPACE), (" ", 0.0)]
             elif sign.isalpha():
-                if run < 3:
-                    yield [(sign * run, 0.0)]
+                if run == 1:
+                    yield [(sign, 0.0)]
+                elif run == 2:
+                    yield [(sign * 2, 0.0), (sign, REPEAT)]
                 else:
                     yield [(sign, REPEAT), (sign * 2, 2 * REPEAT)]
             else:
@@ -141,12 +146,29 @@ class Decoder:
         return "".join(reversed(parts))
 
     def words(self, token: str) -> tuple[str, ...]:
-        """The words behind a lower-case token without white space."""
+        """The words behind a lower-case token without white space.
+
+        A token that may be a word as it is comes first, then what else it may be.
+        """
+        more = ()
+        last = _LAST.search(token)
+        if last is not None:
+            # Signs at the end as letters, beside the word without them.
+            letters = "".join(LEET[sign][0] for sign in last[1])
+            more = self._readings(token[: last.start(1)].lstrip(_FRONT) + letters)
+        return tuple(dict.fromkeys((*self._plain(token), *more)))
+
+    def _plain(self, token: str) -> tuple[str, ...]:
         if not token.isalpha():
             token = token.rstrip(_EDGES).lstrip(_FRONT)
             if not any(map(str.isalpha, token)):
                 return ()
+        return self._readings(token)
+
+    def _readings(self, token: str) -> tuple[str, ...]:
         if token.isalpha() and not _TRIPLE.search(token):
+            if _DOUBLE.search(token):
+                return tuple(dict.fromkeys((token, self.viterbi(token))))
             return (token,)
         read = self.viterbi(token)
         return tuple(w for w in re.split(r"[\W_]+", read) if w)

@@ -1,6 +1,7 @@
 import random
 
-from test_llm_text import ITEMS, brute_alignment
+import pytest
+from test_llm_text import ITEMS, brute_alignment, reader  # noqa: F401
 from texts import WORDS, sentence, table
 
 from conftest import SMALL
@@ -112,3 +113,16 @@ def test_densely_edited_items_are_found(spark):
     bench = spark.createDataFrame(bench, ITEMS)
     found = decontamination.contaminated(table(spark, rows), bench).collect()
     assert {(r.doc_id, r.item_id) for r in found} == want
+
+
+@pytest.mark.parametrize(
+    ("shown", "meant"),
+    [("iidiioot", "idiot"), ("stuupiid", "stupid"), ("a$$", "ass"), ("dumba$$!", "dumbass"),
+     ("idio+", "idiot"), ("idiot$", "idiot")],
+)
+def test_doubled_and_last_letters_are_read(reader, shown, meant):  # noqa: F811
+    assert meant in reader.words(shown)
+
+
+def test_signs_far_apart_are_joined(reader):  # noqa: F811
+    assert "idiot" in reader.spaced("you i  d\ni  o t here")
