@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from curbside.llm.decontamination import contaminated
 from curbside.llm.exact_dedup import exact_duplicates
+from curbside.llm.hard_negatives import hard_negatives
 from curbside.llm.html_text import extract_text
 from curbside.llm.language_id import identify_languages
 from curbside.llm.line_dedup import repeated_lines
 from curbside.llm.mixing import mix_sources
+from curbside.llm.sharding import assign_shards
 from curbside.llm.simhash_dedup import near_duplicates
 from curbside.llm.tables import read
 from curbside.llm.token_files import count_tokens
@@ -66,6 +69,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_lines(read(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_shards(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_html_text": op2_html_text,
@@ -77,6 +91,8 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_line_dedup": op10_line_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op13_sharding": op13_sharding,
 }
 
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
@@ -140,7 +156,33 @@ FROM served GROUP BY r, doc_id, size, source_size, target
 
 MIXING_SQL = f"WITH mixed AS (SELECT * FROM documents), {MIXING_STEPS}"
 
+HARD_NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v,
+         CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id AS other_id, a.label = o.label AS alike,
+         list_inner_product(a.v, o.v)::BIGINT AS score
+  FROM v a JOIN v o ON a.vec_id <> o.vec_id
+  WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id, other_id AS negative_id, positive_score,
+       score AS negative_score,
+       (row_number() OVER (PARTITION BY p.anchor_id, positive_id
+                           ORDER BY score DESC, other_id))::INT AS rank
+FROM positives p JOIN scored s
+  ON p.anchor_id = s.anchor_id AND NOT alike
+     AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 SQL = {
     "op7_exact_dedup": EXACT_DEDUP_SQL,
     "op8_mixing": MIXING_SQL,
+    "op11_hard_negatives": HARD_NEGATIVES_SQL,
 }
