@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curbside.llm.alignment import align_tokenizers
 from curbside.llm.decontamination import contaminated
 from curbside.llm.exact_dedup import exact_duplicates
 from curbside.llm.hard_negatives import hard_negatives
@@ -76,6 +77,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(read(spark, sf_dir, "documents"))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(read(spark, sf_dir, "documents"))
 
@@ -92,6 +97,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_line_dedup": op10_line_dedup,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_alignment": op12_alignment,
     "op13_sharding": op13_sharding,
 }
 

@@ -22,6 +22,8 @@ from curbside.llm.tables import stored
 SHARDS = 16
 LOTS = 1 << 12
 SIZES = ("size", "tokens", "rows")
+# Bytes weigh more, as they are what the law is about.
+WEIGHTS = (4, 1, 1)
 
 
 def pack_vectors(vectors: np.ndarray, bins: int) -> np.ndarray:
@@ -29,16 +31,16 @@ def pack_vectors(vectors: np.ndarray, bins: int) -> np.ndarray:
 
     Every bin has an equal share of the total of each dimension as capacity.
     Vectors are in units of that capacity, the largest sum comes first, and
-    each goes to the bin with the highest dot product of the vector and what
-    the bin has left, which may be less than nothing. Ties go to the vector
-    and the bin that come first.
+    each goes to the bin with the highest dot product, weighted by ``WEIGHTS``,
+    of the vector and what the bin has left, which may be less than nothing.
+    Ties go to the vector and the bin that come first.
     """
     total = vectors.sum(axis=0, dtype=np.float64)
     share = vectors * (bins / np.where(total > 0, total, 1))
     left = np.ones((bins, vectors.shape[1]))
     out = np.zeros(len(vectors), np.int64)
     for i in np.argsort(-share.sum(axis=1), kind="stable"):
-        out[i] = np.argmax(left @ share[i])
+        out[i] = np.argmax(left @ (share[i] * WEIGHTS))
         left[out[i]] -= share[i]
     return out
 

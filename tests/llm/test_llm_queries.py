@@ -12,7 +12,7 @@ from curbside.llm.tables import read
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry_point.queries())
     assert set(SQL) <= set(entry_point.oracle_sql())
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
