@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ from curbside.llm.tables import stored
 BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 # Bytes of text that are aligned at once, unless one text is longer.
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 19
 # Pairs that a task counts before it passes its counts on.
 HELD_PAIRS = 1 << 21
 # Most frequent pairs whose counts every task gets; all others are joined.
@@ -187,11 +188,11 @@ class _Sides:
 def _parts(batches: Iterator[pa.RecordBatch], batch_bytes: int):
     """Ids and texts of neighbouring rows with about as many bytes."""
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        sizes = np.cumsum([len(t or "") for t in texts])
-        cuts = np.flatnonzero(np.diff(sizes // batch_bytes)) + 1
-        for part in np.split(np.arange(len(texts)), cuts):
-            yield batch.column(0).slice(part[0], len(part)), texts[part[0] : part[-1] + 1]
+        sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(False)
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // batch_bytes)) + 1
+        for part in np.split(np.arange(len(sizes)), cuts):
+            ids, texts = (batch.column(i).slice(part[0], len(part)) for i in (0, 1))
+            yield ids, texts.to_pylist()
 
 
 _NUMBERS = {

@@ -204,7 +204,8 @@ def best_positives(
     )
     labelled = rows.join(labels, "label")
     dealt = labelled.agg(F.sum("cs")).first()[0] or 0
-    cells = -(-dealt // cell_rows) or 1
+    # Finer than a tile, so that small labels spread over more tasks than they fill.
+    cells = -(-8 * dealt // cell_rows) or 1
     tile = F.concat_ws("/", F.col("label").cast("string"), "r", "c")
 
     def cut(table: DataFrame):
