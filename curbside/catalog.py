@@ -24,6 +24,7 @@ from curbside.operators import (
     hour_pivot,
     in_progress_at,
     locate,
+    locate_text,
     meter_base,
     meter_count,
     meters_within,
@@ -52,6 +53,7 @@ from curbside.plans import (
     meters_per_date,
     occupied_days_by_meter,
     read_occupancy,
+    score_in_progress,
     score_meter_days,
     score_meter_possibility,
     score_possibility,
@@ -65,12 +67,14 @@ from curbside.sources import (
     preview,
     read_csv_sessions,
     read_weekday,
+    read_within,
     split_at_row,
     take_prefix,
+    write_by_place,
     write_by_weekday,
     write_csv,
 )
-from curbside.streaming import refresh_sessions
+from curbside.streaming import read_corrected, refresh_corrected, refresh_sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -321,6 +325,14 @@ def possibility_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_possibility(_located(spark, sf_dir), *_pivot_data(spark, sf_dir))
 
 
+def in_progress_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The requests, each at its own second of the day."""
+    key = F.col("request_id")
+    time = F.format_string("%02d:%02d:%02d", 9 + key % 8, key * 7 % 60, key * 13 % 60)
+    requests = _located(spark, sf_dir).withColumn("time", time)
+    return _average(score_in_progress(requests, *_place_data(spark, sf_dir)), "avg_sessions")
+
+
 def request_meter_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = _place_data(spark, sf_dir)
     days = score_meter_days(_located(spark, sf_dir), *data)
@@ -380,6 +392,69 @@ def _files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return log, inventory
 
 
+def indexed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole log as CSV with a running number in front, read back."""
+    raw = given.raw_sessions(spark, sf_dir)
+    path = scratch_folder(spark, "indexed")
+    write_csv(raw, path, index="row_index", order_by=["POST_ID", "event_id"])
+    back = spark.read.option("header", True).csv(path)
+    return back.select(
+        *[F.col(c).cast("long").alias(c) for c in ("row_index", "event_id")],
+        F.col("POST_ID").alias("post_id"),
+        F.col("SESSION_START_DT").alias("session_start_dt"),
+    )
+
+
+def stored_meters_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_folder(spark, "meters-by-place")
+    write_by_place(given.meters(spark, sf_dir), path)
+    near = read_within(spark, path, *PLACE)
+    return near.select(F.col("POST_ID").alias("post_id"), "latitude", "longitude")
+
+
+def stored_sessions_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of one weekday near a place, from a table by weekday and place."""
+    path = scratch_folder(spark, "sessions-by-place")
+    write_by_place(attach_meter(*_place_data(spark, sf_dir)), path, by_weekday=True)
+    return _hits(on_weekday(read_within(spark, path, *PLACE), DAY))
+
+
+def place_sessions_all_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = _place_data(spark, sf_dir)
+    average = avg_sessions_at(
+        *data, *PLACE, DAY, "04:00:00", include_empty_days=True, last="2024-03-31"
+    )
+    return _average(average, "avg_sessions")
+
+
+def place_meters_all_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = _place_data(spark, sf_dir)
+    average = avg_meters_in_hour(*data, *PLACE, DAY, HOUR, include_empty_days=True,
+                                 first="2023-12-01", last="2024-03-31")
+    return _average(average, "avg_meters")
+
+
+def _misspelt(requests: DataFrame) -> DataFrame:
+    """Addresses as typed in a hurry: signs, a letter left out, a wrong one, two swapped."""
+    a, key = F.col("address"), F.col("request_id") % 5
+    typed = (
+        F.when(key == 0, F.concat(F.lit(" "), F.lower(a), F.lit("!")))
+        .when(key == 1, F.concat(F.substring(a, 1, 2), F.expr("substring(address, 4)")))
+        .when(key == 2, F.concat(F.lit("X"), F.expr("substring(address, 2)")))
+        .when(key == 3, F.concat(F.expr("substring(address, 2, 1)"), F.substring(a, 1, 1),
+                                 F.expr("substring(address, 3)")))
+        .otherwise(F.concat(a, F.lit("q")))
+    )
+    return requests.withColumn("address", typed)
+
+
+def typed_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = _misspelt(given.requests(spark, sf_dir))
+    return locate_text(asked, given.gazetteer(spark, sf_dir)).select(
+        "request_id", "address", "found_address", "edits", "lat", "lon"
+    )
+
+
 def loaded_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = scratch_folder(spark, "sessions")
     load_sessions(spark, *_files(spark, sf_dir), table)
@@ -505,6 +580,42 @@ def refreshed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def corrected_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four log files, of which one arrives again with other meters and fewer rows."""
+    log = given.raw_sessions(spark, sf_dir)
+    landing, table = scratch_folder(spark, "landing"), scratch_folder(spark, "corrected")
+    for part in range(4):
+        one = log.where(F.col("event_id") % 4 == part).select(*SESSION_COLUMNS)
+        _arrive(spark, one, f"{landing}/week{part}.csv")
+    refresh_corrected(spark, landing, table)
+    again = log.where((F.col("event_id") % 4 == 2) & (F.col("event_id") % 3 == 0))
+    moved = again.withColumn("POST_ID", F.concat(F.lit("moved "), "POST_ID"))
+    _arrive(spark, moved.select(*SESSION_COLUMNS), f"{landing}/week2.csv")
+    for _ in range(2):
+        refresh_corrected(spark, landing, table)
+    return read_corrected(spark, table).select(
+        F.col("POST_ID").alias("post_id"),
+        F.col("EventDate").alias("event_date"),
+        F.col("StartTime").alias("start_time"),
+        F.col("EndTime").alias("end_time"),
+        F.col("Day_Of_Week").alias("day_of_week"),
+    )
+
+
+def _arrive(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    """Put the rows under a file's name, in place of what it was before."""
+    folder = scratch_folder(spark, "arriving")
+    write_csv(rows.coalesce(1), folder)
+    names = spark._jvm.org.apache.hadoop.fs
+    target, source = names.Path(path), names.Path(folder)
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    written = [f.getPath() for f in files.listStatus(source)]
+    (part,) = [p for p in written if p.getName().startswith("part-")]
+    files.mkdirs(target.getParent())
+    files.delete(target, False)
+    files.rename(part, target)
+
+
 QUERIES: dict[str, Query] = {
     "parse_sessions": parse_sessions,
     "windows_15min": windows_15min,
@@ -543,6 +654,7 @@ QUERIES: dict[str, Query] = {
     "split_at_row": split_in_halves,
     "refresh_sessions": refreshed_sessions,
     "hour_pivot_upkeep": pivot_upkeep,
+    "score_in_progress": in_progress_requests,
     "score_meter_days": request_meter_days,
     "score_meter_possibility": request_meter_possibility,
     "unlocated_requests": unknown_requests,
@@ -554,4 +666,11 @@ QUERIES: dict[str, Query] = {
     "build_hour_pivot": built_pivot,
     "count_prefix_bounded": small_bounded_count,
     "split_at_tied_row": split_at_tie,
+    "indexed_csv": indexed_csv,
+    "stored_meters_within": stored_meters_within,
+    "stored_sessions_within": stored_sessions_within,
+    "avg_sessions_all_days": place_sessions_all_days,
+    "avg_meters_all_days": place_meters_all_days,
+    "refresh_corrected": corrected_sessions,
+    "locate_text": typed_requests,
 }

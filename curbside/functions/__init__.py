@@ -10,8 +10,10 @@ from curbside.functions.scores import (
 )
 from curbside.functions.timeparse import (
     clock,
+    clock_second,
     event_date,
     parse_session_ts,
+    request_clock_column,
     request_hour,
     request_hour_column,
     weekday,
@@ -24,12 +26,14 @@ from curbside.functions.timeparse import (
 __all__ = [
     "EARTH_RADIUS_M",
     "clock",
+    "clock_second",
     "event_date",
     "haversine_m",
     "occupancy_label",
     "parse_session_ts",
     "possibility",
     "ratio_label",
+    "request_clock_column",
     "request_hour",
     "request_hour_column",
     "round_half_even",

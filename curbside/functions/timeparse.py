@@ -84,6 +84,21 @@ def request_hour_column(time: Column | str) -> Column:
     return F.trim(F.split(time, ":", 2)[0]).try_cast("int")
 
 
+def request_clock_column(time: Column | str) -> Column:
+    """``HH:mm:ss`` of each request time ``HH:mm`` or ``HH:mm:ss``; else NULL."""
+    time = F.trim(F.col(time) if isinstance(time, str) else time)
+    whole = F.when(F.length(time) == 5, F.concat(time, F.lit(":00"))).otherwise(time)
+    return F.when(F.rlike(whole, F.lit(f"^{_CLOCK.pattern}$")), whole)
+
+
+def clock_second(clock_text: Column) -> Column:
+    """Second of the day of a clock text ``HH:mm:ss``; NULL for other texts."""
+    hour, minute, second = (
+        F.substring(clock_text, at, 2).try_cast("int") for at in (1, 4, 7)
+    )
+    return (hour * 60 + minute) * 60 + second
+
+
 def check_clock(time: str) -> str:
     """A request clock time, which must be ``HH:mm:ss`` to compare as text."""
     if not _CLOCK.fullmatch(time):

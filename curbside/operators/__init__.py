@@ -1,5 +1,6 @@
 """DataFrame operators: cleaning, filters, joins, aggregates and distance."""
 
+from curbside.operators.addresses import locate_text
 from curbside.operators.aggregates import (
     active_days_per_meter_weekday,
     hour_column,
@@ -45,6 +46,7 @@ __all__ = [
     "in_progress_at",
     "is_small",
     "locate",
+    "locate_text",
     "lookup_join",
     "merge_occupancy",
     "meter_base",

@@ -1,5 +1,6 @@
 """Composite queries for one destination or many requests, and the load jobs."""
 
+from curbside.plans.in_progress import score_in_progress
 from curbside.plans.jobs import (
     append_occupancy,
     build_hour_pivot,
@@ -15,6 +16,7 @@ from curbside.plans.occupancy import (
     attach_days,
     avg_meters_in_hour,
     avg_sessions_at,
+    calendar_days,
     distinct_meters_per_date,
     meter_possibility,
     meters_per_date,
@@ -35,6 +37,7 @@ __all__ = [
     "avg_meters_in_hour",
     "avg_sessions_at",
     "build_hour_pivot",
+    "calendar_days",
     "distinct_meters_per_date",
     "load_half_file",
     "load_meter_weekday_counts",
@@ -45,6 +48,7 @@ __all__ = [
     "meters_per_date",
     "occupied_days_by_meter",
     "read_occupancy",
+    "score_in_progress",
     "score_meter_days",
     "score_meter_possibility",
     "score_possibility",

@@ -5,7 +5,8 @@ broadcast and the sessions are filtered before anything is shuffled. If not,
 the sessions are first aggregated to one row per meter and date, which removes
 hot meters, and then joined. Both ways give the same rows.
 
-Averages are over the dates that have any matching session.
+Averages are over the dates that have any matching session, unless empty days
+are asked for.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from curbside.functions.scores import (
     round_half_even,
     text_or_none,
 )
+from curbside.functions.timeparse import event_date, weekday
 from curbside.operators.aggregates import (
     hour_column,
     meter_count,
@@ -32,6 +34,26 @@ from curbside.operators.spatial import meters_within
 from curbside.schemas import CLOSE_HOUR, MISSING_LABEL, OPEN_HOUR
 
 
+def calendar_days(sessions: DataFrame, first: str | None, last: str | None) -> DataFrame:
+    """``(EventDate, Day_Of_Week)`` of every date from ``first`` to ``last``.
+
+    Without them from the first to the last date of the sessions, of any
+    weekday. Dates are generated, so those without a session are there too.
+    """
+    ends = sessions.agg(
+        F.coalesce(F.lit(first), F.min("EventDate")).try_cast("date").alias("first"),
+        F.coalesce(F.lit(last), F.max("EventDate")).try_cast("date").alias("last"),
+    ).where("first <= last")
+    dates = ends.select(F.explode(F.sequence("first", "last")).alias("date"))
+    return dates.select(event_date("date").alias("EventDate"), weekday("date").alias("Day_Of_Week"))
+
+
+def _with_empty_days(per_date: DataFrame, days: DataFrame, day: str) -> DataFrame:
+    """Counts of all dates of the weekday among ``days``, 0 where there are none."""
+    joined = on_weekday(days, day).join(per_date, "EventDate", "left")
+    return joined.select("EventDate", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def _average(per_date: DataFrame, near: DataFrame, name: str) -> DataFrame:
     """Average, rounded average, meters in range and label, in one row."""
     return (
@@ -85,11 +107,22 @@ def avg_sessions_at(
     metres: float,
     day: str,
     time: str,
+    include_empty_days: bool = False,
+    first: str | None = None,
+    last: str | None = None,
 ) -> DataFrame:
-    """Average number of sessions in progress at a clock time on a weekday."""
+    """Average number of sessions in progress at a clock time on a weekday.
+
+    ``include_empty_days`` averages over all dates of the weekday from ``first``
+    to ``last``, see ``calendar_days``; a date between them counts as 0 if it has
+    no matching session, and dates outside do not count.
+    """
     near = meters_within(meters, lat, lon, metres)
     hits = in_progress_at(on_weekday(sessions, day), time)
-    return _average(sessions_per_date(hits, near), near, "avg_sessions")
+    per_date = sessions_per_date(hits, near)
+    if include_empty_days:
+        per_date = _with_empty_days(per_date, calendar_days(sessions, first, last), day)
+    return _average(per_date, near, "avg_sessions")
 
 
 def meters_per_date(
@@ -119,11 +152,20 @@ def avg_meters_in_hour(
     hour: int,
     open_hour: int = OPEN_HOUR,
     close_hour: int = CLOSE_HOUR,
+    include_empty_days: bool = False,
+    first: str | None = None,
+    last: str | None = None,
 ) -> DataFrame:
-    """Average number of different meters occupied in the hour on a weekday."""
+    """Average number of different meters occupied in the hour on a weekday.
+
+    ``include_empty_days``, ``first`` and ``last`` as for ``avg_sessions_at``.
+    """
     near = meters_within(meters, lat, lon, metres)
     hits = occupied_in_hour(on_weekday(sessions, day), hour, open_hour, close_hour)
-    return _average(distinct_meters_per_date(hits, near), near, "avg_meters")
+    per_date = distinct_meters_per_date(hits, near)
+    if include_empty_days:
+        per_date = _with_empty_days(per_date, calendar_days(sessions, first, last), day)
+    return _average(per_date, near, "avg_meters")
 
 
 def attach_days(

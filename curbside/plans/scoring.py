@@ -3,7 +3,9 @@
 Nothing is done once per request. Equal destinations are scored once, meters at
 one position are counted together, and sessions are reduced to one row per
 meter and date before they meet a position. So a popular address, a crowded
-position or a busy meter costs no more rows than a quiet one.
+position or a busy meter costs no more rows than a quiet one. Positions are
+added up to cells first, so a wide circle takes whole cells and costs rows for
+its rim alone.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from curbside.operators.aggregates import (
     occupied_hours_per_date,
     pivot_hours,
 )
+from curbside.operators.cover import UNIT, cover
 from curbside.operators.filters import hour_bit
 from curbside.operators.joins import bytes_of_rows, fits_broadcast, is_small
 from curbside.operators.spatial import distance_join
@@ -142,9 +145,15 @@ def score_requests(
     )
     facts = spot_dates.unionByName(inventory)
 
-    near = distance_join(place_days, spots.select(*_SPOT)).drop("distance")
+    units, members = cover(place_days, spots)
+    per_unit = (
+        members.join(facts, _SPOT)
+        .groupBy(*UNIT, "Day_Of_Week", "EventDate")
+        .agg(*sums)
+    )
     parts = (
-        near.join(facts, spot_day)
+        units.join(place_days, _PLACE)
+        .join(per_unit, [*UNIT, "Day_Of_Week"])
         .groupBy(*place_day, "EventDate")
         .agg(*sums)
     )
@@ -191,8 +200,8 @@ def score_possibility(
     The weekday plays no part, as the pivot is counted over all of them.
     """
     asked, placed, hours = _asked(requests), _placed(meters), pivot_hours(pivot)
-    places = asked.select(*_PLACE).distinct()
-    near = distance_join(places, _spots(placed)).drop("distance")
+    spots = _spots(placed)
+    units, members = cover(asked, spots)
 
     rated = _rated(pivot, n_days)
     if is_small(placed):
@@ -204,15 +213,11 @@ def score_possibility(
         *[F.sum(cents(p)).alias(f"c{h}") for h, p in kept.items()],
         *[F.count(p).alias(f"u{h}") for h, p in kept.items()],
     )
-    by_place = (
-        near.join(by_spot, _SPOT, "left")
-        .groupBy(*_PLACE)
-        .agg(
-            F.sum("n").alias("n_meters_in_range"),
-            *[F.sum(f"c{h}").alias(f"c{h}") for h in hours],
-            *[F.sum(f"u{h}").alias(f"u{h}") for h in hours],
-        )
-    )
+    sums = [F.sum(f"{c}{h}").alias(f"{c}{h}") for c in "cu" for h in hours]
+    sums.append(F.sum("n").alias("n"))
+    facts = spots.join(by_spot, _SPOT, "left")
+    per_unit = members.join(facts, _SPOT).groupBy(*UNIT).agg(*sums)
+    by_place = units.join(per_unit, UNIT).groupBy(*_PLACE).agg(*sums)
     sum_cents, used = _of_hour("c", hours), _of_hour("u", hours)
     zero = F.lit(0).cast("long")
     mean = mean_possibility(sum_cents, used)
@@ -221,7 +226,7 @@ def score_possibility(
         by_place,
         _PLACE,
         mean.alias("possibility"),
-        F.coalesce(F.col("n_meters_in_range"), zero).alias("n_meters_in_range"),
+        F.coalesce(F.col("n"), zero).alias("n_meters_in_range"),
         F.coalesce(used, zero).alias("n_meters_used"),
         text_or_none(mean).alias("label"),
     )

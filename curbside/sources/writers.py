@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbside.operators.joins import salt_of_row
+from curbside.sources.numbering import with_running_index
 
 
 def write_table(
@@ -62,7 +63,20 @@ def write_by_weekday(
 
 
 def write_csv(
-    df: DataFrame, path: str, header: bool = True, mode: str = "error"
+    df: DataFrame,
+    path: str,
+    header: bool = True,
+    mode: str = "error",
+    index: str | None = None,
+    order_by: str | list[str] | None = None,
 ) -> None:
-    """Write a folder of CSV files, with or without a header line in each."""
+    """Write a folder of CSV files, with or without a header line in each.
+
+    ``index`` names a column in front that numbers the rows from 0 in the order
+    of ``order_by``, however many there are.
+    """
+    if index is not None:
+        if order_by is None:
+            raise ValueError("an index needs order_by")
+        df = with_running_index(df, order_by, index)
     df.write.option("header", header).mode(mode).csv(path)

@@ -153,7 +153,61 @@ FROM sessions"""
   count(*) FILTER (WHERE {_chance(f"h{h}")} > 0) AS u{h}"""
         for h in HOURS
     )
+    plain = r"trim(regexp_replace(lower(address), '[^\p{L}\p{N}]+', ' ', 'g'))"
     return {
+        "indexed_csv": f"""WITH {RAW}
+SELECT row_number() OVER (ORDER BY post_id, event_id) - 1 AS row_index, event_id, post_id,
+       session_start_dt
+FROM raw""",
+        "stored_meters_within": f"""WITH {NEAR}
+SELECT post_id, latitude, longitude FROM near""",
+        "stored_sessions_within": f"""WITH {SESSIONS},{NEAR}
+SELECT event_id, post_id, event_date FROM sessions JOIN near USING (post_id)
+WHERE day_of_week = '{DAY}'""",
+        "avg_sessions_all_days": f"""WITH {SESSIONS},{NEAR},
+days AS (
+  SELECT strftime(d, '%Y-%m-%d') AS event_date
+  FROM generate_series((SELECT min(event_date) FROM sessions)::DATE, DATE '2024-03-31',
+                       INTERVAL 1 DAY) AS g(d)
+  WHERE strftime(d, '%a') = '{DAY}'),
+hits AS (
+  SELECT event_date, count(*) AS n FROM sessions JOIN near USING (post_id)
+  WHERE day_of_week = '{DAY}' AND start_time < '04:00:00' AND end_time > '04:00:00'
+  GROUP BY event_date),
+per_date AS (SELECT coalesce(n, 0) AS n FROM days LEFT JOIN hits USING (event_date))
+{_averaged("avg_sessions")}""",
+        "avg_meters_all_days": f"""WITH {SESSIONS},{NEAR},
+days AS (
+  SELECT strftime(d, '%Y-%m-%d') AS event_date
+  FROM generate_series(DATE '2023-12-01', DATE '2024-03-31', INTERVAL 1 DAY) AS g(d)
+  WHERE strftime(d, '%a') = '{DAY}'),
+hits AS (
+  SELECT event_date, count(DISTINCT post_id) AS n FROM sessions JOIN near USING (post_id)
+  WHERE day_of_week = '{DAY}' AND {IN_HOUR} GROUP BY event_date),
+per_date AS (SELECT coalesce(n, 0) AS n FROM days LEFT JOIN hits USING (event_date))
+{_averaged("avg_meters")}""",
+        "refresh_corrected": f"""WITH {SESSIONS}
+SELECT CASE WHEN event_id % 4 = 2 THEN 'moved ' || post_id ELSE post_id END AS post_id,
+       event_date, start_time, end_time, day_of_week
+FROM sessions WHERE event_id % 4 <> 2 OR event_id % 3 = 0""",
+        "locate_text": f"""WITH {REQUESTS},
+typed AS (
+  SELECT request_id, CASE request_id % 5
+    WHEN 0 THEN ' ' || lower(address) || '!'
+    WHEN 1 THEN substr(address, 1, 2) || substr(address, 4)
+    WHEN 2 THEN 'X' || substr(address, 2)
+    WHEN 3 THEN substr(address, 2, 1) || substr(address, 1, 1) || substr(address, 3)
+    ELSE address || 'q' END AS address
+  FROM requests),
+asked AS (SELECT request_id, address, {plain} AS p FROM typed),
+places AS (SELECT address AS found_address, lat, lon, {plain} AS q FROM gazetteer),
+ranked AS (
+  SELECT request_id, found_address, lat, lon, levenshtein(p, q)::INT AS edits,
+         row_number() OVER (PARTITION BY request_id ORDER BY levenshtein(p, q), q) AS nth
+  FROM asked, places
+  WHERE levenshtein(p, q) <= least(3, length(p) // 4))
+SELECT request_id, address, found_address, edits, lat, lon
+FROM asked LEFT JOIN (SELECT * FROM ranked WHERE nth = 1) USING (request_id)""",
         "parse_sessions": f"""WITH {SESSIONS}
 SELECT event_id, post_id, event_date, start_time, end_time, day_of_week FROM sessions""",
         "windows_15min": f"""WITH {SESSIONS}
@@ -274,6 +328,23 @@ SELECT request_id, CAST({_mean("c", "u")} AS DOUBLE) AS possibility,
        coalesce(u, 0) AS n_meters_used,
        coalesce(CAST(CAST({_mean("c", "u")} AS DOUBLE) AS VARCHAR), 'None') AS label
 FROM requests LEFT JOIN picked USING (request_id)""",
+        "score_in_progress": f"""WITH {SESSIONS},{PAIRS},
+clocks AS (
+  SELECT *, printf('%02d:%02d:%02d', 9 + request_id % 8, request_id * 7 % 60,
+                   request_id * 13 % 60) AS clock
+  FROM pairs),
+per_date AS (
+  SELECT request_id, event_date, count(*) AS n FROM clocks JOIN sessions USING (post_id)
+  WHERE day_of_week = weekday AND start_time < clock AND end_time > clock
+  GROUP BY request_id, event_date),
+averages AS (SELECT request_id, avg(n) AS a FROM per_date GROUP BY request_id),
+totals AS (SELECT request_id, count(*) AS n_meters FROM pairs GROUP BY request_id)
+SELECT request_id, round(a, 6) AS avg_sessions,
+       CAST(round_even(a, 0) AS BIGINT) AS occupied, coalesce(n_meters, 0) AS n_meters,
+       'Historical Occupancy = '
+         || coalesce(CAST(CAST(round_even(a, 0) AS BIGINT) AS VARCHAR), 'None')
+         || '/' || CAST(coalesce(n_meters, 0) AS VARCHAR) AS label
+FROM requests LEFT JOIN averages USING (request_id) LEFT JOIN totals USING (request_id)""",
         "csv_roundtrip": f"""WITH {RAW}
 SELECT form, post_id, street_block, payment_type, session_start_dt, session_end_dt,
        meter_event_type, gross_paid_amt

@@ -44,6 +44,7 @@ SHUFFLED = [
     "distance_join",
     "score_requests",
     "score_possibility",
+    "score_in_progress",
 ]
 
 

@@ -254,3 +254,32 @@ def test_batch_rows_equal_the_answers_for_one_request(spark):
     chances = cb.score_meter_possibility(asked, pivot, meters, 19).drop("request_id")
     single = cb.meter_possibility(pivot, meters, 37.779, -122.41, 900.0, 11, 19)
     assert rows(chances.select(*single.columns)) == rows(single) != []
+
+
+DATED = "POST_ID string, Day_Of_Week string, EventDate string, StartTime string, EndTime string, start_hour int, end_hour int"
+
+
+def test_averages_over_empty_days(spark):
+    """Mondays from 1 January 2024 on; the sessions are on two of them."""
+    at = ("10:00:00", "12:00:00", 10, 12)
+    sessions = spark.createDataFrame(
+        [("m", "Mon", "2024-01-01", *at), ("m", "Mon", "2024-01-01", *at),
+         ("m", "Mon", "2024-01-15", *at), ("m", "Tue", "2024-01-23", *at),
+         ("m", None, None, None, None, None, None)], DATED,
+    )
+    meters = spark.createDataFrame([("m", 1.0, 1.0)], "POST_ID string, latitude double, longitude double")
+    here = (sessions, meters, 1.0, 1.0, 10.0, "mon")
+
+    def average(**more):
+        return cb.avg_sessions_at(*here, "11:00:00", **more).first().avg_sessions
+
+    assert average() == 1.5
+    assert average(include_empty_days=True) == 3 / 4
+    assert average(include_empty_days=True, last="2024-02-05") == 3 / 6
+    assert average(include_empty_days=True, first="2024-01-02", last="2024-01-21") == 1 / 2
+    assert average(include_empty_days=True, first="2024-02-01", last="2024-01-01") is None
+    row = cb.avg_meters_in_hour(*here, 11, include_empty_days=True).first()
+    assert row.avg_meters == 2 / 4 and row.occupied == 0 and row.n_meters == 1
+    empty = sessions.limit(0)
+    none = cb.avg_sessions_at(empty, *here[1:], "11:00:00", include_empty_days=True).first()
+    assert none.avg_sessions is None
