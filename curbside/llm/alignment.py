@@ -10,7 +10,6 @@ their pair of ids.
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curbside.llm.byte_pairs import encode, encoder_of, ranks_of
 from curbside.llm.tables import stored
 
 BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
@@ -31,35 +31,19 @@ HELD_PAIRS = 1 << 21
 KNOWN_PAIRS = 1 << 17
 
 
-def _byte_letters() -> dict[str, int]:
-    """The public byte-level alphabet: printable Latin-1 as it is, the rest from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class ByteLevel:
     """Byte-level BPE; ``model`` is the JSON of a tokenizer."""
 
     def __init__(self, model: bytes):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(model.decode())
-        self.tokenizer.encode_special_tokens = True
-        letters = _byte_letters()
-        size = self.tokenizer.get_vocab_size()
-        entries = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
-        self.bytes = [
-            bytes(letters[c] for c in e) if set(e) <= letters.keys() else e.encode()
-            for e in entries
-        ]
+        ranks = ranks_of(model)
+        self.encoder = encoder_of(ranks)
+        self.bytes = [b""] * (max(ranks.values()) + 1)
+        for entry, rank in ranks.items():
+            self.bytes[rank] = entry
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of a blank and each text."""
-        texts = [" " + t for t in texts]
-        return [
-            e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ]
+        return [encode(self.encoder, " " + text) for text in texts]
 
 
 class Pieces:
@@ -152,8 +136,6 @@ class _Sides:
     """Both tokenizers with what they make of texts."""
 
     def __init__(self, model_a: bytes, model_b: bytes):
-        # Tasks are the threads here.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.a, self.b = ByteLevel(model_a), Pieces(model_b)
         self.sizes_a, self.sizes_b = (
             np.array([len(x) for x in side.bytes], np.int64) for side in (self.a, self.b)

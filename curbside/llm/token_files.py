@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curbside.llm import files
+from curbside.llm.byte_pairs import encode, encoder_of
 from curbside.llm.tables import stored
 from curbside.scratch import scratch_folder
 
@@ -25,22 +26,9 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50_256
 BLOCK_TOKENS = 1 << 20
 
-# Fixed value: how the public vocabulary cuts a text before merging.
-PATTERN = (
-    r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-)
-
-
 def _encoder(vocabulary: bytes):
-    import tiktoken
-
-    ranks = {
-        base64.b64decode(token): int(rank)
-        for token, rank in (line.split() for line in vocabulary.splitlines() if line)
-    }
-    return tiktoken.Encoding(
-        "text", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
-    )
+    lines = (line.split() for line in vocabulary.splitlines() if line)
+    return encoder_of({base64.b64decode(token): int(rank) for token, rank in lines})
 
 
 def _write(vocabulary: bytes, folder: str, end: int):
@@ -52,7 +40,7 @@ def _write(vocabulary: bytes, folder: str, end: int):
                 out = files.open_write(f"{folder}/{name}")
             for text in batch.column(0):
                 text = (text.as_py() or "").encode("utf-8", "replace").decode()
-                ids = [*encoder.encode_ordinary(text), end]
+                ids = [*encode(encoder, text), end]
                 out.write(np.array(ids, "<u2").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
