@@ -1,41 +1,34 @@
 """Lines that are near copies of earlier lines, by an exact similarity join.
 
-A line is the set of its word shingles, its tokens. Tokens are ordered by
-rarity; two sets can only reach the similarity if their prefixes, the rarest few
-tokens, have one in common. Prefix, length and positional filters leave few
-pairs, and only for these the words themselves are fetched and the Jaccard
-similarity is computed.
+A line is the set of its words, its tokens. Tokens are ordered by rarity; two
+sets can only reach the similarity if their prefixes, the rarest few tokens,
+have one in common. Length and position of that token and a bit for each word
+leave few pairs, and only for these the words themselves are fetched and the
+Jaccard similarity is computed.
 
 All of it are DataFrame operations. What every task gets are arrays of fixed
-size: how frequent tokens are, by hash, and which documents have a candidate.
+size: how frequent tokens are, by hash, how crowded prefix tokens are, and which
+documents have a candidate.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbside.llm.tables import same, stored
 
 MIN_JACCARD = 0.8
-SHINGLE_WORDS = 5
-# Entries of the arrays.
+# Entries of the array of how frequent words are, and of the other arrays.
+WORD_SLOTS = 1 << 20
 SLOTS = 1 << 16
-# A token that begins more sets than this is first compared to its earliest set.
-CROWD = 64
+# Sets of one prefix token that a task compares with each other.
+CROWD = 2048
 
 
 def line_words(line: Column) -> Column:
-    """Words of a line of :func:`_lines`."""
-    return F.array_remove(F.split(line, " "), "")
-
-
-def _shingles(words: Column, length: int, of) -> Column:
-    """``of`` each run of ``length`` words; a shorter line is one run."""
-    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - length + 1, F.lit(1)))
-    return F.array_distinct(F.transform(starts, lambda i: of(F.slice(words, i, length))))
+    """Different words of a line of :func:`_lines`."""
+    return F.array_distinct(F.array_remove(F.split(line, " "), ""))
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -54,37 +47,29 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _array_of(counts: DataFrame) -> Column:
-    """One array of ``SLOTS`` numbers from rows ``(slot, value)``."""
-    every = counts.sparkSession.range(SLOTS).select(F.col("id").alias("slot"))
+def _array_of(counts: DataFrame, slots: int = SLOTS) -> Column:
+    """One array of ``slots`` numbers from rows ``(slot, value)``."""
+    every = counts.sparkSession.range(slots).select(F.col("id").alias("slot"))
     filled = every.join(counts, "slot", "left").select(
         F.struct("slot", F.coalesce("value", F.lit(0)).alias("value")).alias("s")
     )
-    # A fixed number of rows: SLOTS.
+    # A fixed number of rows.
     return filled.agg(F.array_sort(F.collect_list("s"))["value"].alias("a")).scalar()
 
 
-def _slot(hashed: Column) -> Column:
-    return F.pmod(hashed, F.lit(SLOTS))
-
-
-def _at(array: Column, hashed: Column) -> Column:
-    return F.element_at(array, (_slot(hashed) + 1).cast("int"))
-
-
-def _classes(tokens: DataFrame) -> bytes:
-    """How frequent the tokens ``t`` of each slot are: one byte for each slot.
+def _classes(lines: DataFrame) -> bytes:
+    """How frequent the words of each slot are: one byte for each slot.
 
     Classes are half a doubling wide. A lambda cannot hold a subquery, so the
     driver fetches the bytes, a fixed number of them.
     """
-    counts = tokens.groupBy(_slot(F.col("t")).alias("slot")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    words = lines.select(F.explode(F.split("line", " ")).alias("w")).where("w <> ''")
+    slot = F.xxhash64("w").bitwiseAND(WORD_SLOTS - 1)
+    counts = words.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
     value = F.floor(2 * F.log2(F.col("n") + 1)).cast("long").alias("value")
-    counts = stored(counts.select("slot", value), "token-classes")
-    found = counts.sparkSession.range(1).select(_array_of(counts).alias("a")).first()[0]
-    return bytes(found)
+    counts = stored(counts.select("slot", value), "word-classes")
+    found = counts.sparkSession.range(1)
+    return bytes(found.select(_array_of(counts, WORD_SLOTS).alias("a")).first()[0])
 
 
 def _least_overlap(n_x: Column, n_y: Column, jaccard: float) -> Column:
@@ -96,50 +81,56 @@ def _prefix(n: Column, jaccard: float) -> Column:
     return (n - F.ceil(n * jaccard - 1e-9) + 1).cast("int")
 
 
-def _sets(docs: DataFrame, id_col: str, text_col: str, jaccard: float, length: int):
-    """Lines with the key of their words, and the distinct lines as sets."""
+def _sets(docs: DataFrame, id_col: str, text_col: str, jaccard: float):
+    """Lines with the key of their words, and the different lines as sets.
+
+    Lines are the same if their words are, in order. The key is a SHA-256 of them.
+    """
     lines = _lines(docs, id_col, text_col)
-    lines = lines.select("*", line_words(F.col("line")).alias("words")).where(
-        F.size("words") > 0
-    )
-    tokens = lines.select("*", _shingles(F.col("words"), length, F.xxhash64).alias("long"))
+    classes = F.lit(_classes(lines))
+
+    def key(hashed):
+        at = (hashed.bitwiseAND(WORD_SLOTS - 1) + 1).cast("int")
+        frequent = F.ascii(F.substring(classes, at, F.lit(1)).cast("string"))
+        # Class first, then hash: one order of tokens for all sets.
+        return F.shiftleft(frequent.cast("long"), 31) + F.shiftrightunsigned(hashed, 33)
+
+    def with_bit(bits, hashed):
+        # Six bits of the hash that neither slot nor token have.
+        at = F.shiftrightunsigned(hashed, 24).bitwiseAND(63).cast("int")
+        return bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), at))
+
+    words = F.array_remove(F.split("line", " "), "")
+    rows = lines.select(
+        "row", "id", "sign", "line_no", words.alias("words"),
+        F.transform(F.array_distinct(words), lambda w: F.xxhash64(w)).alias("hashes"),
+    ).where(F.size("hashes") > 0)
+    n = F.size("hashes")
     rows = stored(
-        tokens.select(
-            "row", "id", "sign", "line_no",
-            F.size("long").alias("n"),
-            F.xxhash64("long").alias("k1"),
-            F.xxhash64(F.lit(1), "long").alias("k2"),
-            # Half of each hash will do: what it finds is looked at again.
-            F.transform("long", lambda h: F.shiftright(h, 32).cast("int")).alias("tokens"),
+        rows.select(
+            "row", "id", "sign", "line_no", n.alias("n"),
+            F.unhex(F.sha2(F.array_join("words", " "), 256)).alias("key"),
+            F.slice(F.array_sort(F.transform("hashes", key)), 1, _prefix(n, jaccard)).alias(
+                "prefix"
+            ),
+            F.aggregate("hashes", F.lit(0).cast("long"), with_bit).alias("bits"),
         ),
         "lines",
     )
-    classes = F.lit(_classes(rows.select(F.explode("tokens").alias("t"))))
-
-    def key(token):
-        at = F.substring(classes, (_slot(token) + 1).cast("int"), F.lit(1))
-        # Class first, then hash: one order of tokens for all sets.
-        return F.shiftleft(F.ascii(at.cast("string")).cast("long"), 33) + token
-
-    prefix = F.slice(
-        F.sort_array(F.transform("tokens", key)), 1, _prefix(F.col("n"), jaccard)
-    )
     order = F.struct(F.col("id").isNull().alias("none"), "id", "sign", "line_no", "row")
+    tokens = F.transform("prefix", lambda k: k.bitwiseAND(0x7FFFFFFF).cast("int"))
     sets = stored(
-        rows.select(
-            "k1", "k2", order.alias("order"), "n",
-            F.transform(prefix, lambda k: k.bitwiseAND(0x7FFFFFFF).cast("int")).alias("prefix"),
-        )
-        .groupBy("k1", "k2")
+        rows.select("key", order.alias("order"), "n", tokens.alias("prefix"), "bits")
+        .groupBy("key")
         .agg(
             F.min("order").alias("first"),
-            F.first("n").alias("n"),
-            F.first("prefix").alias("prefix"),
+            F.count(F.lit(1)).alias("lines"),
+            *[F.first(c).alias(c) for c in ("n", "prefix", "bits")],
         )
         .withColumn("set", F.monotonically_increasing_id()),
         "line-sets",
     )
-    return rows.drop("tokens"), sets
+    return rows.drop("prefix", "bits", "n"), sets
 
 
 def _among(keys: DataFrame, key: Column) -> Column:
@@ -154,8 +145,61 @@ def _among(keys: DataFrame, key: Column) -> Column:
     return F.getbit(word, bit.bitwiseAND(63).cast("int")) == 1
 
 
-def _verified(pairs, sets, docs, id_col, text_col, jaccard, length):
-    """Of pairs of sets ``(x, y)`` those that are similar: earlier and later set."""
+def _candidates(sets: DataFrame, jaccard: float, crowd: int) -> DataFrame:
+    """Pairs ``(x, y)`` of sets with a common prefix token that may be similar.
+
+    The rarest common token of similar sets has as many tokens behind it, on
+    both sides, as the sets must have in common; and a set's bit that the other
+    lacks is a word that it lacks. Where prefix tokens are crowded the sets of
+    a token are dealt into parts, and each part meets each.
+    """
+    rows = sets.select(
+        "set", F.col("n").cast("long").alias("n"), "bits", F.posexplode("prefix").alias("pos", "token")
+    ).select(
+        "token", "set", "bits",
+        # Size and position travel as one number.
+        (F.shiftleft("n", 32) + F.col("pos")).alias("packed"),
+    )
+    slot = F.pmod(F.col("token").cast("long"), F.lit(SLOTS))
+    counts = stored(
+        sets.select(F.explode("prefix").alias("token"))
+        .groupBy(slot.alias("slot"))
+        .agg(F.count(F.lit(1)).alias("value")),
+        "prefix-counts",
+    )
+    mean = (counts.agg(F.sum("value")).first()[0] or 0) // SLOTS
+    # What is more than the usual number of tokens that share a slot.
+    over = F.greatest(F.lit(0), F.col("value") - 3 * mean)
+    parts = counts.select("slot", (F.floor(over / crowd) + 1).cast("long").alias("value"))
+    rows = rows.withColumn(
+        "parts", F.element_at(_array_of(parts.where("value > 1")), (slot + 1).cast("int"))
+    )
+    rows = rows.withColumn("parts", F.greatest("parts", F.lit(1).cast("long")))
+    part = F.pmod(F.xxhash64("set"), "parts")
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    left = rows.select("token", part.alias("px"), others.alias("py"), "set", "bits", "packed")
+    right = rows.select("token", others.alias("px"), part.alias("py"), "set", "bits", "packed")
+    both = left.alias("a").join(
+        right.alias("b"),
+        (F.col("a.token") == F.col("b.token"))
+        & (F.col("a.px") == F.col("b.px"))
+        & (F.col("a.py") == F.col("b.py"))
+        & (F.col("a.set") < F.col("b.set")),
+    )
+    n_x, n_y = (F.shiftright(f"{side}.packed", 32) for side in "ab")
+    at_x, at_y = (F.col(f"{side}.packed").bitwiseAND(0xFFFFFFFF) for side in "ab")
+    overlap = _least_overlap(n_x, n_y, jaccard)
+    apart = F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits")))
+    return (
+        both.where(F.least(n_x - at_x, n_y - at_y) >= overlap)
+        .where(n_x + n_y - apart >= 2 * overlap)
+        .select(F.col("a.set").alias("x"), F.col("b.set").alias("y"))
+        .distinct()
+    )
+
+
+def _verified(pairs, sets, docs, id_col, text_col, jaccard):
+    """Of pairs of sets those that are similar, from both sides: ``(set, other)``."""
     pairs = stored(pairs, "line-pairs")
     both = pairs.select(F.explode(F.array("x", "y")).alias("set")).distinct()
     wanted = stored(
@@ -171,10 +215,6 @@ def _verified(pairs, sets, docs, id_col, text_col, jaccard, length):
     found = (
         lines.join(wanted, same(lines, wanted, "id", "sign", "line_no"))
         .select(wanted["set"], line_words(F.col("line")).alias("words"))
-        .select(
-            "set",
-            _shingles(F.col("words"), length, lambda w: F.array_join(w, " ")).alias("words"),
-        )
         .dropDuplicates(["set"])
     )
     found = stored(found, "wanted-words")
@@ -184,40 +224,12 @@ def _verified(pairs, sets, docs, id_col, text_col, jaccard, length):
     )
     common = F.size(F.array_intersect("wx", "wy"))
     union = F.size("wx") + F.size("wy") - common
-    similar = joined.where(common >= jaccard * union - 1e-9).select("x", "y")
-    firsts = sets.select("set", "first")
-    ordered = (
-        similar.join(firsts.select(F.col("set").alias("x"), F.col("first").alias("fx")), "x")
-        .join(firsts.select(F.col("set").alias("y"), F.col("first").alias("fy")), "y")
-    )
-    early = F.col("fx") < F.col("fy")
-    return ordered.select(
-        F.when(early, F.col("y")).otherwise(F.col("x")).alias("later"),
-        F.when(early, F.col("fx")).otherwise(F.col("fy")).alias("earlier"),
-    )
-
-
-def _bounded(pairs: DataFrame, jaccard: float) -> DataFrame:
-    """Pairs ``(x, y)`` that may be similar, from rows per common prefix token.
-
-    Length and position of the first common token bound the overlap, and so do
-    the common prefix tokens: all common tokens up to the end of the prefix that
-    ends first are among them, and what follows is at most the rest of that set.
-    """
-    overlap = _least_overlap(F.col("nx"), F.col("ny"), jaccard)
-    rest_x = F.col("nx") - _prefix(F.col("nx"), jaccard)
-    rest_y = F.col("ny") - _prefix(F.col("ny"), jaccard)
-    return (
-        pairs.groupBy("x", "y", "nx", "ny")
-        .agg(
-            F.count(F.lit(1)).alias("common"),
-            F.min("px").alias("px"),
-            F.min("py").alias("py"),
-        )
-        .where(F.col("common") + F.greatest(rest_x, rest_y) >= overlap)
-        .where(F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py")) >= overlap)
-        .select("x", "y")
+    similar = joined.where(common >= jaccard * union - 1e-9)
+    sides = F.array(
+        F.struct(F.col("x").alias("set"), F.col("y").alias("other")),
+        F.struct(F.col("y").alias("set"), F.col("x").alias("other")),
     )
+    return similar.select(F.inline(sides))
 
 
 def match_lines(
@@ -225,108 +237,40 @@ def match_lines(
     id_col: str = "doc_id",
     text_col: str = "text",
     jaccard: float = MIN_JACCARD,
-    length: int = SHINGLE_WORDS,
     crowd: int = CROWD,
 ) -> DataFrame:
-    """``(row, id, line_no, kept, match_id, match_line)`` of every line with words.
+    """``(row, id, line_no, kept, match_id, match_line, n_lines, n_links)`` of every line.
 
     A line is kept unless an earlier line, by id and then line number, has the
-    same lower-case words, or a set of shingles of ``length`` words with a Jaccard
-    similarity of ``jaccard`` or more. A line of fewer words is one shingle. The
-    match is the earliest such line that was found, and null if the line is kept.
-    ``row`` numbers the rows of ``docs``; lines are numbered from 0.
+    same lower-case words, or a set of words with a Jaccard similarity of
+    ``jaccard`` or more. The match is the earliest such line, and null if the
+    line is kept. ``n_lines`` counts the lines with the same words in the same
+    order, the line included, and ``n_links`` the other lines that are similar,
+    of which such copies are one. ``row`` numbers the rows of ``docs``; lines are
+    numbered from 0. ``crowd`` is how many sets are compared by one task, and
+    does not show in the result.
 
     Null and empty texts and lines of white space have no words: they are not
     listed, and always stay. Null ids come last. Rows that repeat an id are
     ordered by their text's hash; of rows equal in both one has its lines kept.
     An empty table gives no rows, and other columns are not looked at.
     """
-    rows, sets = _sets(docs, id_col, text_col, jaccard, length)
-    tokens = sets.select("set", "n", F.posexplode("prefix").alias("pos", "token"))
-
-    # Tokens that begin very many sets: compare all these to the earliest one,
-    # which finds a match for most members of a large group of near copies.
-    slots = tokens.groupBy(F.pmod("token", F.lit(SLOTS)).cast("long").alias("slot")).agg(
-        F.count(F.lit(1)).alias("value")
-    )
-    slots = stored(slots, "prefix-counts")
-    mean = (slots.agg(F.sum("value")).first()[0] or 0) / SLOTS
-    heavy = slots.where(F.col("value") > max(crowd, math.ceil(3 * mean)))
-    heavy = _array_of(heavy.select("slot", F.lit(1).cast("long").alias("value")))
-    many = tokens.where(_at(heavy, F.col("token").cast("long")) == 1)
-    many = stored(
-        many.select("set", "token").join(sets.select("set", "n", "first"), "set"), "crowded"
-    )
-    leaders = (
-        many.groupBy("token")
-        .agg(
-            F.min(F.struct("first", "set", "n")).alias("leader"),
-            F.count(F.lit(1)).alias("size"),
-        )
-        .where(F.col("size") > crowd)
-    )
-    led = (
-        many.join(leaders, "token")
-        .where(F.col("leader.set") != F.col("set"))
-        .select(
-            F.col("leader.set").alias("x"), F.col("set").alias("y"),
-            F.col("leader.n").alias("nx"), F.col("n").alias("ny"),
-        )
-        .distinct()
-    )
-    overlap = _least_overlap(F.col("nx"), F.col("ny"), jaccard)
-    led = led.where(F.least("nx", "ny") >= overlap).select("x", "y")
-    resolved = stored(
-        _verified(led, sets, docs, id_col, text_col, jaccard, length), "led"
-    )
-    done = resolved.select(F.col("later").alias("set")).distinct()
-    done = stored(done.withColumn("done", F.lit(True)), "resolved")
-
-    # Every other set against all sets that share a prefix token.
-    flagged = sets.select("set", "n", "prefix").join(done, "set", "left")
-    flagged = flagged.select(
-        "set", "n", F.coalesce("done", F.lit(False)).alias("done"),
-        F.posexplode("prefix").alias("pos", "token"),
-    )
-    # Size, position and flag travel as one number.
-    packed = F.shiftleft(F.col("n").cast("long"), 32) + F.shiftleft("pos", 1)
-    packed += F.col("done").cast("int")
-    flagged = flagged.select("token", "set", "done", packed.alias("packed"))
-    query = flagged.where(~F.col("done")).select(
-        "token", F.col("set").alias("y"), F.col("packed").alias("qy")
-    )
-    others = flagged.select("token", F.col("set").alias("x"), F.col("packed").alias("qx"))
-    both = query.join(others, "token")
-    for side in "xy":
-        number = F.col(f"q{side}")
-        position = F.shiftright(number.bitwiseAND(0xFFFFFFFF), 1)
-        both = both.withColumns(
-            {f"n{side}": F.shiftright(number, 32), f"p{side}": position}
-        )
-    both = both.withColumn("dx", F.col("qx").bitwiseAND(1) == 1)
-    met = both.where(
-        (F.col("y") != F.col("x"))
-        & (F.col("dx") | (F.col("x") < F.col("y")))
-        & (F.least("nx", "ny") >= overlap)
-    )
-    matched = _verified(
-        _bounded(met.select("x", "y", "nx", "ny", "px", "py"), jaccard),
-        sets, docs, id_col, text_col, jaccard, length,
-    )
-    matches = (
-        resolved.unionByName(matched)
-        .groupBy(F.col("later").alias("set"))
-        .agg(F.min("earlier").alias("match"))
-    )
-    decided = sets.select("k1", "k2", "set", "first").join(matches, "set", "left")
-    place = F.struct("row", "line_no")
-    joined = rows.select("row", "id", "line_no", "k1", "k2").join(
-        decided.select("k1", "k2", "first", "match"), ["k1", "k2"]
+    rows, sets = _sets(docs, id_col, text_col, jaccard)
+    pairs = _candidates(sets, jaccard, crowd)
+    similar = _verified(pairs, sets, docs, id_col, text_col, jaccard)
+    firsts = sets.select(F.col("set").alias("other"), F.col("first").alias("earlier"))
+    linked = (
+        similar.join(firsts, "other")
+        .groupBy("set")
+        .agg(F.min("earlier").alias("earlier"), F.count(F.lit(1)).alias("n_links"))
     )
+    decided = sets.select("key", "set", "first", "lines").join(linked, "set", "left")
+    joined = rows.join(decided.drop("set"), "key")
     original = (F.col("row") == F.col("first.row")) & (
         F.col("line_no") == F.col("first.line_no")
     )
-    match = F.coalesce("match", F.when(~original, F.col("first")))
+    match = F.when(F.col("earlier") < F.col("first"), F.col("earlier"))
+    match = F.coalesce(match, F.when(~original, F.col("first")))
     return joined.select(
         "row",
         F.col("id").alias(id_col),
@@ -334,6 +278,8 @@ def match_lines(
         match.isNull().alias("kept"),
         match["id"].alias("match_id"),
         match["line_no"].alias("match_line"),
+        F.col("lines").alias("n_lines"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
 
 
@@ -342,8 +288,7 @@ def repeated_lines(
     id_col: str = "doc_id",
     text_col: str = "text",
     jaccard: float = MIN_JACCARD,
-    length: int = SHINGLE_WORDS,
     crowd: int = CROWD,
 ) -> DataFrame:
     """:func:`match_lines` without the row numbers."""
-    return match_lines(docs, id_col, text_col, jaccard, length, crowd).drop("row")
+    return match_lines(docs, id_col, text_col, jaccard, crowd).drop("row")

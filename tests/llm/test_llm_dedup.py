@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -147,28 +148,33 @@ def test_components_of_a_long_chain(spark):
     assert {r.root for r in found} == {0} and len(found) == 301
 
 
-def shingles(line):
-    words = tokens(line.lower())
-    runs = range(max(1, len(words) - 4))
-    return frozenset(" ".join(words[i : i + 5]) for i in runs) if words else None
-
-
-def check_lines(rows, found):
+def check_lines(rows, found, least=0.8):
+    """Every line against all others, by its set of words."""
     lines = []
     for doc_id, text, *_ in rows:
         for k, line in enumerate((text or "").split("\n")):
-            if shingles(line):
-                lines.append((order(doc_id), k, shingles(line), doc_id))
+            words = tuple(tokens(line.lower()))
+            if words:
+                lines.append((order(doc_id), k, words, frozenset(words), doc_id))
     lines.sort(key=lambda x: x[:2])
-    kept = {}
-    for i, (_, k, mine, doc_id) in enumerate(lines):
-        again = any(len(mine & s) >= 0.8 * len(mine | s) for _, _, s, _ in lines[:i])
-        kept.setdefault((doc_id, k), []).append(not again)
-    got = {}
-    for r in found:
-        got.setdefault((r.doc_id, r.line_no), []).append(r.kept)
-        assert r.kept == (r.match_line is None)
-    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in kept.items()}
+    texts = {words: mine for _, _, words, mine, _ in lines}
+
+    def similar(a, b):
+        return len(a & b) >= least * len(a | b)
+
+    want = []
+    for i, (_, k, words, mine, doc_id) in enumerate(lines):
+        match = next(((d, n) for _, n, _, s, d in lines[:i] if similar(mine, s)), (None, None))
+        kept = not any(similar(mine, s) for _, _, _, s, _ in lines[:i])
+        links = sum(w != words and similar(mine, s) for w, s in texts.items())
+        copies = sum(w == words for _, _, w, _, _ in lines)
+        want.append((doc_id, k, kept, *match, copies, links))
+    got = [
+        (r.doc_id, r.line_no, r.kept, r.match_id, r.match_line, r.n_lines, r.n_links)
+        for r in found
+    ]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    return want
 
 
 def long_lines():
@@ -181,11 +187,54 @@ def long_lines():
     return rows
 
 
-@pytest.mark.parametrize("crowd", [64, 3])
-@pytest.mark.parametrize("rows", [corpus(4), long_lines()], ids=["corpus", "near copies"])
+def edited_lines():
+    """Lines of all sizes, each with copies that have one word changed or one more."""
+    rng, rows = random.Random(8), []
+    for size in range(1, 49):
+        words = [f"x{size}y{i}" for i in range(size)]
+        for n in range(3):
+            changed = list(words)
+            changed[rng.randrange(size)] = f"new{size}z{n}"
+            rows.append((len(rows), " ".join(changed), None, None, 0))
+        rows.append((len(rows), " ".join(words), None, None, 0))
+        rows.append((len(rows), " ".join([*reversed(words), f"more{size}"]), None, None, 0))
+    return rows
+
+
+def chained_lines():
+    """Groups within reach of several leaders, as 164 one-line documents."""
+    rng, rows = random.Random(9), []
+    base = [f"a{i}" for i in range(20)]
+    for i in range(164):
+        words = list(base)
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(20)] = f"b{rng.randrange(30)}"
+        rows.append((i, " ".join(words), None, None, 0))
+    return rows
+
+
+@pytest.mark.parametrize("crowd", [2, 64, 100_000])
+@pytest.mark.parametrize(
+    "rows", [corpus(4), long_lines(), chained_lines()], ids=["corpus", "near copies", "chains"]
+)
 def test_repeated_lines(spark, rows, crowd):
     docs = table(spark, rows, clashing=True)
-    check_lines(rows, line_dedup.repeated_lines(docs, crowd=crowd).collect())
+    want = check_lines(rows, line_dedup.repeated_lines(docs, crowd=crowd).collect())
+    assert any(w[6] for w in want)
+
+
+def test_one_changed_word(spark):
+    rows = edited_lines()
+    want = check_lines(rows, line_dedup.repeated_lines(table(spark, rows)).collect())
+    # From 9 words on a changed word leaves a similarity of 0.8, and so does one more from 4.
+    assert sum(w[6] > 0 for w in want) > 200
+
+
+def test_other_similarities(spark):
+    rows = chained_lines()[:60] + edited_lines()[:60]
+    for least in (0.5, 0.95):
+        found = line_dedup.repeated_lines(table(spark, rows), jaccard=least).collect()
+        check_lines(rows, found, least)
 
 
 def test_repeated_lines_of_odd_rows(spark):
