@@ -226,31 +226,39 @@ def _passages(masks: np.ndarray, reach: int):
 def smith_waterman(lines: list[np.ndarray], items: list[np.ndarray]):
     """Best local alignment score of each pair, and where it ends in the line."""
     width, depth = max(map(len, lines)), max(map(len, items))
-    doc = np.zeros((len(lines), width), np.int64)
+    doc = np.zeros((len(lines), width), np.uint32)
     use = np.zeros((len(lines), width), bool)
-    item = np.zeros((len(items), depth), np.int64)
+    # Word by word: what one step needs lies side by side.
+    item = np.zeros((depth, len(items), 1), np.uint32)
     for i, (line, words) in enumerate(zip(lines, items)):
         doc[i, : len(line)], use[i, : len(line)] = line, True
-        item[i, : len(words)] = words
+        item[: len(words), i, 0] = words
     lengths = np.array([len(x) for x in items])
-    slope = -GAP * np.arange(width)
-    above = np.zeros((len(lines), width), np.int64)
+    slope = (-GAP * np.arange(width)).astype(np.int32)
+    above = np.zeros((len(lines), width), np.int32)
+    now, same = np.empty_like(above), np.empty(doc.shape, bool)
     best = np.zeros(len(lines), np.int64)
     end = np.zeros(len(lines), np.int64)
+    rows = np.arange(len(lines))
     for k in range(depth):
-        gain = np.where((doc == item[:, k, None]) & use, MATCH, MISMATCH)
-        now = gain.copy()
+        np.equal(doc, item[k], out=same)
+        same &= use
+        np.multiply(same, MATCH - MISMATCH, out=now)
+        now += MISMATCH
         now[:, 1:] += above[:, :-1]
-        np.maximum(now, above + GAP, out=now)
+        above += GAP
+        np.maximum(now, above, out=now)
         np.maximum(now, 0, out=now)
         # A gap along the line: the best start to the left, less its length.
-        now = np.maximum.accumulate(now + slope, axis=1) - slope
+        now += slope
+        np.maximum.accumulate(now, axis=1, out=now)
+        now -= slope
         now[k >= lengths] = 0
         top = now.argmax(1)
-        value = now[np.arange(len(lines)), top]
+        value = now[rows, top]
         better = value > best
         best[better], end[better] = value[better], top[better]
-        above = now
+        above, now = now, above
     return best, end
 
 
