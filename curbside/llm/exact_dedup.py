@@ -28,7 +28,7 @@ from pyspark.sql.types import (
 )
 
 from curbside.llm import golomb
-from curbside.llm.tables import SPACE_RUN, fresh, same, stored
+from curbside.llm.tables import SPACE_RUN, fresh, same, split_rows, stored
 
 OWNER_HASHES = 1 << 20
 BLOCK_ROWS = 1 << 20
@@ -233,32 +233,38 @@ def exact_duplicates(
         compared.groupBy("sha").agg(F.count(F.lit(1)).alias("texts")), "verified"
     )
     collided = verified.where("texts > 1").select("sha")
-    rows = rows.withColumn("variant", F.lit(""))
+    # All others have a text of their own and stay where they are.
+    alike = rows.where("suspect").withColumn("variant", F.lit(""))
     if not collided.isEmpty():
         # Different texts of one sha256: the text itself tells the groups apart.
         odd = texts.join(collided, "sha", "left_semi")
         named = odd.select("id", "sha", F.col("text").alias("variant")).distinct()
-        rows = (
-            rows.drop("variant")
+        alike = (
+            alike.drop("variant")
             .alias("r")
-            .join(named.alias("o"), same(rows, named, "id", "sha"), "left")
+            .join(named.alias("o"), same(alike, named, "id", "sha"), "left")
             .select("r.*", F.coalesce("o.variant", F.lit("")).alias("variant"))
         )
     first = F.struct(F.col("id").isNull().alias("none"), "id", "place")
-    groups = (
-        rows.where("suspect")
-        .groupBy("sha", "variant")
-        .agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("size"))
+    groups = alike.groupBy("sha", "variant").agg(
+        F.min(first).alias("first"), F.count(F.lit(1)).alias("size")
     )
-    joined = rows.join(groups, ["sha", "variant"], "left")
-    alone = F.col("size").isNull()
-    return joined.select(
+    sha = F.lower(F.hex("sha")).alias("text_sha256")
+    grouped = alike.join(groups, ["sha", "variant"]).select(
         F.col("id").alias(id_col),
-        F.when(alone, F.col("id")).otherwise(F.col("first.id")).alias("keep_id"),
-        F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
-        (alone | (F.col("place") == F.col("first.place"))).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"),
+        F.col("first.id").alias("keep_id"),
+        F.col("size").alias("group_size"),
+        (F.col("place") == F.col("first.place")).alias("kept"),
+        sha,
     )
+    alone = rows.where("NOT suspect").select(
+        F.col("id").alias(id_col),
+        F.col("id").alias("keep_id"),
+        F.lit(1).cast("long").alias("group_size"),
+        F.lit(True).alias("kept"),
+        sha,
+    )
+    return grouped.unionByName(alone)
 
 
 def drop_exact_duplicates(
@@ -269,22 +275,24 @@ def drop_exact_duplicates(
     See :func:`exact_duplicates`. Of rows that repeat an id with an equal text
     any one stays.
     """
-    id_name, sha, extra = fresh("id"), fresh("sha"), fresh("extra")
-    marked = stored(exact_duplicates(docs, id_col, text_col), "marked")
-    stay = (
-        marked.groupBy(F.col(id_col).alias(id_name), F.col("text_sha256").alias(sha))
-        .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-        .where("kept")
-        .select(id_name, sha, (F.col("n") > 1).alias(extra))
+    id_name, sha = fresh("id"), fresh("sha")
+    found = exact_duplicates(docs, id_col, text_col).where("group_size > 1")
+    marked = stored(
+        found.groupBy(F.col(id_col).alias(id_name), F.col("text_sha256").alias(sha)).agg(
+            F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")
+        ),
+        "marked",
     )
     hashed = docs.withColumns(
         {id_name: F.col(id_col), sha: F.sha2(normal_text(F.col(text_col)), 256)}
     )
-    kept = hashed.join(stay, same(hashed, stay, id_name, sha)).select(
-        *[hashed[c] for c in hashed.columns], stay[extra]
-    )
-    once = kept.where(~F.col(extra))
-    if stay.where(F.col(extra)).isEmpty():
-        return once.select(*docs.columns)
-    single = kept.where(F.col(extra)).dropDuplicates([id_name, sha])
-    return once.unionByName(single).select(*docs.columns)
+    # Rows that go, and rows of which one stays.
+    goes = marked.where("NOT kept OR n > 1")
+    others, _ = split_rows(hashed, goes, [id_name, sha], id_name)
+    once = others.select(*docs.columns)
+    repeated = marked.where("kept AND n > 1")
+    if repeated.isEmpty():
+        return once
+    _, copies = split_rows(hashed, repeated, [id_name, sha], id_name)
+    single = copies.dropDuplicates([id_name, sha])
+    return once.unionByName(single.select(*docs.columns))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbside.llm.components import connected_components
-from curbside.llm.tables import fresh, same, stored
+from curbside.llm.tables import fresh, same, split_rows, stored
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -283,32 +283,33 @@ def drop_near_duplicates(
     See :func:`near_duplicates`. Of rows that repeat the smallest id with one
     fingerprint any one stays. A component whose ids are all null keeps one row.
     """
+    name, mark, component, row = map(fresh, ("id", "fp", "component", "row"))
     found = near_duplicates(docs, id_col, text_col)
-    stay = found.where(F.col(id_col).eqNullSafe(F.col("component_id")))
-    name, copies = fresh("id"), fresh("copies")
-    stay = stay.groupBy(F.col(id_col).alias(name)).agg(F.count(F.lit(1)).alias(copies))
-    stay = stored(stay, "stay")
-    kept = docs.join(stay, docs[id_col].eqNullSafe(stay[name]))
-    once = kept.where(F.col(copies) == 1).select(*[docs[c] for c in docs.columns])
-    repeated = stay.where(F.col(copies) > 1)
+    stays = F.col(id_col).eqNullSafe(F.col("component_id"))
+    ids = found.groupBy(F.col(id_col).alias(name)).agg(
+        F.count(F.lit(1)).alias("n"), F.max(stays).alias("stays")
+    )
+    named = docs.withColumn(name, F.col(id_col))
+    goes = stored(ids.where("n > 1 OR NOT stays"), "goes")
+    others, _ = split_rows(named, goes, [name], name)
+    once = others.select(*docs.columns)
+    repeated = goes.where("n > 1 AND stays").select(name)
     if repeated.isEmpty():
         return once
     # Repeated ids: the fingerprint says which rows are of one component.
-    odd = stored(
-        docs.join(repeated, docs[id_col].eqNullSafe(repeated[name]), "left_semi"), "odd"
+    _, odd = split_rows(named, repeated, [name], name)
+    odd = stored(odd.withColumn(row, F.monotonically_increasing_id()), "odd")
+    marks = simhash(odd, row, text_col).select(
+        F.col("id").alias(row), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias(mark)
     )
-    mark, component = fresh("fp"), fresh("component")
-    prints = found.select(
+    homes = found.select(
         F.col(id_col).alias(name),
         F.col("fingerprint").alias(mark),
         F.col("component_id").alias(component),
     ).distinct()
-    marker = F.udf(lambda t: f"{fingerprint(t):016x}", "string")
-    odd = odd.withColumn(mark, marker(F.col(text_col)))
-    joined = odd.join(
-        prints, odd[id_col].eqNullSafe(prints[name]) & (odd[mark] == prints[mark])
-    ).select(*[odd[c] for c in docs.columns], prints[component])
-    mine = joined.where(F.col(id_col).eqNullSafe(F.col(component)))
-    return once.unionByName(
-        mine.dropDuplicates([id_col]).select(*docs.columns)
+    marked = odd.join(marks, row)
+    joined = marked.join(homes, same(marked, homes, name, mark)).select(
+        *[marked[c] for c in marked.columns], homes[component]
     )
+    mine = joined.where(F.col(name).eqNullSafe(F.col(component)))
+    return once.unionByName(mine.dropDuplicates([name]).select(*docs.columns))
