@@ -1,8 +1,10 @@
 """Main text of web pages, without what a site repeats on its pages.
 
-Pages are cut into blocks of text with the hashes of the element subtrees that
-hold them. Spark counts, per host, on how many pages a subtree occurs; subtrees
-that recur on many pages of their host are templates and are deleted.
+Pages are cut into blocks of text, and every element that may recur is the hash
+of its subtree with the range of blocks it holds. Spark counts, per host, on how
+many pages a subtree occurs; subtrees that recur on many pages of their host are
+templates and are deleted. What tags, roles, classes or ids name as beside the
+text goes then, as a check on pages whose templates do not recur.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbside.llm.html_blocks import page_blocks
+from curbside.llm.html_blocks import read_page
 from curbside.llm.tables import fresh, stored
 
 MIN_PAGES = 5
@@ -23,40 +25,38 @@ MIN_SHARE = 0.2
 # On so many pages a subtree is a template, however many more the host has.
 MANY_PAGES = 100
 
-_BLOCKS = "array<struct<text:string,path:array<bigint>>>"
-_NAMED = "array<bigint>"
+_SPANS = "array<struct<subtree:bigint,first:int,end:int>>"
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("text", pa.string()), ("path", pa.list_(pa.int64()))]))
+    span = pa.struct([("subtree", pa.int64()), ("first", pa.int32()), ("end", pa.int32())])
     for batch in batches:
         for start in range(0, batch.num_rows, 256):
             part = batch.slice(start, 256)
-            rows, named, signs = [], [], []
-            for page in part.column(0):
-                found = page_blocks(page.as_py())
-                blocks = [b for b in found if not b.named]
-                beside = {h for b in found if b.named for h in b.path}
-                named.append(np.array(sorted(beside), np.uint64).view(np.int64))
-                text = "\n".join(b.text for b in blocks).encode("utf-8", "replace")
-                signs.append(xxhash.xxh64_intdigest(text))
-                rows.append(
+            blocks, named, spans, signs = [], [], [], []
+            for html in part.column(0):
+                page = read_page(html.as_py())
+                texts = [b.encode("utf-8", "replace").decode() for b in page.blocks]
+                own = "\n".join(b for b, out in zip(texts, page.named) if not out)
+                blocks.append(texts)
+                named.append(page.named)
+                signs.append(xxhash.xxh64_intdigest(own.encode()))
+                hashes = np.array([s.hash for s in page.spans], np.uint64).view(np.int64)
+                spans.append(
                     [
-                        {
-                            "text": b.text.encode("utf-8", "replace").decode(),
-                            "path": np.array(b.path, np.uint64).view(np.int64),
-                        }
-                        for b in blocks
+                        {"subtree": h, "first": s.first, "end": s.end}
+                        for h, s in zip(hashes.tolist(), page.spans)
                     ]
                 )
             yield pa.RecordBatch.from_arrays(
                 [
                     *part.columns[1:],
-                    pa.array(rows, kind),
-                    pa.array(named, pa.list_(pa.int64())),
+                    pa.array(blocks, pa.list_(pa.string())),
+                    pa.array(named, pa.list_(pa.bool_())),
+                    pa.array(spans, pa.list_(span)),
                     pa.array(np.array(signs, np.uint64).view(np.int64)),
                 ],
-                names=[*part.schema.names[1:], "blocks", "named", "sign"],
+                names=[*part.schema.names[1:], "blocks", "named", "spans", "sign"],
             )
 
 
@@ -75,16 +75,20 @@ def extract_text(
     min_share: float = MIN_SHARE,
     between: str = "\n",
     many_pages: int = MANY_PAGES,
+    check_names: bool = True,
 ) -> DataFrame:
     """One row per page: id, url, ``text`` and ``n_chars``.
 
     Character references are decoded, white space within a block is one space,
-    and blocks are joined by ``between``. Every element is counted, also what tags,
-    roles, classes or ids name. A subtree on at least ``min_pages``
+    and blocks are joined by ``between``. Every element of a structure is counted,
+    also what tags, roles, classes or ids name. A subtree on at least ``min_pages``
     distinct pages and ``min_share`` of all pages of its host, or on ``many_pages``
-    of them, is a template. A page with
-    nothing but templates has an empty text, and pages of equal text count once.
-    Paragraphs within an article are never a template.
+    of them, is a template, and its blocks go. A page with nothing but templates
+    has an empty text, and pages of equal text count once. No heading, paragraph,
+    list entry or cell of the text is a template by itself, within an article no
+    element with a single block is, and nothing that holds an article is.
+    ``check_names`` then takes out what lies outside the article or main part, and
+    what names say is beside the text; without it the counts alone decide.
 
     Null and empty html, and pages without text, give an empty text. Pages
     without a host are taken as one host. Rows may repeat an id; each is a page
@@ -100,20 +104,13 @@ def extract_text(
             F.xxhash64(host_of(F.col(url_col))).alias("site"),
         ).mapInArrow(
             _cut,
-            f"row bigint, id {id_kind}, url string, site bigint, blocks {_BLOCKS},"
-            f" named {_NAMED}, sign bigint",
+            f"row bigint, id {id_kind}, url string, site bigint, blocks array<string>,"
+            f" named array<boolean>, spans {_SPANS}, sign bigint",
         ),
         "page-blocks",
     )
-    on_page = cut.select(
-        "site",
-        "row",
-        "sign",
-        F.explode(F.array_union(F.flatten(F.col("blocks.path")), "named")).alias("subtree"),
-    )
-    in_text = cut.select(
-        "site", "row", F.explode(F.array_distinct(F.flatten("blocks.path"))).alias("subtree")
-    )
+    subtrees = F.explode(F.array_distinct(F.col("spans.subtree"))).alias("subtree")
+    on_page = cut.select("site", "row", "sign", subtrees)
     totals = cut.groupBy("site").agg(F.count_distinct("sign").alias("pages"))
     counted = (
         on_page.groupBy("site", "subtree")
@@ -125,18 +122,22 @@ def extract_text(
     )
     # Only pages with a template are touched again, and only their numbers.
     touched = (
-        in_text.join(templates.select("site", "subtree"), ["site", "subtree"])
+        on_page.join(templates.select("site", "subtree"), ["site", "subtree"])
         .groupBy(F.col("row").alias("touched"))
         .agg(F.collect_list("subtree").alias("templates"))
     )
     # No page has more templates than subtrees.
     touched = stored(touched, "templates")
     joined = cut.join(touched, cut["row"] == touched["touched"], "left")
-    rest = F.filter(
-        "blocks", lambda b: ~F.arrays_overlap(b["path"], F.col("templates"))
-    )
-    chosen = F.when(F.col("templates").isNull(), F.col("blocks")).otherwise(rest)
-    text = F.array_join(chosen["text"], between)
+    found = F.coalesce("templates", F.array().cast("array<bigint>"))
+    taken = F.filter("spans", lambda s: F.array_contains(found, s["subtree"]))
+    joined = joined.withColumn("taken", taken)
+
+    def stays(block, i):
+        inside = F.exists("taken", lambda s: (s["first"] <= i) & (i < s["end"]))
+        return ~inside & ~F.get("named", i) if check_names else ~inside
+
+    text = F.array_join(F.filter("blocks", stays), between)
     name = fresh("text")
     return joined.select("id", "url", text.alias(name)).select(
         F.col("id").alias(id_col),

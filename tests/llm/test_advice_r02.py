@@ -6,7 +6,7 @@ from texts import WORDS, sentence, table
 
 from conftest import SMALL
 from curbside.llm import decontamination, html_text
-from curbside.llm.html_blocks import text_blocks
+from curbside.llm.html_blocks import read_page, text_blocks
 from curbside.llm.queries import QUERIES
 from curbside.llm.tables import read
 
@@ -17,19 +17,23 @@ def texts_of(spark, pages, **options):
     return {r.page_id: r.text for r in found}
 
 
-def test_every_element_of_an_article_may_be_a_template(spark):
-    """Headings, list items, cells and inline tags, by their subtree alone."""
+def test_an_article_loses_only_whole_repeated_structures(spark):
+    """Headings, list entries, cells and notes stay however often they recur."""
     pages = []
     for i in range(12):
         parts = [
-            "<h2>Read this too</h2>", "<ul><li>Tell a friend</li>" f"<li>own item {i}</li></ul>",
-            "<span>Follow us</span>", f"<p><b>Note</b> of page {i}</p>",
-            f"<table><tr><td>Printed by us</td><td>cell {i}</td></tr></table>",
+            "<h2>References</h2>", f"<ul><li>Yes</li><li>own item {i}</li></ul>",
+            f"<p><b>Note</b> of page {i}</p>", "<p>The same words</p>",
+            f"<table><tr><td>Total</td><td>cell {i}</td></tr></table>", "<div>Alone</div>",
+            "<div><p>Share this</p><ul><li>by mail</li><li>by post</li></ul></div>",
         ]
         pages.append((i, f"http://a.example/{i}", f"<article>{''.join(parts)}</article>"))
     text = texts_of(spark, pages)
     for i in range(12):
-        assert text[i].split("\n") == [f"own item {i}", f"Note of page {i}", f"cell {i}"]
+        assert text[i].split("\n") == [
+            "References", "Yes", f"own item {i}", f"Note of page {i}", "The same words", "Total",
+            f"cell {i}", "Alone",
+        ]
 
 
 def test_named_elements_are_counted(spark):
@@ -41,9 +45,9 @@ def test_named_elements_are_counted(spark):
 
 
 def test_block_that_begins_inline_belongs_to_its_paragraph():
-    [block] = text_blocks("<body><div><b>One</b> line</div></body>")
-    [other] = text_blocks("<body><div><b>One</b> other</div></body>")
-    assert block.text == "One line" and len(block.path) == 1 and block.path != other.path
+    one, other = (read_page(f"<body><div><b>One</b> {w}</div></body>") for w in ("line", "other"))
+    assert one.blocks == ["One line"] and len(one.spans) == 1
+    assert one.spans[0].hash != other.spans[0].hash
 
 
 def test_query_parts_blocks_by_two_line_ends(spark):
@@ -51,7 +55,7 @@ def test_query_parts_blocks_by_two_line_ends(spark):
     found = QUERIES["op2_html_text"](spark, SMALL).collect()
     assert any("\n\n" in r.text for r in found)
     for r in found:
-        assert r.text == "\n\n".join(b.text for b in text_blocks(pages[r.page_id]))
+        assert r.text == "\n\n".join(text_blocks(pages[r.page_id]))
         assert r.n_chars == len(r.text)
 
 

@@ -110,7 +110,7 @@ PAGE = """<html><head><title>no</title><script>var a="<p>";</script></head>
 
 
 def test_article_blocks():
-    assert [b.text for b in text_blocks(PAGE)] == ["Head & tail", "One line more", "two <b>"]
+    assert text_blocks(PAGE) == ["Head & tail", "One line more", "two <b>"]
     for empty in (None, "", "   ", "<p></p>", "<!-- x", "<script>a"):
         assert text_blocks(empty) == []
 
