@@ -36,6 +36,8 @@ TOP_LEVEL = 26
 # A crossed cell with more positions is cut into cells so many levels below.
 CELL_SPOTS = 32
 BELOW = 3
+# So few positions are all tested at the rim as they are.
+FEW_SPOTS = 4096
 
 # Circles are drawn a little larger for cells they touch, and smaller for cells
 # they hold; a position on the border is always tested.
@@ -205,7 +207,10 @@ def _cut(crossed: DataFrame) -> DataFrame:
 
 
 def cover(
-    places: DataFrame, spots: DataFrame, cell_spots: int = CELL_SPOTS
+    places: DataFrame,
+    spots: DataFrame,
+    cell_spots: int = CELL_SPOTS,
+    few_spots: int = FEW_SPOTS,
 ) -> tuple[DataFrame, DataFrame]:
     """The units that make up each circle, and the positions of each unit.
 
@@ -220,40 +225,43 @@ def cover(
     places = places.select(*PLACE).where(
         F.col("lat").isNotNull() & F.col("lon").isNotNull() & (radius >= 0) & ~F.isnan(radius)
     )
-    places = places.distinct()
-    spots = spots.select(*SPOT).where(" AND ".join(f"{c} IS NOT NULL" for c in SPOT))
-    spots = spots.distinct()
     found = places.agg(F.expr(f"bit_or(shiftleft(1, {_LEVEL}))")).first()[0] or 1 << ABOVE
     levels = [k for k in range(found.bit_length()) if found >> k & 1]
+    places = places.distinct()
+    spots = spots.select(*SPOT).where(" AND ".join(f"{c} IS NOT NULL" for c in SPOT))
 
     fine = _fine(places)
     whole = _coarse(places).unionByName(_listed(fine.where("__inside")))
     crossed, tested, used = _listed(fine.where("NOT __inside")), [], set(levels)
     used |= {k - ABOVE for k in levels}
+    few = spots.count() <= few_spots
     while True:
         of_cells = _cell_of(spots, levels)
-        counts = of_cells.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("__n"))
-        most = counts.agg(F.max("__n")).first()[0] or 0
-        if most <= cell_spots or max(levels) + BELOW > TOP_LEVEL + ABOVE:
+        if few or max(levels) + BELOW > TOP_LEVEL + ABOVE:
             tested.append(crossed.join(of_cells, UNIT))
             break
+        counts = of_cells.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("__n"))
         met = stored(crossed.join(counts, UNIT), "crossed")
         quiet = met.where(F.col("__n") <= cell_spots)
         tested.append(quiet.drop("__n").join(of_cells, UNIT))
-        finer = _cut(met.where(F.col("__n") > cell_spots))
+        loud = met.where(F.col("__n") > cell_spots)
+        if loud.isEmpty():
+            break
+        finer = _cut(loud)
         whole = whole.unionByName(_listed(finer.where("__inside")))
         crossed = _listed(finer.where("NOT __inside"))
         levels = [k + BELOW for k in levels]
         used |= set(levels)
     near = haversine_m("lat", "lon", *SPOT) <= F.col("metres")
     found = [t.where(near).selectExpr(*PLACE, *_ITSELF) for t in tested]
-    of_cells = _cell_of(spots, sorted(used))
-    # Cells without a position are nobody's unit.
-    units = whole.join(of_cells.select(*UNIT).distinct(), UNIT, "left_semi")
+    units = whole
     for some in found:
         units = units.unionByName(some)
     units = stored(units.select(*PLACE, *UNIT), "cover")
-    members = of_cells.unionByName(spots.selectExpr(*SPOT, *_ITSELF)).join(
-        units.select(*UNIT).distinct(), UNIT, "left_semi"
+    # Only units that a circle has; cells without a position fall out of any join.
+    members = (
+        _cell_of(spots, sorted(used))
+        .unionByName(spots.selectExpr(*SPOT, *_ITSELF))
+        .join(units.select(*UNIT), UNIT, "left_semi")
     )
     return units, members
