@@ -20,7 +20,7 @@ from curbside.llm.tables import same, stored
 
 MIN_JACCARD = 0.8
 # Entries of the array of how frequent words are, and of the other arrays.
-WORD_SLOTS = 1 << 20
+WORD_SLOTS = 1 << 18
 SLOTS = 1 << 16
 # Sets of one prefix token that a task compares with each other.
 CROWD = 2048
@@ -57,6 +57,10 @@ def _array_of(counts: DataFrame, slots: int = SLOTS) -> Column:
     return filled.agg(F.array_sort(F.collect_list("s"))["value"].alias("a")).scalar()
 
 
+def _word_slot(word: Column) -> Column:
+    return F.hash(word).bitwiseAND(WORD_SLOTS - 1)
+
+
 def _classes(lines: DataFrame) -> bytes:
     """How frequent the words of each slot are: one byte for each slot.
 
@@ -64,8 +68,7 @@ def _classes(lines: DataFrame) -> bytes:
     driver fetches the bytes, a fixed number of them.
     """
     words = lines.select(F.explode(F.split("line", " ")).alias("w")).where("w <> ''")
-    slot = F.xxhash64("w").bitwiseAND(WORD_SLOTS - 1)
-    counts = words.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    counts = words.groupBy(_word_slot(F.col("w")).cast("long").alias("slot")).agg(F.count(F.lit(1)).alias("n"))
     value = F.floor(2 * F.log2(F.col("n") + 1)).cast("long").alias("value")
     counts = stored(counts.select("slot", value), "word-classes")
     found = counts.sparkSession.range(1)
@@ -89,38 +92,34 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, jaccard: float):
     lines = _lines(docs, id_col, text_col)
     classes = F.lit(_classes(lines))
 
-    def key(hashed):
-        at = (hashed.bitwiseAND(WORD_SLOTS - 1) + 1).cast("int")
-        frequent = F.ascii(F.substring(classes, at, F.lit(1)).cast("string"))
-        # Class first, then hash: one order of tokens for all sets.
-        return F.shiftleft(frequent.cast("long"), 31) + F.shiftrightunsigned(hashed, 33)
+    def key(word):
+        # Class first, then the word: one order of tokens for all sets.
+        frequent = F.substring(classes, _word_slot(word) + 1, F.lit(1))
+        return F.concat(frequent, word.cast("binary"))
 
-    def with_bit(bits, hashed):
-        # Six bits of the hash that neither slot nor token have.
-        at = F.shiftrightunsigned(hashed, 24).bitwiseAND(63).cast("int")
-        return bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), at))
+    def with_bit(bits, word):
+        # A shift takes the last six bits of the hash.
+        return bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.hash(word)))
 
     words = F.array_remove(F.split("line", " "), "")
     rows = lines.select(
         "row", "id", "sign", "line_no", words.alias("words"),
-        F.transform(F.array_distinct(words), lambda w: F.xxhash64(w)).alias("hashes"),
-    ).where(F.size("hashes") > 0)
-    n = F.size("hashes")
+        F.array_distinct(words).alias("tokens"),
+    ).where(F.size("tokens") > 0)
+    n = F.size("tokens")
+    rarest = F.slice(F.array_sort(F.transform("tokens", key)), 1, _prefix(n, jaccard))
     rows = stored(
         rows.select(
             "row", "id", "sign", "line_no", n.alias("n"),
             F.unhex(F.sha2(F.array_join("words", " "), 256)).alias("key"),
-            F.slice(F.array_sort(F.transform("hashes", key)), 1, _prefix(n, jaccard)).alias(
-                "prefix"
-            ),
-            F.aggregate("hashes", F.lit(0).cast("long"), with_bit).alias("bits"),
+            F.transform(rarest, lambda k: F.hash(k)).alias("prefix"),
+            F.aggregate("tokens", F.lit(0).cast("long"), with_bit).alias("bits"),
         ),
         "lines",
     )
     order = F.struct(F.col("id").isNull().alias("none"), "id", "sign", "line_no", "row")
-    tokens = F.transform("prefix", lambda k: k.bitwiseAND(0x7FFFFFFF).cast("int"))
     sets = stored(
-        rows.select("key", order.alias("order"), "n", tokens.alias("prefix"), "bits")
+        rows.select("key", order.alias("order"), "n", "prefix", "bits")
         .groupBy("key")
         .agg(
             F.min("order").alias("first"),
@@ -145,6 +144,18 @@ def _among(keys: DataFrame, key: Column) -> Column:
     return F.getbit(word, bit.bitwiseAND(63).cast("int")) == 1
 
 
+def _met(left: DataFrame, right: DataFrame, *on: str) -> DataFrame:
+    """Every two different sets that have the columns ``on`` in common, once.
+
+    Where both sides are the same rows they go through one shuffle.
+    """
+    met = left.alias("a").join(right.alias("b"), list(on))
+    return met.where("a.set < b.set").selectExpr(
+        "a.set AS x", "b.set AS y",
+        *[f"{t}.{c} AS {c}_{s}" for t, s in zip("ab", "xy") for c in ("bits", "packed")],
+    )
+
+
 def _candidates(sets: DataFrame, jaccard: float, crowd: int) -> DataFrame:
     """Pairs ``(x, y)`` of sets with a common prefix token that may be similar.
 
@@ -174,26 +185,26 @@ def _candidates(sets: DataFrame, jaccard: float, crowd: int) -> DataFrame:
     rows = rows.withColumn(
         "parts", F.element_at(_array_of(parts.where("value > 1")), (slot + 1).cast("int"))
     )
-    rows = rows.withColumn("parts", F.greatest("parts", F.lit(1).cast("long")))
+    usual = rows.where(F.coalesce("parts", F.lit(0)) <= 1).drop("parts")
+    crowded = rows.where("parts > 1")
     part = F.pmod(F.xxhash64("set"), "parts")
     others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
-    left = rows.select("token", part.alias("px"), others.alias("py"), "set", "bits", "packed")
-    right = rows.select("token", others.alias("px"), part.alias("py"), "set", "bits", "packed")
-    both = left.alias("a").join(
-        right.alias("b"),
-        (F.col("a.token") == F.col("b.token"))
-        & (F.col("a.px") == F.col("b.px"))
-        & (F.col("a.py") == F.col("b.py"))
-        & (F.col("a.set") < F.col("b.set")),
-    )
-    n_x, n_y = (F.shiftright(f"{side}.packed", 32) for side in "ab")
-    at_x, at_y = (F.col(f"{side}.packed").bitwiseAND(0xFFFFFFFF) for side in "ab")
+    columns = ("token", "set", "bits", "packed")
+    both = _met(usual, usual, "token").unionByName(
+        _met(
+            crowded.select(*columns, part.alias("px"), others.alias("py")),
+            crowded.select(*columns, others.alias("px"), part.alias("py")),
+            "token", "px", "py",
+        )
+    )
+    n_x, n_y = (F.shiftright(f"packed_{side}", 32) for side in "xy")
+    at_x, at_y = (F.col(f"packed_{side}").bitwiseAND(0xFFFFFFFF) for side in "xy")
     overlap = _least_overlap(n_x, n_y, jaccard)
-    apart = F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits")))
+    apart = F.bit_count(F.col("bits_x").bitwiseXOR(F.col("bits_y")))
     return (
         both.where(F.least(n_x - at_x, n_y - at_y) >= overlap)
         .where(n_x + n_y - apart >= 2 * overlap)
-        .select(F.col("a.set").alias("x"), F.col("b.set").alias("y"))
+        .select("x", "y")
         .distinct()
     )
 
