@@ -29,7 +29,9 @@ from curbside.operators import (
     meter_count,
     meters_within,
     observed_days,
+    observed_days_between,
     occupied_days,
+    occupied_days_between,
     occupied_in_hour,
     on_weekday,
     pivot_of_occupancy,
@@ -39,6 +41,7 @@ from curbside.operators import (
     within_distance,
 )
 from curbside.plans import (
+    append_date_bits,
     append_occupancy,
     area_possibility,
     avg_meters_in_hour,
@@ -52,6 +55,7 @@ from curbside.plans import (
     meter_possibility,
     meters_per_date,
     occupied_days_by_meter,
+    read_date_bits,
     read_occupancy,
     score_in_progress,
     score_meter_days,
@@ -448,6 +452,26 @@ def _misspelt(requests: DataFrame) -> DataFrame:
     return requests.withColumn("address", typed)
 
 
+RANGE = ("2024-01-05", "2024-01-23")
+
+
+def _date_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bits of sessions that arrive in two overlapping parts."""
+    sessions, path = given.typed_sessions(spark, sf_dir), scratch_folder(spark, "date-bits")
+    for part in (F.col("event_id") % 3 < 2, F.col("event_id") % 3 > 0):
+        append_date_bits(sessions.where(part), path)
+    return read_date_bits(spark, path)
+
+
+def meter_days_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = occupied_days_between(_date_bits(spark, sf_dir), HOUR, *RANGE)
+    return days.withColumnRenamed("POST_ID", "post_id")
+
+
+def weekdays_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return observed_days_between(_date_bits(spark, sf_dir), *RANGE, DAY)
+
+
 def typed_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = _misspelt(given.requests(spark, sf_dir))
     return locate_text(asked, given.gazetteer(spark, sf_dir)).select(
@@ -673,4 +697,6 @@ QUERIES: dict[str, Query] = {
     "avg_meters_all_days": place_meters_all_days,
     "refresh_corrected": corrected_sessions,
     "locate_text": typed_requests,
+    "occupied_days_between": meter_days_between,
+    "observed_days_between": weekdays_between,
 }

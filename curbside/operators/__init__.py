@@ -15,6 +15,12 @@ from curbside.operators.aggregates import (
     pivot_of_occupancy,
     sessions_per_meter_weekday,
 )
+from curbside.operators.datebits import (
+    date_bits,
+    merge_date_bits,
+    observed_days_between,
+    occupied_days_between,
+)
 from curbside.operators.filters import in_progress_at, occupied_in_hour, on_weekday
 from curbside.operators.joins import is_small, lookup_join, salted_join
 from curbside.operators.sessions import (
@@ -39,6 +45,7 @@ __all__ = [
     "attach_meter",
     "build_sessions",
     "clean_sessions",
+    "date_bits",
     "distance_join",
     "duplicate_meters",
     "hour_column",
@@ -48,13 +55,16 @@ __all__ = [
     "locate",
     "locate_text",
     "lookup_join",
+    "merge_date_bits",
     "merge_occupancy",
     "meter_base",
     "meter_count",
     "meters_within",
     "observed_days",
+    "observed_days_between",
     "occupancy",
     "occupied_days",
+    "occupied_days_between",
     "occupied_hours_per_date",
     "occupied_in_hour",
     "on_weekday",

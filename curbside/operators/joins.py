@@ -23,6 +23,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from curbside.scratch import stored
+
 # Rows of one key that a single task may get.
 ROWS_PER_TASK = 1_000_000
 
@@ -139,11 +141,9 @@ def salted_join(
     keys = [on] if isinstance(on, str) else list(on)
     if rows.isStreaming:
         return rows.join(lookup, keys, how)
-    counted = crowded_keys(rows, keys, rows_per_task)
-    found = counted.collect()
-    if not found:
+    crowded = stored(crowded_keys(rows, keys, rows_per_task), "crowded")
+    if crowded.isEmpty():
         return rows.join(lookup, keys, how)
-    crowded = rows.sparkSession.createDataFrame(found, counted.schema)
     # One line per rows_per_task rows at most, but its size is checked all the same.
     if is_small(crowded):
         crowded = F.broadcast(crowded)

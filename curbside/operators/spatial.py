@@ -23,6 +23,7 @@ from curbside.operators.joins import (
     lookup_join,
     salt_of_row,
 )
+from curbside.scratch import stored
 
 _CELL = ["__level", "__row", "__cell"]
 
@@ -87,9 +88,8 @@ def _dealt(looking: DataFrame, placed: DataFrame, cell_rows: int) -> DataFrame:
     sides = []
     for df, (mine, theirs) in ((looking, own), (placed, other)):
         crowded = crowded_keys(df, _CELL, cell_rows).withColumnRenamed("__parts", mine)
-        found = crowded.collect()
-        sides.append(df.sparkSession.createDataFrame(found, crowded.schema))
-    parts = sides[0].join(sides[1], _CELL, "full")
+        sides.append(crowded)
+    parts = stored(sides[0].join(sides[1], _CELL, "full"), "crowded")
     if parts.isEmpty():
         return looking.join(placed, _CELL)
     # One line per cell_rows rows at most, but its size is checked all the same.

@@ -2,6 +2,7 @@
 
 from curbside.plans.in_progress import score_in_progress
 from curbside.plans.jobs import (
+    append_date_bits,
     append_occupancy,
     build_hour_pivot,
     load_half_file,
@@ -9,6 +10,7 @@ from curbside.plans.jobs import (
     load_meters,
     load_sessions,
     load_weekday_sessions,
+    read_date_bits,
     read_occupancy,
 )
 from curbside.plans.occupancy import (
@@ -31,6 +33,7 @@ from curbside.plans.scoring import (
 )
 
 __all__ = [
+    "append_date_bits",
     "append_occupancy",
     "area_possibility",
     "attach_days",
@@ -47,6 +50,7 @@ __all__ = [
     "meter_possibility",
     "meters_per_date",
     "occupied_days_by_meter",
+    "read_date_bits",
     "read_occupancy",
     "score_in_progress",
     "score_meter_days",

@@ -16,6 +16,7 @@ from curbside.operators.aggregates import (
     occupancy,
     sessions_per_meter_weekday,
 )
+from curbside.operators.datebits import date_bits, merge_date_bits
 from curbside.operators.sessions import (
     attach_meter,
     build_sessions,
@@ -99,3 +100,19 @@ def read_occupancy(spark: SparkSession, path: str) -> DataFrame:
     its number of days; the sessions are not read again for either.
     """
     return merge_occupancy(spark.read.parquet(path))
+
+
+def append_date_bits(sessions: DataFrame, path: str) -> None:
+    """Add newly loaded sessions to a stored table of date bits.
+
+    Only the new sessions are read, and the same ones again change nothing that
+    ``read_date_bits`` gives. Rows are sorted by hour and date, so that a query
+    for some hour and dates skips row groups.
+    """
+    bits = date_bits(occupancy(sessions))
+    bits.sortWithinPartitions("hour", "block", "POST_ID").write.mode("append").parquet(path)
+
+
+def read_date_bits(spark: SparkSession, path: str) -> DataFrame:
+    """Dates occupied per meter and hour over all that was added."""
+    return merge_date_bits(spark.read.parquet(path))

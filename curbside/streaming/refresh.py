@@ -10,8 +10,10 @@ from pyspark.sql.types import StructType
 from curbside.operators.sessions import attach_meter, clean_sessions, meter_base
 from curbside.schemas import SESSION_SCHEMA
 
-# Seconds between looks at the progress, of which Spark keeps the last batches.
+# Seconds between looks at the progress, and batches that Spark keeps for them.
 _LOOK_AFTER = 0.2
+_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
+_KEPT_BATCHES = 10_000
 
 
 def refresh_sessions(
@@ -76,19 +78,29 @@ def _laid_out(sessions: DataFrame, parts: int) -> DataFrame:
 
 
 def _start(sessions: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    return (
+    writer = (
         sessions.writeStream.format("parquet")
         .outputMode("append")
         .partitionBy("Day_Of_Week")
         .option("path", table)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    conf = sessions.sparkSession.conf
+    before = conf.get(_KEPT)
+    conf.set(_KEPT, _KEPT_BATCHES)
+    try:
+        return writer.start()
+    finally:
+        conf.set(_KEPT, before)
 
 
 def _rows_read(query: StreamingQuery) -> int:
-    """Rows of all batches, added up while they run; keeps one number."""
+    """Rows of all batches, added up while they run; keeps one number.
+
+    If ever more batches end between two looks than Spark keeps, the run goes on
+    to its end all the same; only its number of rows is not known then.
+    """
     total, last = 0, None
     running = True
     while running:
@@ -98,6 +110,7 @@ def _rows_read(query: StreamingQuery) -> int:
             if last is not None and number <= last:
                 continue
             if last is not None and number > last + 1:
-                raise RuntimeError("batches ended faster than they could be counted")
+                query.awaitTermination()
+                raise RuntimeError("all files are loaded, but their rows were not counted")
             total, last = total + batch["numInputRows"], number
     return total

@@ -190,6 +190,14 @@ per_date AS (SELECT coalesce(n, 0) AS n FROM days LEFT JOIN hits USING (event_da
 SELECT CASE WHEN event_id % 4 = 2 THEN 'moved ' || post_id ELSE post_id END AS post_id,
        event_date, start_time, end_time, day_of_week
 FROM sessions WHERE event_id % 4 <> 2 OR event_id % 3 = 0""",
+        "occupied_days_between": f"""WITH {SESSIONS}
+SELECT post_id, count(DISTINCT event_date) AS n_days FROM sessions
+WHERE post_id IS NOT NULL AND {IN_HOUR}
+  AND event_date BETWEEN '2024-01-05' AND '2024-01-23'
+GROUP BY post_id""",
+        "observed_days_between": f"""WITH {SESSIONS}
+SELECT count(DISTINCT event_date) AS n_days FROM sessions
+WHERE day_of_week = '{DAY}' AND event_date BETWEEN '2024-01-05' AND '2024-01-23'""",
         "locate_text": f"""WITH {REQUESTS},
 typed AS (
   SELECT request_id, CASE request_id % 5
