@@ -234,8 +234,10 @@ def smith_waterman(lines: list[np.ndarray], items: list[np.ndarray]):
         doc[i, : len(line)], use[i, : len(line)] = line, True
         item[: len(words), i, 0] = words
     lengths = np.array([len(x) for x in items])
-    slope = (-GAP * np.arange(width)).astype(np.int32)
-    above = np.zeros((len(lines), width), np.int32)
+    # No sum is larger than a line's slope and an item's score.
+    kind = np.int16 if width + MATCH * depth < 1 << 15 else np.int32
+    slope = (-GAP * np.arange(width)).astype(kind)
+    above = np.zeros((len(lines), width), kind)
     now, same = np.empty_like(above), np.empty(doc.shape, bool)
     best = np.zeros(len(lines), np.int64)
     end = np.zeros(len(lines), np.int64)
@@ -243,7 +245,7 @@ def smith_waterman(lines: list[np.ndarray], items: list[np.ndarray]):
     for k in range(depth):
         np.equal(doc, item[k], out=same)
         same &= use
-        np.multiply(same, MATCH - MISMATCH, out=now)
+        np.multiply(same.view(np.int8), kind(MATCH - MISMATCH), out=now, dtype=kind)
         now += MISMATCH
         now[:, 1:] += above[:, :-1]
         above += GAP
@@ -273,7 +275,7 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n, widest = 0, 0
             for i in order:
                 widest = max(widest, len(lines[i]))
-                if n and widest * (n + 1) > 1 << 18:
+                if n and widest * (n + 1) > 1 << 16:
                     break
                 n += 1
             now, order = order[:n], order[n:]
