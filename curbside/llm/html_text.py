@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbside.llm.html_blocks import read_page
-from curbside.llm.tables import fresh, stored
+from curbside.llm.tables import fresh, maybe_among, stored
 
 MIN_PAGES = 5
 MIN_SHARE = 0.2
@@ -121,14 +121,28 @@ def extract_text(
         F.col("n") >= F.least(min_share * F.col("pages"), F.lit(float(many_pages)))
     )
     # Only pages with a template are touched again, and only their numbers.
+    # What holds only blocks that go by their name needs no looking up.
+    own = F.filter(
+        "spans",
+        lambda s: F.array_contains(F.slice("named", s["first"] + 1, s["end"] - s["first"]), False),
+    )
+    decides = own if check_names else F.col("spans")
+    in_text = cut.select(
+        "site", "row", F.explode(F.array_distinct(decides["subtree"])).alias("subtree")
+    )
     touched = (
-        on_page.join(templates.select("site", "subtree"), ["site", "subtree"])
+        in_text.join(templates.select("site", "subtree"), ["site", "subtree"])
         .groupBy(F.col("row").alias("touched"))
         .agg(F.collect_list("subtree").alias("templates"))
     )
     # No page has more templates than subtrees.
     touched = stored(touched, "templates")
-    joined = cut.join(touched, cut["row"] == touched["touched"], "left")
+    # Pages without a template stay where they are.
+    may = maybe_among(touched.select(F.xxhash64("touched").alias("key")), F.xxhash64("row"))
+    near = cut.where(may)
+    joined = near.join(touched, near["row"] == touched["touched"], "left").drop("touched")
+    untouched = cut.where(~may).withColumn("templates", F.lit(None).cast("array<bigint>"))
+    joined = joined.unionByName(untouched)
     found = F.coalesce("templates", F.array().cast("array<bigint>"))
     taken = F.filter("spans", lambda s: F.array_contains(found, s["subtree"]))
     joined = joined.withColumn("taken", taken)
