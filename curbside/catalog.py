@@ -197,6 +197,11 @@ def near_meters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def near_meters_on_spheroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = meters_within(given.meters(spark, sf_dir), *PLACE, spheroid=True)
+    return near.select(F.col("POST_ID").alias("post_id"), F.round("metres", 3).alias("metres"))
+
+
 def near_meter_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return meter_count(within_distance(given.meters(spark, sf_dir), *PLACE))
 
@@ -652,6 +657,7 @@ QUERIES: dict[str, Query] = {
     "active_days_per_meter_weekday": meter_weekday_days,
     "observed_days": weekday_days,
     "meters_within": near_meters,
+    "meters_within_spheroid": near_meters_on_spheroid,
     "meter_count_within": near_meter_count,
     "on_weekday": sessions_of_weekday,
     "in_progress_at": sessions_in_progress,

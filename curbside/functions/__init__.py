@@ -1,6 +1,6 @@
 """Native column functions: time parsing, scores and labels, geography."""
 
-from curbside.functions.geo import EARTH_RADIUS_M, haversine_m
+from curbside.functions.geo import EARTH_RADIUS_M, geodesic_m, haversine_m
 from curbside.functions.scores import (
     occupancy_label,
     possibility,
@@ -28,6 +28,7 @@ __all__ = [
     "clock",
     "clock_second",
     "event_date",
+    "geodesic_m",
     "haversine_m",
     "occupancy_label",
     "parse_session_ts",

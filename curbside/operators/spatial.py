@@ -12,7 +12,9 @@ from curbside.functions.geo import (
     LEVEL,
     ROW,
     ROWS,
+    SPHERE_MARGIN,
     box_around,
+    geodesic_m,
     haversine_m,
 )
 from curbside.operators.joins import (
@@ -31,23 +33,32 @@ _CELL = ["__level", "__row", "__cell"]
 CELL_ROWS = 10_000
 
 
-def within_distance(df: DataFrame, lat: float, lon: float, metres: float) -> DataFrame:
+def within_distance(
+    df: DataFrame, lat: float, lon: float, metres: float, spheroid: bool = False
+) -> DataFrame:
     """Rows whose ``latitude``/``longitude`` lie within ``metres`` of a point.
 
     The border belongs to the circle. The bounding box is a range on the plain
     columns, so a Parquet scan can skip row groups; the distance is the rest.
+    ``spheroid`` measures on the spheroid, after a slightly larger circle on the
+    sphere has sorted out most rows.
     """
     here = F.col("latitude"), F.col("longitude")
-    distance = haversine_m(float(lat), float(lon), "latitude", "longitude")
-    return df.where(box_around(lat, lon, metres, *here)).where(distance <= metres)
+    wide = metres * SPHERE_MARGIN + 1 if spheroid else metres
+    on_sphere = haversine_m(float(lat), float(lon), "latitude", "longitude")
+    near = df.where(box_around(lat, lon, wide, *here)).where(on_sphere <= wide)
+    if not spheroid:
+        return near
+    return near.where(geodesic_m(float(lat), float(lon), "latitude", "longitude") <= metres)
 
 
 def meters_within(
-    meters: DataFrame, lat: float, lon: float, metres: float
+    meters: DataFrame, lat: float, lon: float, metres: float, spheroid: bool = False
 ) -> DataFrame:
     """Position and distance of the meters within a radius."""
-    distance = haversine_m(float(lat), float(lon), "latitude", "longitude")
-    return within_distance(meters, lat, lon, metres).select(
+    measure = geodesic_m if spheroid else haversine_m
+    distance = measure(float(lat), float(lon), "latitude", "longitude")
+    return within_distance(meters, lat, lon, metres, spheroid).select(
         "POST_ID", "latitude", "longitude", distance.alias("metres")
     )
 

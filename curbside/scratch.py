@@ -11,9 +11,12 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder that all executors see, removed when the session ends.
 
     It lies below the folder that ``spark.checkpoint.dir`` names or, where that
-    is unset, below the session's warehouse. It does not exist yet.
+    is unset, below the session's warehouse. It does not exist yet. On a cluster
+    the setting is required, as a warehouse may be a folder of one machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not base:
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     own = f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"

@@ -49,6 +49,33 @@ def _distance(lat: str, lon: str) -> str:
 
 HERE = _distance(f"CAST({LAT} AS DOUBLE)", f"CAST({LON} AS DOUBLE)")
 
+# The difference in longitude on the auxiliary sphere, round by round.
+SPHEROID = f"""
+spots AS (
+  SELECT *, 1 / 298.257223563::DOUBLE AS f, 6378137::DOUBLE * (1 - 1 / 298.257223563::DOUBLE) AS b,
+         atan((1 - 1 / 298.257223563::DOUBLE) * tan(radians(CAST({LAT} AS DOUBLE)))) AS u1,
+         atan((1 - 1 / 298.257223563::DOUBLE) * tan(radians(latitude))) AS u2,
+         radians(longitude - CAST({LON} AS DOUBLE)) AS l0
+  FROM meters WHERE {HERE} <= {METRES} * 1.01),
+r0 AS (SELECT post_id, f, b, u1, u2, l0, l0 AS l FROM spots)"""
+for _n in range(1, 13):
+    SPHEROID += f""",
+a{_n} AS (
+  SELECT *, sqrt(power(cos(u2) * sin(l), 2)
+                 + power(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(l), 2)) AS sn,
+         sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(l) AS cs FROM r{_n - 1}),
+b{_n} AS (
+  SELECT *, atan2(sn, cs) AS sg, CASE WHEN sn = 0 THEN 0 ELSE cos(u1) * cos(u2) * sin(l) / sn END
+         AS t FROM a{_n}),
+c{_n} AS (
+  SELECT *, 1 - t * t AS q, CASE WHEN 1 - t * t < 1e-15 THEN 0
+         ELSE cs - 2 * sin(u1) * sin(u2) / (1 - t * t) END AS m FROM b{_n}),
+d{_n} AS (SELECT *, f / 16 * q * (4 + f * (4 - 3 * q)) AS c FROM c{_n}),
+r{_n} AS (
+  SELECT post_id, f, b, u1, u2, l0, sn AS sn0, cs AS cs0, sg AS sg0, q AS q0, m AS m0,
+         l0 + (1 - c) * f * t * (sg + c * sn * (m + c * cs * (2 * m * m - 1))) AS l
+  FROM d{_n})"""
+
 NEAR = (
     METERS
     + f""",
@@ -242,6 +269,16 @@ SELECT day_of_week, count(DISTINCT event_date) AS n_days
 FROM sessions WHERE event_date IS NOT NULL GROUP BY day_of_week""",
         "meters_within": f"""WITH {NEAR}
 SELECT post_id, round(metres, 3) AS metres FROM near""",
+        "meters_within_spheroid": f"""WITH {METERS},{SPHEROID},
+u AS (SELECT *, q0 * (6378137::DOUBLE ** 2 - b ** 2) / b ** 2 AS k FROM r12),
+ab AS (
+  SELECT *, 1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k))) AS big_a,
+         k / 1024 * (256 + k * (-128 + k * (74 - 47 * k))) AS big_b FROM u),
+measured AS (
+  SELECT post_id, b * big_a * (sg0 - big_b * sn0 * (m0 + big_b / 4 * (cs0 * (2 * m0 * m0 - 1)
+           - big_b / 6 * m0 * (4 * sn0 * sn0 - 3) * (4 * m0 * m0 - 3)))) AS metres
+  FROM ab)
+SELECT post_id, round(metres, 3) AS metres FROM measured WHERE metres <= {METRES}""",
         "meter_count_within": f"""WITH {NEAR}
 SELECT count(latitude) AS n_meters FROM near""",
         "load_sessions": _enriched(_quarter("start_time"), _quarter("end_time"), ""),

@@ -172,3 +172,65 @@ def test_crowded_cells_are_dealt_and_lose_nothing(spark, never_broadcast):
     )
     pairs = cb.distance_join(points, meters, cell_rows=50)
     assert pairs.count() == pairs.select("p", "m").distinct().count() == 400 * 300
+
+
+def vincenty(lat1, lon1, lat2, lon2):
+    """The inverse geodesic, iterated until it stands still."""
+    a, f = 6_378_137.0, 1 / 298.257223563
+    b = a * (1 - f)
+    u1, u2 = (math.atan((1 - f) * math.tan(math.radians(x))) for x in (lat1, lat2))
+    apart = lam = math.radians(lon2 - lon1)
+    for _ in range(200):
+        s = math.hypot(
+            math.cos(u2) * math.sin(lam),
+            math.cos(u1) * math.sin(u2) - math.sin(u1) * math.cos(u2) * math.cos(lam),
+        )
+        if s == 0:
+            return 0.0
+        c = math.sin(u1) * math.sin(u2) + math.cos(u1) * math.cos(u2) * math.cos(lam)
+        sigma = math.atan2(s, c)
+        alpha = math.cos(u1) * math.cos(u2) * math.sin(lam) / s
+        q = 1 - alpha**2
+        m = c - 2 * math.sin(u1) * math.sin(u2) / q if q > 1e-15 else 0.0
+        k = f / 16 * q * (4 + f * (4 - 3 * q))
+        before, lam = lam, apart + (1 - k) * f * alpha * (
+            sigma + k * s * (m + k * c * (2 * m * m - 1))
+        )
+        if abs(lam - before) < 1e-14:
+            break
+    u = q * (a * a - b * b) / (b * b)
+    big_a = 1 + u / 16384 * (4096 + u * (-768 + u * (320 - 175 * u)))
+    big_b = u / 1024 * (256 + u * (-128 + u * (74 - 47 * u)))
+    less = big_b * s * (m + big_b / 4 * (c * (2 * m * m - 1)
+                        - big_b / 6 * m * (4 * s * s - 3) * (4 * m * m - 3)))
+    return b * big_a * (sigma - less)
+
+
+def test_distance_on_the_spheroid(spark):
+    from curbside.functions import geodesic_m, haversine_m
+
+    # A degree of the equator.
+    assert math.isclose(vincenty(0, 0, 0, 1), 111_319.4908, abs_tol=1e-3)
+    rng = random.Random(6)
+    pairs = [(rng.uniform(-90, 90), rng.uniform(-180, 180), rng.uniform(-80, 80),
+              rng.uniform(-180, 180)) for _ in range(300)]
+    pairs = [p for p in pairs if metres(*p) < 18_000_000]
+    pairs += [(37.7, -122.4, 37.7 + rng.uniform(-0.1, 0.1), -122.4 + rng.uniform(-0.1, 0.1))
+              for _ in range(100)]
+    pairs += [(1.0, 1.0, 1.0, 1.0), (0.0, 0.0, 0.0, 1.0), (0.0, 179.9, 0.0, -179.9),
+              (90.0, 0.0, 89.0, 50.0), (-90.0, 0.0, 0.0, 0.0)]
+    df = spark.createDataFrame(pairs, "a double, b double, c double, d double")
+    for r in df.select("*", geodesic_m("a", "b", "c", "d").alias("m"),
+                       haversine_m("a", "b", "c", "d").alias("s")).collect():
+        assert abs(r.m - vincenty(r.a, r.b, r.c, r.d)) < 1e-3
+        assert r.s <= r.m * 1.006 + 1
+
+
+def test_circle_on_the_spheroid(spark):
+    rng = random.Random(7)
+    meters = [(str(i), *around(rng, 52.0, 179.999, 0.03)) for i in range(6000)]
+    df = spark.createDataFrame(meters, METERS)
+    got = cb.meters_within(df, 52.0, 179.999, 2000.0, spheroid=True).collect()
+    want = {i for i, a, b in meters if vincenty(52.0, 179.999, a, b) <= 2000.0}
+    assert {r.POST_ID for r in got} == want
+    assert want != {m[0] for m in near(meters, 52.0, 179.999, 2000.0)}
