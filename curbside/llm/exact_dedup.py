@@ -28,7 +28,7 @@ from pyspark.sql.types import (
 )
 
 from curbside.llm import golomb
-from curbside.llm.tables import SPACE_RUN, fresh, same, split_rows, stored
+from curbside.llm.tables import SPACE_RUN, fresh, maybe_among, same, split_rows, stored
 
 OWNER_HASHES = 1 << 20
 BLOCK_ROWS = 1 << 20
@@ -221,7 +221,10 @@ def exact_duplicates(
         "exchanged",
     )
     suspects = rows.where("suspect").select("id", "sha").distinct()
-    texts = _texts(docs, id_col, text_col)
+    # Texts of others stay where they are.
+    ids = suspects.select(F.xxhash64("id").alias("key"))
+    may = maybe_among(ids, F.xxhash64(F.col(id_col)))
+    texts = _texts(docs.where(may), id_col, text_col)
     # Copies are counted before they are shuffled, so that many copies of one
     # text arrive as one row of each task.
     compared = (
