@@ -317,11 +317,11 @@ def located_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def request_meters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = distance_join(_located(spark, sf_dir), given.meters(spark, sf_dir))
+    asked = _located(spark, sf_dir).select("request_id", "lat", "lon", "metres")
+    meters = given.meters(spark, sf_dir).select("POST_ID", "latitude", "longitude")
+    pairs = distance_join(asked, meters, decimals=3)
     return pairs.select(
-        "request_id",
-        F.col("POST_ID").alias("post_id"),
-        F.round("distance", 3).alias("metres"),
+        "request_id", F.col("POST_ID").alias("post_id"), F.col("distance").alias("metres")
     )
 
 

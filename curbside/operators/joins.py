@@ -13,6 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
     BinaryType,
     BooleanType,
     DataType,
@@ -28,6 +29,9 @@ from curbside.scratch import stored
 # Rows of one key that a single task may get.
 ROWS_PER_TASK = 1_000_000
 
+# Rows that a list of ``gathered`` has on average at most.
+LIST_ROWS = 256
+
 # Joins in which an unmatched lookup row cannot show, however often it is repeated.
 LOOKUP_JOINS = ("inner", "left", "left_semi", "left_anti")
 
@@ -47,25 +51,32 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(found[1]) * _UNITS[found[2].lower()]
 
 
-def _width(value: str, kind: DataType) -> str | None:
-    """SQL for the bytes of a value in a row; None where only the data could tell."""
+def _width(value: str, kind: DataType, lists: bool = False) -> str | None:
+    """SQL for the bytes of a value in a row; None where only the data could tell.
+
+    ``lists`` walks through arrays as well.
+    """
     if isinstance(kind, (StringType, BinaryType)):
         return f"coalesce(octet_length({value}), 0) + 16"
     if isinstance(kind, StructType):
-        return _row_width(kind, f"{value}.")
+        return _row_width(kind, f"{value}.", lists)
+    if lists and isinstance(kind, ArrayType):
+        each = _width("x", kind.elementType, lists)
+        added = f"aggregate({value}, 24L, (s, x) -> s + {each})"
+        return None if each is None else f"coalesce({added}, 24L)"
     if isinstance(kind, (NumericType, DatetimeType, BooleanType)):
         return "16" if isinstance(kind, DecimalType) else "8"
     return None
 
 
-def _row_width(row: StructType, prefix: str = "") -> str | None:
-    widths = [_width(f"{prefix}`{f.name}`", f.dataType) for f in row.fields]
+def _row_width(row: StructType, prefix: str = "", lists: bool = False) -> str | None:
+    widths = [_width(f"{prefix}`{f.name}`", f.dataType, lists) for f in row.fields]
     return None if None in widths else " + ".join(["16L", *widths])
 
 
-def bytes_of_rows(df: DataFrame) -> Column:
+def bytes_of_rows(df: DataFrame, lists: bool = False) -> Column:
     """Aggregate for the size of the rows as Spark holds them, NULL if unknown."""
-    width = _row_width(df.schema)
+    width = _row_width(df.schema, lists=lists)
     return F.expr("CAST(NULL AS BIGINT)" if width is None else f"coalesce(sum({width}), 0L)")
 
 
@@ -75,7 +86,7 @@ def fits_broadcast(spark: SparkSession, size: int | None) -> bool:
     return size is not None and 0 < limit and size <= limit
 
 
-def is_small(df: DataFrame) -> bool:
+def is_small(df: DataFrame, lists: bool = False) -> bool:
     """True when the measured size is within the session's broadcast limit.
 
     Runs one job over ``df``; used on dimension tables, never on session data.
@@ -83,7 +94,7 @@ def is_small(df: DataFrame) -> bool:
     spark = df.sparkSession
     if df.isStreaming or broadcast_limit(spark) <= 0:
         return False
-    return fits_broadcast(spark, df.agg(bytes_of_rows(df)).first()[0])
+    return fits_broadcast(spark, df.agg(bytes_of_rows(df, lists)).first()[0])
 
 
 def salt_of_row(df: DataFrame, salts: int) -> Column:
@@ -114,6 +125,31 @@ def crowded_keys(
     return counts.where(F.col("__rows") > rows_per_task).select(*keys, parts)
 
 
+def gathered(rows: DataFrame, keys: list[str], most: int = LIST_ROWS) -> DataFrame:
+    """The other columns as ``__rows``, a list of structs, for each key.
+
+    A key with more than ``most`` rows has several lines, each with its
+    ``__list`` number, so that no line grows with the input. ``inline`` gives
+    the rows back. Keys must not be NULL.
+    """
+    others = [f"`{c}`" for c in rows.columns if c not in keys]
+    crowded = stored(crowded_keys(rows, keys, most), "crowded")
+    number = F.lit(0)
+    if not crowded.isEmpty():
+        dealt = salt_of_row(rows, 1 << 30)
+        if is_small(crowded):
+            crowded = F.broadcast(crowded)
+        rows = rows.withColumn("__dealt", dealt).join(crowded, keys, "left")
+        number = F.col("__dealt") % F.coalesce(F.col(_PARTS), F.lit(1))
+    # A list of structs without a field is none.
+    row = F.struct(*(others or [F.lit(0).alias("__none")])).alias("__row")
+    return (
+        rows.select(*keys, number.alias("__list"), row)
+        .groupBy(*keys, "__list")
+        .agg(F.collect_list("__row").alias("__rows"))
+    )
+
+
 def _check_join(how: str) -> str:
     name = how.lower().replace("_", "").removesuffix("outer")
     name = {"leftsemi": "left_semi", "semi": "left_semi",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +21,8 @@ from curbside.functions.geo import (
 )
 from curbside.operators.joins import (
     bytes_of_rows,
-    crowded_keys,
     fits_broadcast,
+    gathered,
     is_small,
     lookup_join,
     salt_of_row,
@@ -29,8 +31,16 @@ from curbside.scratch import stored
 
 _CELL = ["__level", "__row", "__cell"]
 
+_PLACE = ["lat", "lon", "metres"]
+_SPOT = ["latitude", "longitude"]
+
 # Points, and meters, of one cell that a single task may get.
 CELL_ROWS = 10_000
+# Rows and pairs that a task of the shuffled join is to have, about, and the
+# number of tasks beyond which they get more.
+TASK_ROWS = 250_000
+TASK_PAIRS = 20_000_000
+MOST_TASKS = 20_000
 
 
 def within_distance(
@@ -66,7 +76,7 @@ def meters_within(
 def _survey(points: DataFrame) -> tuple[list[int], int]:
     """Cell levels of the radii, at most twenty small numbers, and the size."""
     levels = F.expr(f"bit_or(shiftleft(1, {LEVEL}))")
-    found = points.agg(levels, bytes_of_rows(points)).first()
+    found = points.agg(levels, bytes_of_rows(points, lists=True)).first()
     bits, size = found[0] or 1, found[1]
     return [k for k in range(bits.bit_length()) if bits >> k & 1], size
 
@@ -94,29 +104,49 @@ def _placed(meters: DataFrame, levels: list[int]) -> DataFrame:
 
 
 def _dealt(looking: DataFrame, placed: DataFrame, cell_rows: int) -> DataFrame:
-    """Points and meters of the same cell, with crowded cells cut into parts."""
-    own, other = ("__point_part", "__meter_part"), ("__meter_part", "__point_part")
-    sides = []
-    for df, (mine, theirs) in ((looking, own), (placed, other)):
-        crowded = crowded_keys(df, _CELL, cell_rows).withColumnRenamed("__parts", mine)
-        sides.append(crowded)
-    parts = stored(sides[0].join(sides[1], _CELL, "full"), "crowded")
+    """Points and meters of the same cell, with crowded cells cut into parts.
+
+    Tasks are as many as the pairs need that they have to make: the shuffled
+    rows are few beside those, so their bytes would not tell.
+    """
+    sides = ((looking, "__points"), (placed, "__meters"))
+    counts = [
+        df.groupBy(*_CELL).agg(F.sum(F.size(n)).alias(f"{n}_n")) for df, n in sides
+    ]
+    cells = stored(counts[0].join(counts[1], _CELL), "cells")
+    n_points, n_meters = F.col("__points_n"), F.col("__meters_n")
+    rows, pairs = cells.agg(
+        F.sum(n_points + n_meters), F.sum(n_points.cast("double") * n_meters)
+    ).first()
+    tasks = math.ceil((rows or 0) / TASK_ROWS + (pairs or 0) / TASK_PAIRS)
+    tasks = max(1, min(tasks, MOST_TASKS))
+    parts = cells.where((n_points > cell_rows) | (n_meters > cell_rows)).select(
+        *_CELL,
+        *[
+            F.ceil(F.col(f"{n}_n") / cell_rows).cast("int").alias(f"{n}_part")
+            for _, n in sides
+        ],
+    )
     if parts.isEmpty():
-        return looking.join(placed, _CELL)
-    # One line per cell_rows rows at most, but its size is checked all the same.
-    if is_small(parts):
-        parts = F.broadcast(parts)
-    dealt = []
-    for df, (mine, theirs) in ((looking, own), (placed, other)):
-        number = salt_of_row(df, 1 << 30)
-        df = df.withColumn("__dealt", number).join(parts, _CELL, "left")
-        every = F.sequence(F.lit(0), F.coalesce(theirs, F.lit(1)) - 1)
-        dealt.append(
-            df.withColumn(mine, F.col("__dealt") % F.coalesce(mine, F.lit(1)))
-            .withColumn(theirs, F.explode(every))
-            .drop("__dealt")
-        )
-    return dealt[0].join(dealt[1], [*_CELL, *own])
+        own, dealt = [], [df for df, _ in sides]
+    else:
+        # One line per cell_rows rows at most, but its size is checked all the same.
+        if is_small(parts):
+            parts = F.broadcast(parts)
+        own, dealt = [f"{n}_part" for _, n in sides], []
+        for (df, mine), theirs in zip(sides, reversed(own), strict=True):
+            number = salt_of_row(df.drop(mine), 1 << 30)
+            mine = f"{mine}_part"
+            df = df.withColumn("__dealt", number).join(parts, _CELL, "left")
+            every = F.sequence(F.lit(0), F.coalesce(theirs, F.lit(1)) - 1)
+            dealt.append(
+                df.withColumn(mine, F.col("__dealt") % F.coalesce(mine, F.lit(1)))
+                .withColumn(theirs, F.explode(every))
+                .drop("__dealt")
+            )
+    keys = [*_CELL, *own]
+    one, other = (df.drop("__list").repartition(tasks, *keys) for df in dealt)
+    return one.join(other, keys)
 
 
 def distance_join(
@@ -124,17 +154,22 @@ def distance_join(
     meters: DataFrame,
     metres: float | None = None,
     cell_rows: int = CELL_ROWS,
+    decimals: int | None = None,
 ) -> DataFrame:
     """All pairs of a point and a meter that are within a radius.
 
     ``points`` has ``lat``, ``lon`` and, unless ``metres`` gives one radius for
     all, a ``metres`` column. ``meters`` has ``latitude`` and ``longitude``.
-    The result has the columns of both and ``distance``.
+    The result has the columns of both and ``distance``, rounded to ``decimals``
+    after the comparison if that is given.
 
     The earth is cut into cells. A point looks into the few cells its circle
     touches, at the level that fits its own radius, so one very wide circle
     does not widen the cells of the others. Meters carry one cell per level in
     use. The join is an equi-join on the cell, with the exact distance on top.
+    Points of one place and radius travel as lists, and so do meters of one
+    position: a distance is worked out once for two lists, and pairs are only
+    made after it, in the order of the lists; they are never shuffled.
     A side that measures small is broadcast, after the rows of a crowd were
     spread over the tasks. Otherwise both sides are shuffled. Cells with more
     than ``cell_rows`` points or meters are counted first and dealt into as many
@@ -153,23 +188,35 @@ def distance_join(
         F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     )
     spark = points.sparkSession
-    levels, size = _survey(points)
-    placed = _placed(meters, levels)
-    if is_small(placed):
+    places = gathered(points, _PLACE).withColumnRenamed("__rows", "__points")
+    spots = gathered(meters, _SPOT).withColumnRenamed("__rows", "__meters")
+    places, spots = stored(places, "places"), stored(spots, "spots")
+    levels, size = _survey(places)
+    placed = _placed(spots, levels)
+    if is_small(placed, lists=True):
         # Points in a crowd find far more than others, and may lie side by side.
         if fits_broadcast(spark, size):
-            spread = points.repartition(spark.sparkContext.defaultParallelism)
+            spread = places.repartition(spark.sparkContext.defaultParallelism)
         else:
-            spread = points.hint("rebalance")
-        pairs = _looking(spread).join(F.broadcast(placed), _CELL)
-    elif is_small(_looking(points)):
-        pairs = placed.hint("rebalance").join(F.broadcast(_looking(points)), _CELL)
+            spread = places.hint("rebalance")
+        pairs = _looking(spread).drop("__list").join(
+            F.broadcast(placed.drop("__list")), _CELL
+        )
+    elif is_small(_looking(places), lists=True):
+        looking = F.broadcast(_looking(places).drop("__list"))
+        pairs = placed.drop("__list").hint("rebalance").join(looking, _CELL)
     else:
-        pairs = _dealt(_looking(points), placed, cell_rows)
+        pairs = _dealt(_looking(places), placed, cell_rows)
 
+    distance = F.col("distance")
+    shown = distance if decimals is None else F.round(distance, decimals)
     return (
         pairs.withColumn("distance", haversine_m("lat", "lon", "latitude", "longitude"))
-        .where(F.col("distance") <= F.col("metres"))
+        .where(distance <= F.col("metres"))
+        .select(*_PLACE, *_SPOT, shown.alias("distance"), "__points", "__meters")
+        .select("*", F.inline("__points"))
+        .drop("__points")
+        .select("*", F.inline("__meters"))
         .select(*points.columns, *meters.columns, "distance")
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import curbside as cb
 from curbside.functions.geo import BASE_CELL_M
+from curbside.operators import spatial
 
 POINTS = "request_id long, lat double, lon double, metres double"
 METERS = "POST_ID string, latitude double, longitude double"
@@ -174,6 +175,36 @@ def test_crowded_cells_are_dealt_and_lose_nothing(spark, never_broadcast):
     assert pairs.count() == pairs.select("p", "m").distinct().count() == 400 * 300
 
 
+def crowd(spark, n_points, n_meters):
+    points = spark.range(n_points).selectExpr("id p", "37.77D lat", "-122.41D lon", "100D metres")
+    meters = spark.range(n_meters).selectExpr("id m", "37.7701D latitude", "-122.41D longitude")
+    return points, meters
+
+
+def test_tasks_are_as_many_as_the_pairs_need(spark, never_broadcast, monkeypatch):
+    """The shuffled rows are few and would fit one task; the pairs are not."""
+    monkeypatch.setattr(spatial, "TASK_PAIRS", 2000, raising=False)
+    pairs = cb.distance_join(*crowd(spark, 400, 300), cell_rows=50)
+    assert pairs.rdd.getNumPartitions() >= 60
+    assert pairs.count() == pairs.select("p", "m").distinct().count() == 400 * 300
+
+
+@pytest.mark.parametrize("limit", WAYS)
+def test_rows_of_one_position_travel_as_lists(spark, conf, limit):
+    conf("spark.sql.autoBroadcastJoinThreshold", limit)
+    points, meters = crowd(spark, 600, 300)
+    pairs = cb.distance_join(points, meters, decimals=1)
+    assert pairs.columns == [*points.columns, *meters.columns, "distance"]
+    assert pairs.count() == pairs.select("p", "m").distinct().count() == 600 * 300
+    assert [r.distance for r in pairs.select("distance").distinct().collect()] == [11.1]
+    text = pairs._jdf.queryExecution().optimizedPlan().toString()
+    join = text[text.index("Join Inner"):]
+    assert "__points" in join and "__meters" in join
+    # Points and meters without other columns keep their number as well.
+    bare = cb.distance_join(points.drop("p"), meters.drop("m"))
+    assert bare.count() == 600 * 300
+
+
 def vincenty(lat1, lon1, lat2, lon2):
     """The inverse geodesic, iterated until it stands still."""
     a, f = 6_378_137.0, 1 / 298.257223563
