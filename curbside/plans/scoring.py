@@ -29,7 +29,7 @@ from curbside.operators.aggregates import (
 )
 from curbside.operators.cover import UNIT, cover
 from curbside.operators.filters import hour_bit
-from curbside.operators.joins import bytes_of_rows, fits_broadcast, is_small
+from curbside.operators.joins import bytes_of_rows, fits_broadcast, gathered, is_small
 from curbside.operators.spatial import distance_join
 from curbside.plans.occupancy import cents, label_days, mean_possibility
 from curbside.schemas import CLOSE_HOUR, OPEN_HOUR, WEEKDAYS
@@ -240,10 +240,20 @@ def _rated(pivot: DataFrame, n_days: Column | int) -> DataFrame:
     return pivot.select("POST_ID", *scores)
 
 
-def _in_range(asked: DataFrame, placed: DataFrame) -> DataFrame:
-    """Every request with each meter in its range; equal places are joined once."""
-    pairs = distance_join(asked.select(*_PLACE).distinct(), placed).drop("distance")
-    return asked.join(pairs, _PLACE).drop(*_PLACE)
+def _in_range(asked: DataFrame, meters: DataFrame) -> DataFrame:
+    """Requests that ask the same, as lists in ``__rows``, with each meter in range.
+
+    What is asked and what is known of a meter has to be in the two tables, as
+    pairs grow with the product of both and are never shuffled.
+    """
+    keys = [c for c in asked.columns if c != "request_id"]
+    lists = stored(gathered(asked, keys).drop("__list"), "asked-lists")
+    return distance_join(lists, meters).drop("distance")
+
+
+def _each_request(answers: DataFrame, *columns: str) -> DataFrame:
+    """Each request of the lists with the answer."""
+    return answers.select(F.inline("__rows"), *columns)
 
 
 def score_meter_days(
@@ -259,31 +269,54 @@ def score_meter_days(
     request: days occupied in the hour out of the days observed on the weekday,
     and the label. A request with no position, no such weekday or an hour
     outside operation has no rows.
+
+    A meter has its days of all weekdays and hours in one array, of a fixed
+    size, in which a request looks up its own.
     """
     hours = range(open_hour, close_hour + 1)
     asked, placed = _asked(requests), _placed(meters)
     wanted = _wanted(sessions, asked)
-    answerable = F.col("Day_Of_Week").isin(*WEEKDAYS) & F.col("hour").between(
-        open_hour, close_hour
+    answerable = (
+        F.col("lat").isNotNull()
+        & F.col("lon").isNotNull()
+        & F.col("metres").isNotNull()
+        & F.col("Day_Of_Week").isin(*WEEKDAYS)
+        & F.col("hour").between(open_hour, close_hour)
     )
+    of_weekday = F.array(*[F.sum(hour_bit("hours", h)).cast("int") for h in hours])
     days = (
         occupied_hours_per_date(wanted, open_hour, close_hour)
         .groupBy("POST_ID", "Day_Of_Week")
-        .agg(*[F.sum(hour_bit("hours", h)).alias(f"d{h}") for h in hours])
+        .agg(of_weekday.alias("days"))
+    )
+    # At most seven weekdays a meter.
+    by_weekday = F.map_from_entries(F.collect_list(F.struct("Day_Of_Week", "days")))
+    none = F.array_repeat(F.lit(0), len(hours))
+    every = [F.coalesce(F.col("days")[day], none) for day in WEEKDAYS]
+    days = (
+        days.groupBy("POST_ID")
+        .agg(by_weekday.alias("days"))
+        .select("POST_ID", F.flatten(F.array(*every)).alias("days"))
     )
     # One line per weekday, at most seven and one for none.
     total = observed_days(wanted).withColumnRenamed("n_days", "observed")
-    joined = (
-        _in_range(asked.where(answerable), placed)
-        .join(days, ["POST_ID", "Day_Of_Week"], "left")
+    weekday = F.array_position(F.array(*map(F.lit, WEEKDAYS)), F.col("Day_Of_Week"))
+    asking = (
+        asked.where(answerable)
         .join(F.broadcast(total), "Day_Of_Week", "left")
+        .select(
+            "request_id",
+            *_PLACE,
+            ((weekday - 1) * len(hours) + F.col("hour") - open_hour).cast("int").alias("at"),
+            F.coalesce("observed", F.lit(0)).alias("observed"),
+        )
     )
-    n_days = _of_hour("d", hours)
-    counted = joined.withColumn("n_days", F.when(n_days > 0, n_days))
-    labelled = label_days(counted, F.coalesce(F.col("observed"), F.lit(0)))
-    return labelled.select(
-        "request_id", "POST_ID", *_SPOT, "n_days", "total_days", "label"
-    )
+    placed = stored(placed.join(days, "POST_ID", "left"), "meter-days")
+    pairs = _in_range(asking, placed)
+    n_days = F.get("days", F.col("at")).cast("long")
+    counted = pairs.withColumn("n_days", F.when(n_days > 0, n_days))
+    labelled = label_days(counted, F.col("observed"))
+    return _each_request(labelled, "POST_ID", *_SPOT, "n_days", "total_days", "label")
 
 
 def score_meter_possibility(
@@ -294,7 +327,9 @@ def score_meter_possibility(
     One row per request and meter, as ``meter_possibility`` gives for one request.
     """
     asked, placed = _asked(requests), _placed(meters)
-    chances = _in_range(asked, placed).join(_rated(pivot, n_days), "POST_ID")
+    pairs = distance_join(asked.select(*_PLACE).distinct(), placed).drop("distance")
+    pairs = asked.join(pairs, _PLACE).drop(*_PLACE)
+    chances = pairs.join(_rated(pivot, n_days), "POST_ID")
     return chances.select(
         "request_id",
         "POST_ID",

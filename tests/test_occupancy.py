@@ -256,6 +256,37 @@ def test_batch_rows_equal_the_answers_for_one_request(spark):
     assert rows(chances.select(*single.columns)) == rows(single) != []
 
 
+def test_pairs_of_requests_and_meters_are_not_shuffled(spark, never_broadcast):
+    """They grow with the product of both tables; what comes before grows with their sum."""
+    sessions, meters = fixtures.typed_sessions(spark, SMALL), fixtures.meters(spark, SMALL)
+    asked = cb.locate(fixtures.requests(spark, SMALL), fixtures.gazetteer(spark, SMALL))
+    for scored in (
+        cb.score_meter_days(asked, sessions, meters),
+    ):
+        lines = scored._jdf.queryExecution().executedPlan().toString().splitlines()
+        above = next(i for i, line in enumerate(lines) if "Join" in line)
+        assert "__cell" in lines[above]
+        assert not any("Exchange" in line for line in lines[:above])
+
+
+def test_equal_requests_get_equal_rows(spark):
+    sessions, meters = fixtures.typed_sessions(spark, SMALL), fixtures.meters(spark, SMALL)
+    place = (37.779, -122.41, 900.0, "Mon", "11:00")
+    odd = [(None, -122.41, 900.0, "Mon", "11:00"), (37.779, -122.41, None, "Mon", "11:00"),
+           (37.779, -122.41, 900.0, None, "11:00"), (37.779, -122.41, 900.0, "Mon", "23:00")]
+    names = "request_id int, lat double, lon double, metres double, day string, time string"
+    many = [(i, *place) for i in range(300)] + [(None, *place), (7, *place)]
+    many = spark.createDataFrame(many + [(900 + i, *row) for i, row in enumerate(odd)], names)
+    one = spark.createDataFrame([(1, *place)], names)
+    for rows, single in (
+        (cb.score_meter_days(many, sessions, meters), cb.score_meter_days(one, sessions, meters)),
+    ):
+        n = single.count()
+        per_request = {r.request_id: r["count"] for r in rows.groupBy("request_id").count().collect()}
+        assert n > 0 and per_request == dict.fromkeys([None, *range(300)], n) | {7: 2 * n}
+        assert rows.drop("request_id").distinct().count() == n
+
+
 DATED = "POST_ID string, Day_Of_Week string, EventDate string, StartTime string, EndTime string, start_hour int, end_hour int"
 
 
