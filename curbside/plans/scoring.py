@@ -326,16 +326,15 @@ def score_meter_possibility(
 
     One row per request and meter, as ``meter_possibility`` gives for one request.
     """
+    hours = pivot_hours(pivot)
     asked, placed = _asked(requests), _placed(meters)
-    pairs = distance_join(asked.select(*_PLACE).distinct(), placed).drop("distance")
-    pairs = asked.join(pairs, _PLACE).drop(*_PLACE)
-    chances = pairs.join(_rated(pivot, n_days), "POST_ID")
-    return chances.select(
-        "request_id",
-        "POST_ID",
-        *_SPOT,
-        _of_hour("p", pivot_hours(pivot)).alias("possibility"),
-    ).where(F.col("possibility") > 0)
+    answerable = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    answerable &= F.col("metres").isNotNull() & F.col("hour").isin(*hours)
+    asking = asked.where(answerable).select("request_id", *_PLACE, "hour")
+    rated = stored(placed.join(_rated(pivot, n_days), "POST_ID"), "rated-meters")
+    chances = _in_range(asking, rated).withColumn("possibility", _of_hour("p", hours))
+    chances = chances.where(F.col("possibility") > 0)
+    return _each_request(chances, "POST_ID", *_SPOT, "possibility")
 
 
 def _of_hour(name: str, hours: Iterable[int]) -> Column:

@@ -260,8 +260,10 @@ def test_pairs_of_requests_and_meters_are_not_shuffled(spark, never_broadcast):
     """They grow with the product of both tables; what comes before grows with their sum."""
     sessions, meters = fixtures.typed_sessions(spark, SMALL), fixtures.meters(spark, SMALL)
     asked = cb.locate(fixtures.requests(spark, SMALL), fixtures.gazetteer(spark, SMALL))
+    pivot = cb.hour_pivot(sessions)
     for scored in (
         cb.score_meter_days(asked, sessions, meters),
+        cb.score_meter_possibility(asked, pivot, meters, 19),
     ):
         lines = scored._jdf.queryExecution().executedPlan().toString().splitlines()
         above = next(i for i, line in enumerate(lines) if "Join" in line)
@@ -271,6 +273,7 @@ def test_pairs_of_requests_and_meters_are_not_shuffled(spark, never_broadcast):
 
 def test_equal_requests_get_equal_rows(spark):
     sessions, meters = fixtures.typed_sessions(spark, SMALL), fixtures.meters(spark, SMALL)
+    pivot = cb.hour_pivot(sessions)
     place = (37.779, -122.41, 900.0, "Mon", "11:00")
     odd = [(None, -122.41, 900.0, "Mon", "11:00"), (37.779, -122.41, None, "Mon", "11:00"),
            (37.779, -122.41, 900.0, None, "11:00"), (37.779, -122.41, 900.0, "Mon", "23:00")]
@@ -280,6 +283,8 @@ def test_equal_requests_get_equal_rows(spark):
     one = spark.createDataFrame([(1, *place)], names)
     for rows, single in (
         (cb.score_meter_days(many, sessions, meters), cb.score_meter_days(one, sessions, meters)),
+        (cb.score_meter_possibility(many.where("day = 'Mon'"), pivot, meters, 19),
+         cb.score_meter_possibility(one, pivot, meters, 19)),
     ):
         n = single.count()
         per_request = {r.request_id: r["count"] for r in rows.groupBy("request_id").count().collect()}
