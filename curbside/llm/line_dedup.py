@@ -2,9 +2,9 @@
 
 A line is the set of its words, its tokens. Tokens are ordered by rarity; two
 sets can only reach the similarity if their prefixes, the rarest few tokens,
-have one in common. Length and position of that token and a bit for each word
-leave few pairs, and only for these the words themselves are fetched and the
-Jaccard similarity is computed.
+have one in common. Length and position of that token, and parities of the words
+by hash, leave few pairs. Only for these the lines themselves are fetched and the
+Jaccard similarity of their words is computed.
 
 All of it are DataFrame operations. What every task gets are arrays of fixed
 size: how frequent tokens are, by hash, how crowded prefix tokens are, and which
@@ -24,26 +24,50 @@ WORD_SLOTS = 1 << 18
 SLOTS = 1 << 16
 # Sets of one prefix token that a task compares with each other.
 CROWD = 2048
+# Sets of more words have 128 parities, as 64 tell them apart badly.
+MANY_WORDS = 40
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def line_words(line: Column) -> Column:
-    """Different words of a line of :func:`_lines`."""
-    return F.array_distinct(F.array_remove(F.split(line, " "), ""))
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """:func:`stored`, with the shuffle files of the job gone when it has ended."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        return stored(df, name)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Lower-case lines whose words are apart by blanks alone."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    low = F.lower(text)
+def _words(line: Column) -> Column:
+    """Words of a line of :func:`_lines`, in order."""
+    return F.array_remove(F.split(line, " "), "")
+
+
+def _plain(line: Column) -> Column:
+    """The words with one blank between them; most lines are written so."""
+    spaced = line.contains("  ") | line.startswith(" ") | line.endswith(" ")
+    return F.when(spaced, F.array_join(_words(line), " ")).otherwise(line)
+
+
+def _low(text_col: str) -> Column:
+    """Lower-case texts whose words are apart by blanks and line ends alone."""
+    low = F.lower(F.coalesce(F.col(text_col), F.lit("")))
     # Few texts have other white space, and to replace it costs more than to look.
-    plain = F.when(
+    return F.when(
         F.rlike(low, F.lit(r"[\t\x0B\f\r]")), F.translate(low, "\t\x0b\x0c\r", "    ")
     ).otherwise(low)
+
+
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Lower-case lines whose words are apart by blanks alone."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).alias("id"),
         F.xxhash64(text).alias("sign"),
-        F.posexplode(F.split(plain, "\n")).alias("line_no", "line"),
+        F.posexplode(F.split(_low(text_col), "\n")).alias("line_no", "line"),
     )
 
 
@@ -61,16 +85,17 @@ def _word_slot(word: Column) -> Column:
     return F.hash(word).bitwiseAND(WORD_SLOTS - 1)
 
 
-def _classes(lines: DataFrame) -> bytes:
+def _classes(docs: DataFrame, text_col: str) -> bytes:
     """How frequent the words of each slot are: one byte for each slot.
 
     Classes are half a doubling wide. A lambda cannot hold a subquery, so the
     driver fetches the bytes, a fixed number of them.
     """
-    words = lines.select(F.explode(F.split("line", " ")).alias("w")).where("w <> ''")
+    text = F.replace(_low(text_col), F.lit("\n"), F.lit(" "))
+    words = docs.select(F.explode(F.split(text, " ")).alias("w")).where("w <> ''")
     counts = words.groupBy(_word_slot(F.col("w")).cast("long").alias("slot")).agg(F.count(F.lit(1)).alias("n"))
     value = F.floor(2 * F.log2(F.col("n") + 1)).cast("long").alias("value")
-    counts = stored(counts.select("slot", value), "word-classes")
+    counts = _kept(counts.select("slot", value), "word-classes")
     found = counts.sparkSession.range(1)
     return bytes(found.select(_array_of(counts, WORD_SLOTS).alias("a")).first()[0])
 
@@ -90,46 +115,53 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, jaccard: float):
     Lines are the same if their words are, in order. The key is a SHA-256 of them.
     """
     lines = _lines(docs, id_col, text_col)
-    classes = F.lit(_classes(lines))
+    classes = F.lit(_classes(docs, text_col))
 
     def key(word):
-        # Class first, then the word: one order of tokens for all sets.
-        frequent = F.substring(classes, _word_slot(word) + 1, F.lit(1))
-        return F.concat(frequent, word.cast("binary"))
+        # Class first, then the word: one order of tokens for all sets. Classes are below
+        # 128, so that the byte is a letter; numbers are sorted faster than bytes.
+        frequent = F.ascii(F.substring(classes, _word_slot(word) + 1, F.lit(1)).cast("string"))
+        return F.shiftleft(frequent.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 8))
 
-    def with_bit(bits, word):
+    def parities(keys, one):
         # A shift takes the last six bits of the hash.
-        return bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.hash(word)))
-
-    words = F.array_remove(F.split("line", " "), "")
-    rows = lines.select(
-        "row", "id", "sign", "line_no", words.alias("words"),
-        F.array_distinct(words).alias("tokens"),
-    ).where(F.size("tokens") > 0)
-    n = F.size("tokens")
-    rarest = F.slice(F.array_sort(F.transform("tokens", key)), 1, _prefix(n, jaccard))
-    rows = stored(
+        def turned(bits, k):
+            return bits.bitwiseXOR(F.call_function("shiftleft", one(F.hash(k)).cast("long"), F.hash(k)))
+
+        return F.aggregate(keys, F.lit(0).cast("long"), turned)
+
+    # Parities of all words, and of those with the seventh bit: together 128.
+    every = parities("keys", lambda h: F.lit(1))
+    half = parities("keys", lambda h: F.shiftright(h, 6).bitwiseAND(1))
+    line = F.col("line")
+    rows = lines.where(F.trim(line) != "")
+    # A set may have a key twice, if two of its words have one.
+    keys = F.transform(F.array_distinct(_words(line)), key)
+    rows = rows.withColumn("keys", F.sort_array(keys))
+    n = F.size("keys")
+    rows = _kept(
         rows.select(
             "row", "id", "sign", "line_no", n.alias("n"),
-            F.unhex(F.sha2(F.array_join("words", " "), 256)).alias("key"),
-            F.transform(rarest, lambda k: F.hash(k)).alias("prefix"),
-            F.aggregate("tokens", F.lit(0).cast("long"), with_bit).alias("bits"),
+            F.unhex(F.sha2(_plain(line), 256)).alias("key"),
+            F.transform(F.slice("keys", 1, _prefix(n, jaccard)), lambda k: F.hash(k)).alias("prefix"),
+            every.alias("bits"),
+            F.when(n > MANY_WORDS, half).otherwise(0).alias("more"),
         ),
         "lines",
     )
     order = F.struct(F.col("id").isNull().alias("none"), "id", "sign", "line_no", "row")
-    sets = stored(
-        rows.select("key", order.alias("order"), "n", "prefix", "bits")
+    sets = _kept(
+        rows.select("key", order.alias("order"), "n", "prefix", "bits", "more")
         .groupBy("key")
         .agg(
             F.min("order").alias("first"),
             F.count(F.lit(1)).alias("lines"),
-            *[F.first(c).alias(c) for c in ("n", "prefix", "bits")],
+            *[F.first(c).alias(c) for c in ("n", "prefix", "bits", "more")],
         )
         .withColumn("set", F.monotonically_increasing_id()),
         "line-sets",
     )
-    return rows.drop("prefix", "bits", "n"), sets
+    return rows.drop("prefix", "bits", "more", "n"), sets
 
 
 def _among(keys: DataFrame, key: Column) -> Column:
@@ -138,7 +170,7 @@ def _among(keys: DataFrame, key: Column) -> Column:
     bits = bits.groupBy(F.shiftright("bit", 6).alias("slot")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("value")
     )
-    array = _array_of(stored(bits, "wanted-bits"))
+    array = _array_of(_kept(bits, "wanted-bits"))
     bit = F.pmod(key, F.lit(64 * SLOTS))
     word = F.element_at(array, (F.shiftright(bit, 6) + 1).cast("int"))
     return F.getbit(word, bit.bitwiseAND(63).cast("int")) == 1
@@ -152,7 +184,7 @@ def _met(left: DataFrame, right: DataFrame, *on: str) -> DataFrame:
     met = left.alias("a").join(right.alias("b"), list(on))
     return met.where("a.set < b.set").selectExpr(
         "a.set AS x", "b.set AS y",
-        *[f"{t}.{c} AS {c}_{s}" for t, s in zip("ab", "xy") for c in ("bits", "packed")],
+        *[f"{t}.{c} AS {c}_{s}" for t, s in zip("ab", "xy") for c in ("bits", "more", "packed")],
     )
 
 
@@ -160,19 +192,19 @@ def _candidates(sets: DataFrame, jaccard: float, crowd: int) -> DataFrame:
     """Pairs ``(x, y)`` of sets with a common prefix token that may be similar.
 
     The rarest common token of similar sets has as many tokens behind it, on
-    both sides, as the sets must have in common; and a set's bit that the other
-    lacks is a word that it lacks. Where prefix tokens are crowded the sets of
+    both sides, as the sets must have in common; and a bit in which parities differ
+    is a word that one of the sets lacks. Where prefix tokens are crowded the sets of
     a token are dealt into parts, and each part meets each.
     """
     rows = sets.select(
-        "set", F.col("n").cast("long").alias("n"), "bits", F.posexplode("prefix").alias("pos", "token")
+        "set", F.col("n").cast("long").alias("n"), "bits", "more", F.posexplode("prefix").alias("pos", "token")
     ).select(
-        "token", "set", "bits",
+        "token", "set", "bits", "more",
         # Size and position travel as one number.
         (F.shiftleft("n", 32) + F.col("pos")).alias("packed"),
     )
     slot = F.pmod(F.col("token").cast("long"), F.lit(SLOTS))
-    counts = stored(
+    counts = _kept(
         sets.select(F.explode("prefix").alias("token"))
         .groupBy(slot.alias("slot"))
         .agg(F.count(F.lit(1)).alias("value")),
@@ -189,7 +221,7 @@ def _candidates(sets: DataFrame, jaccard: float, crowd: int) -> DataFrame:
     crowded = rows.where("parts > 1")
     part = F.pmod(F.xxhash64("set"), "parts")
     others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
-    columns = ("token", "set", "bits", "packed")
+    columns = ("token", "set", "bits", "more", "packed")
     both = _met(usual, usual, "token").unionByName(
         _met(
             crowded.select(*columns, part.alias("px"), others.alias("py")),
@@ -200,10 +232,13 @@ def _candidates(sets: DataFrame, jaccard: float, crowd: int) -> DataFrame:
     n_x, n_y = (F.shiftright(f"packed_{side}", 32) for side in "xy")
     at_x, at_y = (F.col(f"packed_{side}").bitwiseAND(0xFFFFFFFF) for side in "xy")
     overlap = _least_overlap(n_x, n_y, jaccard)
-    apart = F.bit_count(F.col("bits_x").bitwiseXOR(F.col("bits_y")))
+    bits, more = (F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y")) for c in ("bits", "more"))
+    apart = F.when(
+        F.least(n_x, n_y) > MANY_WORDS, F.bit_count(bits.bitwiseXOR(more)) + F.bit_count(more)
+    ).otherwise(F.bit_count(bits))
     return (
-        both.where(F.least(n_x - at_x, n_y - at_y) >= overlap)
-        .where(n_x + n_y - apart >= 2 * overlap)
+        both.where(n_x + n_y - apart >= 2 * overlap)
+        .where(F.least(n_x - at_x, n_y - at_y) >= overlap)
         .select("x", "y")
         .distinct()
     )
@@ -211,10 +246,10 @@ def _candidates(sets: DataFrame, jaccard: float, crowd: int) -> DataFrame:
 
 def _verified(pairs, sets, docs, id_col, text_col, jaccard):
     """Of pairs of sets those that are similar, from both sides: ``(set, other)``."""
-    pairs = stored(pairs, "line-pairs")
-    both = pairs.select(F.explode(F.array("x", "y")).alias("set")).distinct()
-    wanted = stored(
-        both.join(sets, "set").select("set", "first.id", "first.sign", "first.line_no"),
+    pairs = _kept(pairs, "line-pairs")
+    both = pairs.select(F.col("x").alias("set")).union(pairs.select("y")).distinct()
+    wanted = _kept(
+        both.join(sets, "set").select("set", "n", "first.id", "first.sign", "first.line_no"),
         "wanted",
     )
     # Texts and lines that are not wanted stay where they are.
@@ -223,19 +258,20 @@ def _verified(pairs, sets, docs, id_col, text_col, jaccard):
     at = F.xxhash64("sign", "line_no")
     lines = _lines(texts, id_col, text_col).drop("row")
     lines = lines.where(_among(wanted.select(at.alias("key")), at))
+    # A line takes fewer bytes than its words as an array.
     found = (
         lines.join(wanted, same(lines, wanted, "id", "sign", "line_no"))
-        .select(wanted["set"], line_words(F.col("line")).alias("words"))
+        .select(wanted["set"], "n", "line")
         .dropDuplicates(["set"])
     )
-    found = stored(found, "wanted-words")
-    joined = (
-        pairs.join(found.select(F.col("set").alias("x"), F.col("words").alias("wx")), "x")
-        .join(found.select(F.col("set").alias("y"), F.col("words").alias("wy")), "y")
-    )
-    common = F.size(F.array_intersect("wx", "wy"))
-    union = F.size("wx") + F.size("wy") - common
-    similar = joined.where(common >= jaccard * union - 1e-9)
+    found = _kept(found, "wanted-lines")
+    for side in "xy":
+        named = found.select(*[F.col(c).alias(f"{c}_{side}") for c in found.columns])
+        pairs = pairs.join(named, F.col(side) == F.col(f"set_{side}"))
+    # What both have counts once, as the result is a set, and is named once, as a
+    # condition that names it twice works it out twice.
+    common = F.size(F.array_intersect(_words(F.col("line_x")), _words(F.col("line_y"))))
+    similar = pairs.where((1 + jaccard) * common >= jaccard * (F.col("n_x") + F.col("n_y")) - 1e-9)
     sides = F.array(
         F.struct(F.col("x").alias("set"), F.col("y").alias("other")),
         F.struct(F.col("y").alias("set"), F.col("x").alias("other")),
@@ -270,10 +306,11 @@ def match_lines(
     pairs = _candidates(sets, jaccard, crowd)
     similar = _verified(pairs, sets, docs, id_col, text_col, jaccard)
     firsts = sets.select(F.col("set").alias("other"), F.col("first").alias("earlier"))
-    linked = (
+    linked = _kept(
         similar.join(firsts, "other")
         .groupBy("set")
-        .agg(F.min("earlier").alias("earlier"), F.count(F.lit(1)).alias("n_links"))
+        .agg(F.min("earlier").alias("earlier"), F.count(F.lit(1)).alias("n_links")),
+        "links",
     )
     decided = sets.select("key", "set", "first", "lines").join(linked, "set", "left")
     joined = rows.join(decided.drop("set"), "key")

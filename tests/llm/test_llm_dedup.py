@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -242,6 +243,47 @@ def test_repeated_lines_of_odd_rows(spark):
     check_lines(rows, line_dedup.repeated_lines(table(spark, rows, True)).collect())
 
 
+def test_long_lines_that_differ_are_no_candidates(spark):
+    """Lines of 100 of 400 words share rare words, and only near copies are compared."""
+    rng, rows = random.Random(10), []
+    for i in range(120):
+        words = rng.sample([f"v{k}" for k in range(400)], 100)
+        rows.append((2 * i, " ".join(words), None, None, 0))
+        if i % 10 == 0:
+            rows.append((2 * i + 1, " ".join(["other", *words[1:]]), None, None, 0))
+    docs = table(spark, rows)
+    _, sets = line_dedup._sets(docs, "doc_id", "text", 0.8)
+    assert line_dedup._candidates(sets, 0.8, line_dedup.CROWD).count() < 24
+    want = check_lines(rows, line_dedup.repeated_lines(docs).collect())
+    assert sum(w[6] for w in want) == 24
+
+
+def test_lines_about_the_size_of_more_parities(spark):
+    rng, rows = random.Random(11), []
+    for i in range(60):
+        size = line_dedup.MANY_WORDS - 3 + i % 7
+        words = [f"p{i // 6}q{k}" for k in range(size)]
+        for _ in range(rng.randrange(6)):
+            words[rng.randrange(size)] = f"r{rng.randrange(50)}"
+        rows.append((i, "  " * (i % 2) + " ".join(words), None, None, 0))
+    want = check_lines(rows, line_dedup.repeated_lines(table(spark, rows)).collect())
+    assert sum(w[6] > 0 for w in want) > 30
+
+
+def test_shuffle_files_go_with_their_job(spark):
+    def files():
+        folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {p for d in folders.localDirsString() for p in Path(d).rglob("shuffle_*")}
+
+    before, was = files(), spark.conf.get(line_dedup.CLEANUP)
+    _, sets = line_dedup._sets(table(spark, corpus(4)), "doc_id", "text", 0.8)
+    own = {p for p in files() - before if p.suffix == ".data"}
+    # What the one array of word classes takes is all that is left.
+    assert len({p.name.split("_")[1] for p in own}) <= 2
+    assert spark.conf.get(line_dedup.CLEANUP) == was
+    assert sets.count() > 0
+
+
 def test_line_dedup_runs_no_python(spark):
     plan = line_dedup.repeated_lines(table(spark, corpus(4)))
     text = plan._jdf.queryExecution().executedPlan().toString()
