@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbside.llm.components import connected_components
-from curbside.llm.tables import fresh, same, split_rows, stored
+from curbside.llm.tables import fresh, same, shuffled, split_rows, stored
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -213,11 +213,13 @@ def fingerprint_links(
         .where("n > 1 and any_home")
         .select("anchor", "n")
     )
-    met = stored(placed.join(shared, "anchor"), "anchored")
+    # A fingerprint is at 32 anchors, so this is the largest table of the job.
+    met = stored(shuffled(placed).join(shuffled(shared), "anchor"), "anchored")
 
     few = met.where(F.col("n") <= pair_rows)
     home = few.where("home").select("anchor", F.col("fp").alias("a"))
-    pairs = home.join(few.select("anchor", F.col("fp").alias("b")), "anchor").where(
+    every_few = few.select("anchor", F.col("fp").alias("b"))
+    pairs = shuffled(home).join(shuffled(every_few), "anchor").where(
         (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
         & (F.col("a") != F.col("b"))
     )

@@ -44,6 +44,15 @@ def same(left: DataFrame, right: DataFrame, *columns: str):
     return condition
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """The rows as a side of a join that is never sent to the driver to be broadcast.
+
+    Spark takes rows that a function makes for as few as went into it, and a
+    table for as large as its compressed files, so it may find them small enough.
+    """
+    return df.hint("merge")
+
+
 def _bits(keys: DataFrame) -> Column:
     """An array of ``SLOTS`` numbers: the bits of the hashes in ``key``."""
     slots = keys.select(F.pmod("key", F.lit(64 * SLOTS)).alias("bit")).distinct()

@@ -143,6 +143,23 @@ def test_crowded_anchors_lose_no_link(spark):
         assert {frozenset(g) for g in groups.values()} == expected
 
 
+def test_anchors_are_never_broadcast(spark, conf, monkeypatch):
+    """Spark takes 32 anchors of a fingerprint for one row and finds them small."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    plans, stored = [], simhash_dedup.stored
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(simhash_dedup, "stored", noted)
+    links = simhash_dedup.fingerprint_links(spark.range(500).select(F.xxhash64("id").alias("fp")))
+    links.collect()
+    plans.append(links._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 2
+    assert all("SortMergeJoin" in p and "BroadcastExchange" not in p for p in plans)
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     found = connected_components(edges).collect()
