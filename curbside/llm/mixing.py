@@ -127,6 +127,9 @@ def fair_queue(
         F.col("o.source").eqNullSafe(F.col("l.source"))
         & (F.col("o.epoch") == F.col("l.epoch"))
         & (F.col("o.lot") == F.col("l.lot")),
+        # Every copy has its lot. A left join never broadcasts the copies, which
+        # Spark takes for few as they are made by an explode.
+        "left",
     )
     middle = 2 * (F.col("before") + F.col("words")) - F.col("size")
     timed = placed.select(
@@ -159,7 +162,8 @@ def fair_queue(
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     budget = share * sized.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    served = timed.withColumn("words", F.sum("size").over(queue)).join(slots, "slot")
+    served = timed.withColumn("words", F.sum("size").over(queue))
+    served = served.join(slots, "slot", "left")
     reached = 2 * (F.col("before") + F.col("words")) - F.col("size")
     return served.select(
         "row", F.col("id").alias(id_col), "source", "size", "source_size", "target",

@@ -291,6 +291,27 @@ def test_mix_meets_its_targets(spark, rows, range_rows):
     assert mixing.mix_sources(table(spark, [])).count() == 0
 
 
+def test_copies_on_offer_are_never_broadcast(spark, conf, monkeypatch):
+    """Spark takes the copies that an explode makes for few and finds them small."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    plans, stored = [], mixing.stored
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(mixing, "stored", noted)
+    docs = spark.range(300).selectExpr(
+        "id AS doc_id", "repeat('word ', 20) AS text", "string(id % 3) AS source"
+    )
+    queue = mixing.fair_queue(docs)
+    assert queue.count() == 600
+    plans.append(queue._jdf.queryExecution().executedPlan().toString())
+    joins = [line for p in plans for line in p.splitlines() if "HashJoin" in line and "epoch" in line]
+    joins += [line for line in plans[-1].splitlines() if "HashJoin" in line]
+    assert not any("BuildLeft" in line for line in joins)
+
+
 def test_source_is_cut_where_its_target_is(spark):
     rows = [(i, sentence(random.Random(i), 10), f"x{i % 2}", f"x{i % 2}", 0) for i in range(400)]
     found = mixing.mix_sources(table(spark, rows)).collect()
