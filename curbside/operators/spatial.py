@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbside.functions.geo import (
@@ -73,12 +73,24 @@ def meters_within(
     )
 
 
-def _survey(points: DataFrame) -> tuple[list[int], int]:
-    """Cell levels of the radii, at most twenty small numbers, and the size."""
+def _survey(points: DataFrame) -> tuple[list[int], int, int]:
+    """Cell levels of the radii, at most twenty small numbers, the size, the longest list."""
     levels = F.expr(f"bit_or(shiftleft(1, {LEVEL}))")
-    found = points.agg(levels, bytes_of_rows(points, lists=True)).first()
-    bits, size = found[0] or 1, found[1]
-    return [k for k in range(bits.bit_length()) if bits >> k & 1], size
+    found = points.agg(
+        levels, bytes_of_rows(points, lists=True), F.max(F.size("__points"))
+    ).first()
+    bits, size, longest = found[0] or 1, found[1], found[2] or 0
+    return [k for k in range(bits.bit_length()) if bits >> k & 1], size, longest
+
+
+def _on_demand(rows: str) -> Column:
+    """A list for ``inline``, whose rows are then made one by one as they are asked for.
+
+    Compiled code holds all that one row it reads leads to, over joins and
+    generators: a list of points times all meters of a cell. A lambda is not
+    compiled, so that the code of the join and that after the list are apart.
+    """
+    return F.transform(rows, lambda row: row)
 
 
 def _looking(points: DataFrame) -> DataFrame:
@@ -191,7 +203,7 @@ def distance_join(
     places = gathered(points, _PLACE).withColumnRenamed("__rows", "__points")
     spots = gathered(meters, _SPOT).withColumnRenamed("__rows", "__meters")
     places, spots = stored(places, "places"), stored(spots, "spots")
-    levels, size = _survey(places)
+    levels, size, longest = _survey(places)
     placed = _placed(spots, levels)
     if is_small(placed, lists=True):
         # Points in a crowd find far more than others, and may lie side by side.
@@ -208,13 +220,15 @@ def distance_join(
     else:
         pairs = _dealt(_looking(places), placed, cell_rows)
 
+    # One point, without a list of its own, is faster in the join's compiled loop.
+    several = longest > 1 or "__rows" in points.columns
     distance = F.col("distance")
     shown = distance if decimals is None else F.round(distance, decimals)
     return (
         pairs.withColumn("distance", haversine_m("lat", "lon", "latitude", "longitude"))
         .where(distance <= F.col("metres"))
         .select(*_PLACE, *_SPOT, shown.alias("distance"), "__points", "__meters")
-        .select("*", F.inline("__points"))
+        .select("*", F.inline(_on_demand("__points") if several else "__points"))
         .drop("__points")
         .select("*", F.inline("__meters"))
         .select(*points.columns, *meters.columns, "distance")

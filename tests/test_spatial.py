@@ -205,6 +205,19 @@ def test_rows_of_one_position_travel_as_lists(spark, conf, limit):
     assert bare.count() == 600 * 300
 
 
+def test_pairs_of_a_cell_are_not_held_at_once(spark, never_broadcast):
+    """Compiled code holds what one row leads to: lists are outside the join's code."""
+    points, meters = crowd(spark, 60, 30)
+    pairs = cb.distance_join(points, meters)
+    text = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Generate inline(transform(__points" in text
+    assert pairs.count() == 60 * 30
+    # Points that stand alone make a row for a meter, in the join's code.
+    alone = points.withColumn("lat", F.col("lat") + F.monotonically_increasing_id() * 1e-9)
+    text = cb.distance_join(alone, meters)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate inline(__points" in text
+
+
 def vincenty(lat1, lon1, lat2, lon2):
     """The inverse geodesic, iterated until it stands still."""
     a, f = 6_378_137.0, 1 / 298.257223563
