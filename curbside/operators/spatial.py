@@ -115,6 +115,14 @@ def _placed(meters: DataFrame, levels: list[int]) -> DataFrame:
     )
 
 
+def _rows_of(df: DataFrame, name: str) -> Column:
+    """Rows that a list leads to: a point may be a list of requests in turn."""
+    row = df.schema[name].dataType.elementType
+    if "__rows" not in row.names:
+        return F.size(name)
+    return F.aggregate(name, F.lit(0), lambda n, x: n + F.greatest(F.size(x["__rows"]), F.lit(1)))
+
+
 def _dealt(looking: DataFrame, placed: DataFrame, cell_rows: int) -> DataFrame:
     """Points and meters of the same cell, with crowded cells cut into parts.
 
@@ -123,7 +131,7 @@ def _dealt(looking: DataFrame, placed: DataFrame, cell_rows: int) -> DataFrame:
     """
     sides = ((looking, "__points"), (placed, "__meters"))
     counts = [
-        df.groupBy(*_CELL).agg(F.sum(F.size(n)).alias(f"{n}_n")) for df, n in sides
+        df.groupBy(*_CELL).agg(F.sum(_rows_of(df, n)).alias(f"{n}_n")) for df, n in sides
     ]
     cells = stored(counts[0].join(counts[1], _CELL), "cells")
     n_points, n_meters = F.col("__points_n"), F.col("__meters_n")

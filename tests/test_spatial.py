@@ -218,6 +218,15 @@ def test_pairs_of_a_cell_are_not_held_at_once(spark, never_broadcast):
     assert "Generate inline(__points" in text
 
 
+def test_tasks_count_the_requests_of_lists(spark, never_broadcast, monkeypatch):
+    monkeypatch.setattr(spatial, "TASK_PAIRS", 2000)
+    points, meters = crowd(spark, 400, 300)
+    lists = points.groupBy("lat", "lon", "metres").agg(F.collect_list(F.struct("p")).alias("__rows"))
+    pairs = cb.distance_join(lists, meters, cell_rows=50)
+    assert pairs.rdd.getNumPartitions() >= 60
+    assert pairs.select(F.inline("__rows"), "m").distinct().count() == 400 * 300
+
+
 def vincenty(lat1, lon1, lat2, lon2):
     """The inverse geodesic, iterated until it stands still."""
     a, f = 6_378_137.0, 1 / 298.257223563
