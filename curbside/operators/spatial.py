@@ -41,6 +41,9 @@ CELL_ROWS = 10_000
 TASK_ROWS = 250_000
 TASK_PAIRS = 20_000_000
 MOST_TASKS = 20_000
+# Bytes of a row group of lists: a reader unpacks up to 4,096 lists at once, but
+# none beyond a row group.
+LISTS_GROUP = 1 << 21
 
 
 def within_distance(
@@ -210,7 +213,8 @@ def distance_join(
     spark = points.sparkSession
     places = gathered(points, _PLACE).withColumnRenamed("__rows", "__points")
     spots = gathered(meters, _SPOT).withColumnRenamed("__rows", "__meters")
-    places, spots = stored(places, "places"), stored(spots, "spots")
+    group = {"parquet.block.size": LISTS_GROUP}
+    places, spots = stored(places, "places", **group), stored(spots, "spots", **group)
     levels, size, longest = _survey(places)
     placed = _placed(spots, levels)
     if is_small(placed, lists=True):

@@ -29,8 +29,8 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{own}/{name}-{uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: object) -> DataFrame:
     """The rows, written once, so that what reads them twice does not redo them."""
     path = scratch_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
