@@ -90,7 +90,7 @@ def _by_hour(changes: DataFrame, *keys: str) -> DataFrame:
     At most 24 numbers for each of ``keys``, so nothing runs over all changes.
     """
     hour = F.floor(F.col("at") / _HOUR).cast("int")
-    within = changes.withColumn("hour", hour)
+    within = changes.select(*keys, "at", "change", hour.alias("hour"))
     sums = [
         F.coalesce(F.sum(F.when(F.col("hour") == h, F.col("change"))), F.lit(0)).alias(f"__{h}")
         for h in range(24)
